@@ -55,7 +55,7 @@ def infer_binary_modes(df: DataFrame, columns: list[str]) -> dict:
         return {}
     tuples = (df.select([_code(c).alias(c) for c in columns])
                 .groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")))
-    tuples = reliable_checkpoint(tuples)
+    tuples = reliable_checkpoint(tuples, "binary-codes")
     modes: dict = {}
     alive = F.lit(True)
     for c in columns:

@@ -7,8 +7,9 @@ does it distributedly:
 1. ``range_tag``: range-partition on the order key and sort within partitions
    (one shuffle; the partition count is explicit so AQE keeps it), tag each row
    with its partition id and ``monotonically_increasing_id`` (its position in
-   the sorted partition) and checkpoint that frame, so every later pass reads
-   identical partitions, even after executor loss;
+   the sorted partition) and materialise that frame with both tags stored as
+   columns, so every later pass sees identical numbers, even after executor
+   loss;
 2. ``attach_index``: count rows per partition (map-side partial aggregate, one
    row per partition), turn counts into start offsets with a window over that
    tiny table, checkpoint it, broadcast it (size bounded by the partition
@@ -42,22 +43,33 @@ def range_tag(df: DataFrame, order_by: list[str | Column],
                 .sortWithinPartitions(*order)
                 .withColumn(PID, F.spark_partition_id())
                 .withColumn(MID, F.monotonically_increasing_id()))
-    return reliable_checkpoint(ranged)
+    return reliable_checkpoint(ranged, "ranged")
 
 
-def attach_index(ranged: DataFrame, out_col: str, start: int = 1) -> DataFrame:
-    """Turn a ``range_tag`` frame's (partition, position) into a dense index."""
-    sizes = ranged.groupBy(PID).agg(F.count(F.lit(1)).alias("_n"),
-                                    F.min(MID).alias("_base"))
+def partition_offsets(sizes: DataFrame) -> DataFrame:
+    """(_pid, _n, _base) per partition -> (_pid, _base, _off) start offsets.
+
+    The input has one row per partition, so the window runs over a tiny table.
+    """
     before = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = reliable_checkpoint(
-        sizes.select(PID, "_base", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
+    return sizes.select(PID, "_base", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+
+
+def apply_offsets(ranged: DataFrame, offsets: DataFrame, out_col: str, start: int = 1) -> DataFrame:
+    """Dense index = partition offset + position inside the partition."""
     return (ranged.join(F.broadcast(offsets), PID)
                   .withColumn(out_col, (F.col("_off") + (F.col(MID) - F.col("_base"))
                                         + F.lit(start)).cast("long"))
                   .drop(PID, MID, "_base", "_off"))
 
 
+def attach_index(ranged: DataFrame, out_col: str, start: int = 1) -> DataFrame:
+    """Turn a ``range_tag`` frame's (partition, position) into a dense index."""
+    sizes = ranged.groupBy(PID).agg(F.count(F.lit(1)).alias("_n"), F.min(MID).alias("_base"))
+    offsets = reliable_checkpoint(partition_offsets(sizes), "offsets")
+    return apply_offsets(ranged, offsets, out_col, start)
+
+
 def dense_index(df: DataFrame, order_by: list[str | Column], out_col: str,
                 start: int = 1, num_partitions: int | None = None) -> DataFrame:
     """Add ``out_col`` = start, start+1, ... in ``order_by`` order (must be unique)."""

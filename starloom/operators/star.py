@@ -3,13 +3,13 @@
 Plan, for a clean table of any size:
 
 * W2: the clean table is range-partitioned on its unique order key, sorted and
-  checkpointed once (``numbering.range_tag``); record ids come from partition
-  offsets.  That checkpoint is the only full write and every later step reads
-  it, never the source again.
-* A1: all dimensions' distinct tuples come from ONE scan (grouping sets, with a
-  map-side partial aggregate per tuple, so a hot tuple costs nothing extra),
-  each tuple keeping ``min(order key)`` = where it was first seen.  That result
-  is tiny and checkpointed.
+  materialised once (``numbering.range_tag``); record ids come from partition
+  offsets.  That copy is the only full write and every later step reads it,
+  never the source again.
+* A1: all dimensions' distinct tuples, and the partition sizes for W2, come
+  from ONE scan (grouping sets, with a map-side partial aggregate, so a hot
+  tuple costs nothing extra), each tuple keeping ``min(order key)`` = where it
+  was first seen.
 * W1: dense surrogate keys in first-seen order.  Over closed domains the
   dimension size is proven (product of domain sizes), so a one-partition
   window is safe; otherwise the distributed ``dense_index`` is used.
@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom import spec as S
-from starloom.operators.numbering import attach_index, dense_index, range_tag, small_index
+from starloom.operators.numbering import (MID, PID, apply_offsets, dense_index,
+                                          partition_offsets, range_tag, small_index)
 from starloom.session import reliable_checkpoint
 
 FIRST = "_first_seen"
@@ -55,14 +56,14 @@ def dimension_tuples(df: DataFrame, dims: list[S.DimSpec],
     aggs = [F.min(order_key).alias(FIRST)] if order_key else [F.count(F.lit(1)).alias("_n")]
     if len(dims) == 1:
         d = dims[0]
-        return {d.table: reliable_checkpoint(df.groupBy(*d.sources).agg(*aggs))}
+        return {d.table: reliable_checkpoint(df.groupBy(*d.sources).agg(*aggs), "dim-tuples")}
     all_cols: list[str] = []
     for d in dims:
         all_cols += [c for c in d.sources if c not in all_cols]
     sets = [[F.col(c) for c in d.sources] for d in dims]
     grouped = (df.groupingSets(sets, *[F.col(c) for c in all_cols])
                  .agg(*aggs, F.grouping_id().alias("_gid")))
-    grouped = reliable_checkpoint(grouped)
+    grouped = reliable_checkpoint(grouped, "dim-tuples")
     out = {}
     width = len(all_cols)
     for d in dims:
@@ -108,15 +109,44 @@ def build_star(clean: DataFrame, layout: S.StarLayout = S.MAIN_STAR,
 
     ``validated`` says the input passed domain validation, which proves every
     dimension's size bound; pass False for an arbitrary table.
+
+    Passes over the data: the range shuffle that writes the tagged copy, then
+    one grouping-sets pass over it that yields every dimension's tuples AND the
+    per-partition sizes for record ids, then the fact pass.  When all
+    dimensions are proven small, that grouping result (tuples + one row per
+    partition) is small too and is kept as a local relation; otherwise it is
+    materialised in the checkpoint folder.
     """
+    spark = clean.sparkSession
     ranged = range_tag(clean, [order_key], num_partitions)
-    tuples = dimension_tuples(ranged, list(layout.dims), order_key)
-    dims = {d.table: _number(tuples[d.table], d, order_key, _bound(spec, d, validated))
-            for d in layout.dims}
-    fact = attach_index(ranged, layout.record_key)
-    for d in layout.dims:
-        fact = lookup_key(fact, dims[d.table], d, _bound(spec, d, validated),
-                          layout.null_safe_lookup, layout.strict_lookup)
+    dims_spec = list(layout.dims)
+    all_cols: list[str] = []
+    for d in dims_spec:
+        all_cols += [c for c in d.sources if c not in all_cols]
+    group_cols = all_cols + [PID]
+    sets = [[F.col(c) for c in d.sources] for d in dims_spec] + [[F.col(PID)]]
+    grouped = (ranged.groupingSets(sets, *[F.col(c) for c in group_cols])
+                     .agg(F.min(order_key).alias(FIRST), F.count(F.lit(1)).alias("_n"),
+                          F.min(MID).alias("_base"), F.grouping_id().alias("_gid")))
+    bounds = [_bound(spec, d, validated) for d in dims_spec]
+    small = all(b is not None and b <= S.BROADCAST_ROW_BOUND for b in bounds)
+    if small:
+        grouped = spark.createDataFrame(grouped.collect(), grouped.schema)
+    else:
+        grouped = reliable_checkpoint(grouped, "dim-tuples")
+
+    def gid(members: list[str]) -> int:
+        width = len(group_cols)
+        return sum(1 << (width - 1 - i) for i, c in enumerate(group_cols) if c not in members)
+
+    dims = {}
+    for d, b in zip(dims_spec, bounds):
+        tuples = grouped.filter(F.col("_gid") == gid(d.sources)).select(*d.sources, FIRST)
+        dims[d.table] = _number(tuples, d, order_key, b)
+    sizes = grouped.filter(F.col("_gid") == gid([PID])).select(PID, "_n", "_base")
+    fact = apply_offsets(ranged, partition_offsets(sizes), layout.record_key)
+    for d, b in zip(dims_spec, bounds):
+        fact = lookup_key(fact, dims[d.table], d, b, layout.null_safe_lookup, layout.strict_lookup)
     measures = []
     for src, out, cast in layout.measures:
         c = F.col(src)

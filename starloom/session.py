@@ -27,6 +27,7 @@ def get_spark(app: str = "starloom", cores: int | str = "*",
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
          .config("spark.sql.constraintPropagation.enabled", "false")
+         .config("spark.sql.codegen.hugeMethodLimit", "8000")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", "8g")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
@@ -70,15 +71,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/starloom-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the shared checkpoint folder and cut its lineage.
+def reliable_checkpoint(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder.
 
-    Survives executor loss (unlike a local checkpoint or cache): recomputation
-    after a lost task restarts from the written files, and every later reader
-    sees exactly the same partitions and row order.
+    Cuts the lineage like ``checkpoint()`` and survives executor loss (a lost
+    task re-reads the written files, never recomputes the source), but the
+    table is columnar: later passes read only the columns they use.  Anything
+    that must stay fixed between passes (e.g. partition id and position for
+    numbering) is stored as a column, so it does not depend on how the files
+    are split when read back.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def local_path(path: str) -> str:

@@ -2,9 +2,9 @@
 publish (S9) and load verification (S11); load-time casts (P7, P8).
 
 Spark has no multi-table transaction.  ``publish_star`` gives the next best
-thing: all tables are written under a new version directory, checked, and only
-then does a small pointer file switch readers to that version; a failed run
-leaves the previous version current.
+thing: the star is checked, all tables are written under a new version
+directory, and only then does a small pointer file switch readers to that
+version; a failed check or write leaves the previous version current.
 """
 
 from __future__ import annotations
@@ -141,9 +141,12 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
 def publish_star(star: dict[str, DataFrame], root: str, layout: S.StarLayout = S.MAIN_STAR,
                  check: bool = True, types: dict = S.LOAD_TYPES,
                  version: str | None = None) -> dict[str, str]:
-    """Write dims then fact under a new version, check, then switch the pointer.
+    """Check, write dims then fact under a new version, then switch the pointer.
 
-    Raises (leaving the previous version current) if any constraint fails.
+    The constraints run first, on the star as built (so a value that would not
+    fit its stored type is reported, not turned into a failed cast half-way
+    through the write).  Raises, leaving the previous version current, if any
+    constraint fails.
     """
     from starloom.operators.quality import check_star
 
@@ -151,17 +154,16 @@ def publish_star(star: dict[str, DataFrame], root: str, layout: S.StarLayout = S
     version = version or uuid.uuid4().hex[:12]
     if not re.fullmatch(r"[0-9A-Za-z_-]+", version):
         raise ValueError("bad version name")
+    if check:
+        bad = check_star(star, layout, types)
+        if not bad.isEmpty():
+            raise ValueError(f"star failed its constraints; version {version} not published")
     base = f"{root.rstrip('/')}/v={version}"
     paths = {}
     for name in layout.tables:
         path = f"{base}/{name}"
         load_casts(star[name], types.get(name, {})).write.mode("overwrite").parquet(path)
         paths[name] = path
-    if check:
-        staged = {n: spark.read.parquet(p) for n, p in paths.items()}
-        bad = check_star(staged, layout, types, dims_bounded=True)
-        if not bad.isEmpty():
-            raise ValueError(f"star failed its constraints; version {version} not published")
     _write_text(spark, f"{root.rstrip('/')}/{POINTER}", version)
     return paths
 
