@@ -3,7 +3,10 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Each query is executed in full through the ``noop`` sink (no collect of large
-results), after one warm-up query that pays JVM and planner start-up.
+results), after one warm-up query that pays JVM and planner start-up; each
+time is the best of ``BENCH_REPEAT`` (default 2) runs.  The survey is first
+extracted to a parquet stage (timed as ``s6_extract_stage``), as the staged
+run does, and the headline queries read that stage.
 """
 
 from __future__ import annotations
@@ -25,6 +28,9 @@ from starloom.sources.sinks import write_stage  # noqa: E402
 from starloom.sources.survey import derived_survey  # noqa: E402
 
 
+REPEAT = int(os.environ.get("BENCH_REPEAT", "2"))   # best of N (warm JVM)
+
+
 def _run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -40,16 +46,20 @@ def main() -> None:
 
     times: dict[str, float] = {}
 
-    def timed(name, fn):
-        t = time.perf_counter()
-        out = fn()
-        times[name] = round(time.perf_counter() - t, 3)
+    def timed(name, fn, repeat=REPEAT):
+        best, out = None, None
+        for _ in range(repeat):
+            t = time.perf_counter()
+            out = fn()
+            dt = time.perf_counter() - t
+            best = dt if best is None else min(best, dt)
+        times[name] = round(best, 3)
         return out
 
     # Extract stage, as the staged run hands it off: survey -> parquet.
     stage = os.path.join(tempfile.mkdtemp(prefix="starloom-bench-stage-", dir="/tmp"), "raw")
     raw = timed("s6_extract_stage",
-                lambda: write_stage(derived_survey(spark, sf_dir), stage))
+                lambda: write_stage(derived_survey(spark, sf_dir), stage), repeat=1)
 
     timed("e1_clean", lambda: _run(C.clean_survey(raw)))
     timed("a2_class_distribution", lambda: _run(P.class_distribution(C.clean_survey(raw))))
@@ -70,7 +80,7 @@ def main() -> None:
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_total_sec", "value": total, "unit": "sec",
-                      "queries": times, "sf": sf, "cpus": cpus}))
+                      "queries": times, "sf": sf, "cpus": cpus, "best_of": REPEAT}))
     spark.stop()
 
 

@@ -23,8 +23,12 @@ def _and(preds: list[Column]) -> Column:
 
 # F1 -------------------------------------------------------------------------
 def drop_any_null(df: DataFrame) -> DataFrame:
-    """Drop rows with a null in any column (pandas ``dropna()``)."""
-    return df.na.drop(how="any")
+    """Drop rows with a null in any column (pandas ``dropna()``).
+
+    Written as AND of IS NOT NULL (same rows as ``na.drop``) so each test is
+    pushed into the parquet scan.
+    """
+    return df.filter(not_null_predicate(df))
 
 
 def not_null_predicate(df: DataFrame) -> Column:
@@ -40,7 +44,7 @@ def valid_target(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> DataFrame:
     """Keep valid target codes and turn them into labels; skipped if absent."""
     if not spec.target or spec.target not in df.columns:
         return df
-    return (df.filter(target_predicate(spec))
+    return (df.filter(R.keep_in(spec.target, list(spec.target_labels)))
               .withColumn(spec.target, R.recode_target(spec.target, spec.target_labels)))
 
 
@@ -60,7 +64,8 @@ def apply_binary_modes(df: DataFrame, modes: dict) -> DataFrame:
     present = [c for c in modes if c in df.columns]
     if not present:
         return df
-    df = df.filter(_and([binary_predicate(c, modes[c]) for c in present]))
+    df = df.filter(_and([R.keep_in(c, R.binary_codes(modes[c]))
+                         for c in present if modes[c] is not None]))
     return df.withColumns({
         c: (R.recode_binary(c, modes[c]) if modes[c] is not None
             else F.col(c).cast("string"))
@@ -94,7 +99,8 @@ def ordinal_predicate(df: DataFrame, spec: S.SurveySpec) -> Column:
 
 def ordinal_domain(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> DataFrame:
     """Keep rows whose ordinal codes are all valid (order-free result)."""
-    return df.filter(ordinal_predicate(df, spec))
+    return df.filter(_and([R.keep_in(c, dom) for c, dom in spec.ordinals.items()
+                           if c in df.columns]))
 
 
 # C3 -------------------------------------------------------------------------
@@ -127,7 +133,7 @@ def validate_domain(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> DataFrame:
     The sequential per-column loop and this single AND keep the same rows; the
     per-rule report (who removed what) is ``profile.invalid_report``.
     """
-    return df.filter(validation_predicate(df, spec))
+    return df.filter(_and([R.keep_in(c, vals) for c, vals in validation_rules(df, spec)]))
 
 
 # E1 / F6 --------------------------------------------------------------------

@@ -28,6 +28,31 @@ from starloom.session import reliable_checkpoint
 
 PID, MID = "_pid", "_mid"
 
+# Range partitions are sized from the plan's size estimate: about this many
+# bytes each, never fewer partitions than the session's shuffle setting.
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_PARTITIONS = 200_000
+
+
+def partition_count(df: DataFrame, explicit: int | None = None) -> int:
+    """Partitions for a range shuffle of ``df``: explicit, else sized by estimate.
+
+    Uses Catalyst's ``sizeInBytes`` (file sizes scaled through the plan), so at
+    100 TB the partitions stay near the target size instead of the session's
+    fixed shuffle count.
+    """
+    if explicit:
+        return max(1, explicit)
+    spark = df.sparkSession
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        est = int(raw if isinstance(raw, int) else raw.toString())
+    except Exception:  # noqa: BLE001 - no estimate: fall back to the session setting
+        return base
+    by_size = -(-est // TARGET_PARTITION_BYTES)
+    return int(max(base, min(by_size, MAX_PARTITIONS)))
+
 
 def _order_cols(order_by: list[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order_by]
@@ -36,8 +61,7 @@ def _order_cols(order_by: list[str | Column]) -> list[Column]:
 def range_tag(df: DataFrame, order_by: list[str | Column],
               num_partitions: int | None = None) -> DataFrame:
     """Range-partitioned, sorted, position-tagged and checkpointed copy of ``df``."""
-    spark = df.sparkSession
-    n = max(1, num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = partition_count(df, num_partitions)
     order = _order_cols(order_by)
     ranged = (df.repartitionByRange(n, *order)
                 .sortWithinPartitions(*order)

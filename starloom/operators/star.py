@@ -102,6 +102,28 @@ def lookup_key(fact: DataFrame, dim_df: DataFrame, dim: S.DimSpec, bound: int |
     return joined.withColumn(dim.key, key.cast("int")).drop("_k", *alias.values())
 
 
+def _local_dimension(spark, rows, dim: S.DimSpec, gid: int, schema) -> DataFrame:
+    """Dense keys in first-seen order over a dimension's (few) tuple rows."""
+    from pyspark.sql.types import IntegerType, StructField, StructType
+
+    mine = sorted((r for r in rows if r["_gid"] == gid),
+                  key=lambda r: (r[FIRST] is not None, r[FIRST]))      # nulls first
+    fields = [StructField(dim.key, IntegerType(), False)] + [
+        StructField(o, schema[s].dataType, True) for s, o in dim.columns]
+    data = [tuple([i] + [r[s] for s in dim.sources]) for i, r in enumerate(mine, start=1)]
+    return spark.createDataFrame(data, StructType(fields))
+
+
+def _local_offsets(spark, rows, gid: int) -> DataFrame:
+    """Per-partition start offsets from the (one row per partition) sizes."""
+    sizes = sorted((r for r in rows if r["_gid"] == gid), key=lambda r: r[PID])
+    data, running = [], 0
+    for r in sizes:
+        data.append((r[PID], r["_base"], running))
+        running += r["_n"]
+    return spark.createDataFrame(data, f"{PID} int, _base bigint, _off bigint")
+
+
 def build_star(clean: DataFrame, layout: S.StarLayout = S.MAIN_STAR,
                spec: S.SurveySpec | None = S.SURVEY, order_key: str = "row_key",
                validated: bool = True, num_partitions: int | None = None) -> dict[str, DataFrame]:
@@ -114,8 +136,9 @@ def build_star(clean: DataFrame, layout: S.StarLayout = S.MAIN_STAR,
     one grouping-sets pass over it that yields every dimension's tuples AND the
     per-partition sizes for record ids, then the fact pass.  When all
     dimensions are proven small, that grouping result (tuples + one row per
-    partition) is small too and is kept as a local relation; otherwise it is
-    materialised in the checkpoint folder.
+    partition, both bounded) is ranked locally and used as local relations;
+    otherwise it is materialised in the checkpoint folder and ranked with
+    distributed numbering.
     """
     spark = clean.sparkSession
     ranged = range_tag(clean, [order_key], num_partitions)
@@ -130,21 +153,27 @@ def build_star(clean: DataFrame, layout: S.StarLayout = S.MAIN_STAR,
                           F.min(MID).alias("_base"), F.grouping_id().alias("_gid")))
     bounds = [_bound(spec, d, validated) for d in dims_spec]
     small = all(b is not None and b <= S.BROADCAST_ROW_BOUND for b in bounds)
-    if small:
-        grouped = spark.createDataFrame(grouped.collect(), grouped.schema)
-    else:
-        grouped = reliable_checkpoint(grouped, "dim-tuples")
 
     def gid(members: list[str]) -> int:
         width = len(group_cols)
         return sum(1 << (width - 1 - i) for i, c in enumerate(group_cols) if c not in members)
 
-    dims = {}
-    for d, b in zip(dims_spec, bounds):
-        tuples = grouped.filter(F.col("_gid") == gid(d.sources)).select(*d.sources, FIRST)
-        dims[d.table] = _number(tuples, d, order_key, b)
-    sizes = grouped.filter(F.col("_gid") == gid([PID])).select(PID, "_n", "_base")
-    fact = apply_offsets(ranged, partition_offsets(sizes), layout.record_key)
+    if small:
+        # Proven small: (dimension tuples + one row per partition) come back as
+        # rows; keys and offsets are ranks over those few rows.
+        rows = grouped.collect()
+        dims = {d.table: _local_dimension(spark, rows, d, gid(d.sources), clean.schema)
+                for d in dims_spec}
+        sizes = _local_offsets(spark, rows, gid([PID]))
+        fact = apply_offsets(ranged, sizes, layout.record_key)
+    else:
+        grouped = reliable_checkpoint(grouped, "dim-tuples")
+        dims = {}
+        for d, b in zip(dims_spec, bounds):
+            tuples = grouped.filter(F.col("_gid") == gid(d.sources)).select(*d.sources, FIRST)
+            dims[d.table] = _number(tuples, d, order_key, b)
+        sizes = grouped.filter(F.col("_gid") == gid([PID])).select(PID, "_n", "_base")
+        fact = apply_offsets(ranged, partition_offsets(sizes), layout.record_key)
     for d, b in zip(dims_spec, bounds):
         fact = lookup_key(fact, dims[d.table], d, b, layout.null_safe_lookup, layout.strict_lookup)
     measures = []
