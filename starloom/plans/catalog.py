@@ -44,7 +44,7 @@ def _star(spark, d, layout=S.MAIN_STAR):
 
 
 def _year_dir(spark, d):
-    """Lay the multi-year survey out as ``<year>.csv`` files, plus a stray file."""
+    """Lay the multi-year survey out as yearly CSV folders, plus a stray file."""
     path = scratch_path(spark, "years")
     FS.write_year_files(_raw(spark, d, year=True), path)
     # a non-year CSV in the same folder must be ignored by discovery

@@ -22,7 +22,9 @@ from starloom.functions.recode import parse_number
 
 log = logging.getLogger(__name__)
 
-YEAR_FILE = re.compile(r"^([0-9]+)\.csv$")
+# a yearly file is ``<year>.csv`` (file or Spark-written folder) or a
+# ``DATA_YEAR=<year>`` partition folder of one partitioned write
+YEAR_FILE = re.compile(r"^(?:([0-9]+)\.csv|DATA_YEAR=([0-9]+))$")
 KEY_COLUMNS = ("row_key",)
 
 
@@ -69,7 +71,8 @@ def _fs(spark: SparkSession, path: str):
 
 
 def year_files(spark: SparkSession, data_dir: str) -> dict[int, str]:
-    """``<digits>.csv`` entries of a directory (plain files or Spark-written dirs)."""
+    """Yearly entries of a directory: ``<digits>.csv`` files or Spark-written
+    folders, and ``DATA_YEAR=<digits>`` partition folders."""
     p, fs = _fs(spark, data_dir)
     if not fs.exists(p):
         raise FileNotFoundError(f"data directory not found: {data_dir}")
@@ -77,7 +80,7 @@ def year_files(spark: SparkSession, data_dir: str) -> dict[int, str]:
     for st in fs.listStatus(p):
         m = YEAR_FILE.match(st.getPath().getName())
         if m:
-            found[int(m.group(1))] = st.getPath().toString()
+            found[int(m.group(1) or m.group(2))] = st.getPath().toString()
     if not found:
         raise FileNotFoundError(f"no <year>.csv files in {data_dir}")
     return dict(sorted(found.items()))
@@ -165,14 +168,10 @@ def dataset_scan(spark: SparkSession, path: str, schema: str = CLEAN_SCHEMA) ->
     return text.select(*cols)
 
 
-def write_year_files(df: DataFrame, data_dir: str, year_col: str = S.YEAR_COLUMN) -> list[int]:
-    """Write one ``<year>.csv`` (Spark directory) per year value, header on.
+def write_year_files(df: DataFrame, data_dir: str, year_col: str = S.YEAR_COLUMN) -> None:
+    """Lay a table carrying a year out as yearly CSV folders (header on).
 
-    Used to lay out yearly survey files from a table that carries a year.
-    The distinct years are a small bounded set (calendar years).
+    One partitioned write (``DATA_YEAR=<year>`` folders, no year column in the
+    files), written by all tasks in parallel; ``year_files`` discovers them.
     """
-    years = sorted(r[0] for r in df.select(year_col).distinct().collect())
-    for y in years:
-        (df.filter(F.col(year_col) == y).drop(year_col)
-           .write.mode("overwrite").option("header", True).csv(f"{data_dir}/{y}.csv"))
-    return years
+    df.write.mode("overwrite").option("header", True).partitionBy(year_col).csv(data_dir)

@@ -93,12 +93,16 @@ def process_batch(batch: DataFrame, batch_id: int, out_root: str,
 
 
 def start_incremental(spark: SparkSession, source_dir: str, schema: str, out_root: str,
-                      checkpoint: str, fmt: str = "parquet", files_per_trigger: int = 1,
+                      checkpoint: str, fmt: str = "parquet", files_per_trigger: int | None = None,
                       layout: S.StarLayout = S.MAIN_STAR, spec: S.SurveySpec = S.SURVEY):
-    """Start the stream; ``trigger(availableNow)`` drains what is there, then stops."""
-    stream = (spark.readStream.schema(schema).format(fmt)
-                   .option("maxFilesPerTrigger", files_per_trigger)
-                   .option("header", True).load(source_dir))
+    """Start the stream; ``trigger(availableNow)`` drains what is there, then stops.
+
+    ``files_per_trigger`` bounds a micro-batch (None: all new files in one).
+    """
+    reader = spark.readStream.schema(schema).format(fmt).option("header", True)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    stream = reader.load(source_dir)
     return (stream.writeStream
                   .foreachBatch(lambda df, bid: process_batch(df, bid, out_root, layout, spec))
                   .option("checkpointLocation", checkpoint)
@@ -117,41 +121,29 @@ SURVEY_STREAM_SCHEMA = ("row_key bigint, " + ", ".join(f"{c} double" for c in S.
                         + ", DATA_YEAR int")
 
 
-def arrive_by_year(spark: SparkSession, raw_with_year: DataFrame, source_dir: str) -> list[int]:
-    """Lay out one file per year, stamped so files arrive in year order.
-
-    Rows are hash-partitioned by year (each year's rows land in one task, one
-    file); modification times are set through the Hadoop FileSystem so the
-    file source sees 1995 before 1996 and so on.
-    """
-    (raw_with_year.repartition(S.YEAR_COLUMN).write.mode("overwrite")
-        .partitionBy(S.YEAR_COLUMN).parquet(source_dir))
-    jvm = spark.sparkContext._jvm
-    base = jvm.org.apache.hadoop.fs.Path(source_dir)
-    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    years = []
-    for st in fs.listStatus(base):
-        name = st.getPath().getName()
-        if name.startswith(f"{S.YEAR_COLUMN}="):
-            years.append((int(name.split("=", 1)[1]), st.getPath()))
-    years.sort()
-    t0 = 1_600_000_000_000
-    for i, (_, p) in enumerate(years):
-        for f in fs.listStatus(p):
-            fs.setTimes(f.getPath(), t0 + i * 60_000, -1)
-    return [y for y, _ in years]
+def arrive_year(raw_with_year: DataFrame, source_dir: str, year: int) -> None:
+    """One year's survey file(s) land in the source folder (normal parallel write)."""
+    (raw_with_year.filter(F.col(S.YEAR_COLUMN) == year)
+        .write.mode("append").parquet(source_dir))
 
 
 def incremental_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream the multi-year survey year by year into a star; return its fact."""
+    """Yearly files arrive one year at a time; each arrival is drained by a run
+    of the stream (``availableNow``) on the same checkpoint, as a weekly job
+    would do.  Each run is one micro-batch, however many files the year has.
+    Returns the loaded fact table.
+    """
     from starloom.sources.survey import derived_survey
 
     src = scratch_path(spark, "e6-source")
     out = scratch_path(spark, "e6-star")
     ckpt = scratch_path(spark, "e6-checkpoint")
-    arrive_by_year(spark, derived_survey(spark, sf_dir, with_year=True), src)
-    q = start_incremental(spark, src, SURVEY_STREAM_SCHEMA, out, ckpt)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    raw = derived_survey(spark, sf_dir, with_year=True)
+    years = sorted(r[0] for r in raw.select(S.YEAR_COLUMN).distinct().collect())  # calendar years
+    for year in years:
+        arrive_year(raw, src, year)
+        q = start_incremental(spark, src, SURVEY_STREAM_SCHEMA, out, ckpt, files_per_trigger=None)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
     return read_star(spark, out)[S.MAIN_STAR.fact_table]
