@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from starloom import spec as S
 from starloom.functions import recode as R
+from starloom.operators.skew import fits_broadcast, salted_join
 
 VIOLATION_SCHEMA = ("constraint string, table_name string, column_name string, "
                     "row_key bigint, value string")
@@ -76,12 +77,21 @@ def unique_key(df: DataFrame, table: str, key: str) -> DataFrame:
 
 
 def foreign_key(fact: DataFrame, fact_table: str, fact_key: str, fk: str, dim: DataFrame,
-                dim_key: str, dim_bounded: bool = False) -> DataFrame:
-    """Non-null foreign keys with no matching dimension row."""
+                dim_key: str, dim_bounded: bool | None = None) -> DataFrame:
+    """Non-null foreign keys with no matching dimension row.
+
+    The dimension's keys are broadcast when their size is proven
+    (``dim_bounded``) or checked; otherwise the anti-join is salted.
+    """
     keys = dim.select(F.col(dim_key).alias("_k")).distinct()
+    live = fact.filter(F.col(fk).isNotNull())
+    if dim_bounded is None:
+        dim_bounded = fits_broadcast(keys)
     if dim_bounded:
-        keys = F.broadcast(keys)
-    orphans = fact.filter(F.col(fk).isNotNull()).join(keys, F.col(fk) == F.col("_k"), "left_anti")
+        orphans = live.join(F.broadcast(keys), F.col(fk) == F.col("_k"), "left_anti")
+    else:
+        # a hot foreign key would land in one reducer: salt the fact side
+        orphans = salted_join(live, keys, [(fk, "_k")], "left_anti")
     return orphans.select(F.lit("foreign_key").alias("constraint"),
                           F.lit(fact_table).alias("table_name"), F.lit(fk).alias("column_name"),
                           F.col(fact_key).cast("long").alias("row_key"),
@@ -89,7 +99,7 @@ def foreign_key(fact: DataFrame, fact_table: str, fact_key: str, fk: str, dim: D
 
 
 def check_star(star: dict[str, DataFrame], layout: S.StarLayout = S.MAIN_STAR,
-               types: dict | None = None, dims_bounded: bool = False,
+               types: dict | None = None, dims_bounded: bool | None = None,
                uniqueness: bool = True) -> DataFrame:
     """All constraints of the stored star: K1, K2, K3, K4, K5."""
     types = S.LOAD_TYPES if types is None else types

@@ -14,8 +14,10 @@ Plan, for a clean table of any size:
   dimension size is proven (product of domain sizes), so a one-partition
   window is safe; otherwise the distributed ``dense_index`` is used.
 * J2/J1: the fact fetches each key by an equi-join on the tuple; proven-small
-  dimensions are broadcast (map-only, no shuffle of the fact), unbounded ones
-  are left to the planner/AQE (which broadcasts only after measuring).
+  dimensions are broadcast (map-only, no shuffle of the fact); a dimension
+  without a proven bound is counted first (up to the limit) and broadcast only
+  if it fits, otherwise joined with a salted shuffle join
+  (``operators/skew.py``) so one hot tuple is split over many reducers.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom import spec as S
+from starloom.operators.skew import fits_broadcast, salted_join
 from starloom.operators.numbering import (MID, PID, apply_offsets, dense_index,
                                           partition_offsets, range_tag, small_index)
 from starloom.session import reliable_checkpoint
@@ -90,11 +93,16 @@ def lookup_key(fact: DataFrame, dim_df: DataFrame, dim: S.DimSpec, bound: int |
     """
     alias = {o: f"_d_{i}" for i, o in enumerate(dim.outputs)}
     d = dim_df.select(F.col(dim.key).alias("_k"), *[F.col(o).alias(a) for o, a in alias.items()])
-    if bound is not None and bound <= S.BROADCAST_ROW_BOUND:
+    small = (bound is not None and bound <= S.BROADCAST_ROW_BOUND) or \
+        (bound is None and fits_broadcast(d))
+    if small:
         d = F.broadcast(d)
-    conds = [(fact[s].eqNullSafe(d[alias[o]]) if null_safe else fact[s] == d[alias[o]])
-             for s, o in dim.columns]
-    joined = fact.join(d, reduce(lambda a, b: a & b, conds), "left")
+        conds = [(fact[s].eqNullSafe(d[alias[o]]) if null_safe else fact[s] == d[alias[o]])
+                 for s, o in dim.columns]
+        joined = fact.join(d, reduce(lambda a, b: a & b, conds), "left")
+    else:
+        # too large to broadcast: shuffle join, salted so a hot tuple is split
+        joined = salted_join(fact, d, [(s, alias[o]) for s, o in dim.columns], "left", null_safe)
     key = F.col("_k")
     if strict:
         key = F.when(key.isNull(), F.raise_error(
