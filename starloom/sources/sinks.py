@@ -79,9 +79,10 @@ def jdbc_write(df: DataFrame, url: str, table: str, mode: str = "append",
         log.warning("no data to load for table %s", table)
         return False
     out = fill_zero(df) if fill_nulls else df
-    if num_partitions:
-        out = out.coalesce(num_partitions)
     w = out.write.mode(mode).option("batchsize", batchsize)
+    if num_partitions:
+        # the JDBC writer coalesces to this many connections only if above it
+        w = w.option("numPartitions", num_partitions)
     if column_types:
         w = w.option("createTableColumnTypes",
                      ", ".join(f"{c} {t.upper()}" for c, t in column_types.items()))

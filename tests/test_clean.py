@@ -122,3 +122,14 @@ def test_yes_no_labels(spark):
     out2 = C.apply_binary_modes(df2, {"x": "12"})
     assert sorted(r[0] for r in out2.collect()) == [S.NO, S.YES]
     assert out2.filter(F.col("x").isNull()).count() == 0
+
+
+def test_cleaning_filters_reach_the_parquet_scan(spark, tmp_dir):
+    from starloom.sources.sinks import write_stage
+
+    staged = write_stage(derived_survey(spark, SF0001), f"{tmp_dir}/raw")
+    df = C.clean_survey(staged)
+    plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    pushed = [line for line in plan.splitlines() if line.startswith("PushedFilters")][0]
+    assert "IsNotNull(row_key)" in pushed and "IsNotNull(PHYSHLTH)" in pushed
+    assert "In(DIABETE3, [1.0,2.0,3.0])" in pushed and "In(SEX, [1.0,2.0])" in pushed
