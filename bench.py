@@ -80,7 +80,8 @@ def main() -> None:
     holder = {}
     timed("e2_star", lambda: holder.setdefault("star", e2()))
     timed("v1_analysis_view",
-          lambda: _run(V.analysis_view(V.encode_star(ST.build_star(C.clean_survey(raw))))))
+          lambda: _run(V.analysis_view(V.encode_star(ST.build_star(C.clean_survey(raw))),
+                                       dims_bounded=True)))
     timed("a3_value_profile", lambda: _run(P.value_profile(raw, [c for c in raw.columns
                                                                   if c != "row_key"])))
     timed("a4_step_deltas", lambda: _run(P.step_deltas(raw)))

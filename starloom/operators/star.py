@@ -53,35 +53,20 @@ def _number(tuples: DataFrame, dim: S.DimSpec, order_key: str | None,
     return numbered.select(F.col(dim.key), *[F.col(s).alias(o) for s, o in dim.columns])
 
 
-def dimension_tuples(df: DataFrame, dims: list[S.DimSpec],
-                     order_key: str | None) -> dict[str, DataFrame]:
-    """Distinct tuples (+ first-seen key) of every dimension, from one scan."""
+def dimension_tuples(df: DataFrame, dim: S.DimSpec, order_key: str | None) -> DataFrame:
+    """Distinct tuples of one dimension (+ first-seen key), materialised.
+
+    A grouped aggregate with a map-side partial step, so a hot tuple is
+    combined before the shuffle.
+    """
     aggs = [F.min(order_key).alias(FIRST)] if order_key else [F.count(F.lit(1)).alias("_n")]
-    if len(dims) == 1:
-        d = dims[0]
-        return {d.table: reliable_checkpoint(df.groupBy(*d.sources).agg(*aggs), "dim-tuples")}
-    all_cols: list[str] = []
-    for d in dims:
-        all_cols += [c for c in d.sources if c not in all_cols]
-    sets = [[F.col(c) for c in d.sources] for d in dims]
-    grouped = (df.groupingSets(sets, *[F.col(c) for c in all_cols])
-                 .agg(*aggs, F.grouping_id().alias("_gid")))
-    grouped = reliable_checkpoint(grouped, "dim-tuples")
-    out = {}
-    width = len(all_cols)
-    for d in dims:
-        # grouping_id bit is 1 for a column NOT in the set; first column = high bit
-        gid = sum(1 << (width - 1 - i) for i, c in enumerate(all_cols) if c not in d.sources)
-        out[d.table] = grouped.filter(F.col("_gid") == gid).select(
-            *d.sources, *([FIRST] if order_key else []))
-    return out
+    return reliable_checkpoint(df.groupBy(*dim.sources).agg(*aggs), "dim-tuples")
 
 
 def build_dimension(df: DataFrame, dim: S.DimSpec, order_key: str | None = None,
                     bound: int | None = None) -> DataFrame:
     """One dimension: distinct tuples with dense ids (first-seen or value order)."""
-    tuples = dimension_tuples(df, [dim], order_key)[dim.table]
-    return _number(tuples, dim, order_key, bound)
+    return _number(dimension_tuples(df, dim, order_key), dim, order_key, bound)
 
 
 def lookup_key(fact: DataFrame, dim_df: DataFrame, dim: S.DimSpec, bound: int | None,
@@ -197,5 +182,5 @@ def star_round_trip(star: dict[str, DataFrame], layout: S.StarLayout = S.MAIN_ST
     fact = star[layout.fact_table]
     for d in layout.dims:
         dim = star[d.table].select(F.col(d.key), *[F.col(o).alias(s) for s, o in d.columns])
-        fact = fact.join(F.broadcast(dim), d.key, "left")
+        fact = fact.join(F.broadcast(dim) if fits_broadcast(dim) else dim, d.key, "left")
     return fact

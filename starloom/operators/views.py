@@ -2,8 +2,9 @@
 
 The loader stores labels ("Yes"/"Diabetic"...), while the SQL schema and its
 analysis view use integer codes; ``encode_star`` (C7) bridges the two.  The
-view (V1) is a four-way star join: every dimension is bounded by its closed
-domain, so each join is a broadcast hash join and the fact is never shuffled.
+view (V1) is a four-way star join: dimensions built from validated data are
+bounded by their closed domains (others are size-checked first), so each join
+is a broadcast hash join and the fact is never shuffled.
 """
 
 from __future__ import annotations
@@ -15,10 +16,7 @@ from pyspark.sql import functions as F
 
 from starloom import spec as S
 from starloom.functions import recode as R
-
-_DIM_BY_ROLE = {"demographics": "dim_demographics", "lifestyle": "dim_lifestyle",
-                "medical": "dim_medical_conditions", "healthcare": "dim_healthcare_access"}
-
+from starloom.operators.skew import fits_broadcast
 
 # C7 -------------------------------------------------------------------------
 def encode_star(star: dict[str, DataFrame], layout: S.StarLayout = S.MAIN_STAR) -> dict[str, DataFrame]:
@@ -71,18 +69,25 @@ def decode_star(encoded: dict[str, DataFrame], layout: S.StarLayout = S.MAIN_STA
 
 # J3 + V1 --------------------------------------------------------------------
 def star_join(encoded: dict[str, DataFrame], layout: S.StarLayout = S.MAIN_STAR,
-              broadcast_dims: bool = True) -> DataFrame:
-    """Fact INNER JOIN each dimension on its surrogate key."""
+              dims_bounded: bool | None = None) -> DataFrame:
+    """Fact INNER JOIN each dimension on its surrogate key.
+
+    ``dims_bounded``: True when the star was built from validated data (the
+    dimensions' sizes are proven by their domains); None checks each
+    dimension's size before broadcasting it.
+    """
     fact = encoded[layout.fact_table]
     for d in layout.dims:
         dim = encoded[d.table]
-        fact = fact.join(F.broadcast(dim) if broadcast_dims else dim, d.key, "inner")
+        small = dims_bounded if dims_bounded is not None else fits_broadcast(dim)
+        fact = fact.join(F.broadcast(dim) if small else dim, d.key, "inner")
     return fact
 
 
-def analysis_view(encoded: dict[str, DataFrame], view_name: str | None = None) -> DataFrame:
+def analysis_view(encoded: dict[str, DataFrame], view_name: str | None = None,
+                  dims_bounded: bool | None = None) -> DataFrame:
     """The labelled analysis view: 22 columns over the encoded star."""
-    j = star_join(encoded)
+    j = star_join(encoded, dims_bounded=dims_bounded)
     labels = [R.case_else_label(src, zero, other).alias(out)
               for out, (_, src, zero, other) in S.VIEW_FLAG_LABELS.items()]
     view = j.select(

@@ -160,7 +160,7 @@ def q_s7_csv_sink(spark, d):
 
 
 def q_v1_analysis_view(spark, d):
-    return V.analysis_view(V.encode_star(_star(spark, d)))
+    return V.analysis_view(V.encode_star(_star(spark, d)), dims_bounded=True)
 
 
 def q_a6_table_counts(spark, d):

@@ -3,13 +3,14 @@
 A ``SurveySpec`` says which raw columns exist, what they are called after
 cleaning, what kind they are and which values are valid.  A ``StarLayout``
 says how the clean table splits into dimensions and a fact.  Operators read
-only these objects, so they run on any coded table (see the ``labels`` and
-``lineitem`` specs at the bottom), not just the health survey.
+only these objects, so they run on any coded table (see the ``labels`` spec at
+the bottom, and the ``lineitem`` dimension in ``plans/catalog.py``), not just
+the health survey.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from math import prod
 
 # ---------------------------------------------------------------------------
@@ -313,12 +314,3 @@ LABELS_SPEC = SurveySpec(
     rename={},
     validation={"quality": ["No", "Yes"], "toxic": ["No", "Yes"]},
 )
-
-
-@dataclass(frozen=True)
-class GenericDim:
-    """A dimension over arbitrary columns of any table (no closed domain)."""
-
-    table: str
-    key: str
-    columns: tuple[str, ...] = field(default_factory=tuple)

@@ -10,7 +10,8 @@ from conftest import SF0001
 FAST = ["e1_clean", "a2_class_distribution", "a3_value_profile_raw", "a4_step_deltas",
         "a5_invalid_report", "a5_invalid_values", "f3_binary_infer_labels", "s3_bounded_scan",
         "e2_dim_demographics", "e2_fact_health_records", "e3_alt_fact_health_records",
-        "v1_analysis_view", "k_star_checks", "a1_lineitem_dimension", "a10_run_summary"]
+        "v1_analysis_view", "k_star_checks", "a1_lineitem_dimension", "a10_run_summary",
+        "e6_incremental"]
 
 
 @pytest.fixture(scope="module")

@@ -79,7 +79,7 @@ def test_alternate_layout(clean):
 
 
 def test_view_plan_broadcasts_dims_no_python(clean):
-    view = V.analysis_view(V.encode_star(ST.build_star(clean)))
+    view = V.analysis_view(V.encode_star(ST.build_star(clean)), dims_bounded=True)
     plan = view._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastHashJoin") >= 8      # 4 lookups + 4 view joins
     assert "SortMergeJoin" not in plan
