@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from starloom import spec as S
 from starloom.operators.clean import clean_survey
-from starloom.operators.numbering import dense_index, small_index
+from starloom.operators.numbering import dense_index
 from starloom.operators.star import FIRST, lookup_key
 from starloom.session import scratch_path
 
@@ -58,38 +58,89 @@ def _write_partition(df: DataFrame, path: str, batch_id: int) -> None:
        .partitionBy(BATCH).parquet(path))
 
 
+LEDGER = "_ledger"
+
+
+def _local_new_tuples(spark: SparkSession, prev: DataFrame | None, batch_rows, d: S.DimSpec,
+                      schema) -> tuple[DataFrame, DataFrame]:
+    """(new rows to append, full dimension for lookups) from bounded local rows."""
+    from pyspark.sql.types import IntegerType, StructField, StructType
+
+    fields = StructType([StructField(d.key, IntegerType(), False)] +
+                        [StructField(o, schema[s].dataType, True) for s, o in d.columns])
+    old = [tuple(r) for r in prev.select(d.key, *d.outputs).collect()] if prev is not None else []
+    known = {row[1:] for row in old}
+    start = max((row[0] for row in old), default=0) + 1
+    fresh = sorted((r for r in batch_rows if tuple(r[s] for s in d.sources) not in known),
+                   key=lambda r: (r[FIRST] is not None, r[FIRST]))
+    new = [tuple([start + i] + [r[s] for s in d.sources]) for i, r in enumerate(fresh)]
+    return spark.createDataFrame(new, fields), spark.createDataFrame(old + new, fields)
+
+
 def process_batch(batch: DataFrame, batch_id: int, out_root: str,
                   layout: S.StarLayout = S.MAIN_STAR, spec: S.SurveySpec = S.SURVEY,
                   order_key: str = "row_key") -> None:
-    """Clean one micro-batch and upsert it into the star under ``out_root``."""
+    """Clean one micro-batch and upsert it into the star under ``out_root``.
+
+    Dimensions are bounded by their closed domains (the batch is validated), so
+    one grouping-sets pass finds every dimension's tuples in the batch and the
+    new ones are ranked locally against the previous dimension rows; larger
+    dimensions take the distributed path.  Record ids continue from the ledger
+    (one row per batch), never from a scan of the growing fact.
+    """
     spark = batch.sparkSession
     root = out_root.rstrip("/")
     clean = clean_survey(batch, spec, "declared")
-    for d in layout.dims:
-        path = f"{root}/{d.table}"
-        prev = _previous(spark, path, batch_id)
-        seen = clean.groupBy(*d.sources).agg(F.min(order_key).alias(FIRST))
-        renamed = seen.select(*[F.col(s).alias(o) for s, o in d.columns], FIRST)
-        if prev is not None:
-            cond = [renamed[o].eqNullSafe(prev[o]) for o in d.outputs]
-            # bounded by the dimension's domain: broadcast is safe
-            renamed = renamed.join(F.broadcast(prev.select(*d.outputs)),
-                                   reduce(lambda a, b: a & b, cond), "left_anti")
-        start = _max_key(prev, d.key) + 1
-        new = small_index(renamed, [FIRST], d.key, start=start).select(d.key, *d.outputs)
-        _write_partition(new, path, batch_id)
-    dims = {d.table: spark.read.parquet(f"{root}/{d.table}").filter(F.col(BATCH) <= batch_id)
-            .drop(BATCH) for d in layout.dims}
-    fact_path = f"{root}/{layout.fact_table}"
-    start = _max_key(_previous(spark, fact_path, batch_id), layout.record_key) + 1
+    dims_spec = list(layout.dims)
+    bounds = [S.dimension_bound(spec, d) for d in dims_spec]
+    small = all(b is not None and b <= S.BROADCAST_ROW_BOUND for b in bounds)
+    dims: dict[str, DataFrame] = {}
+    if small:
+        cols: list[str] = []
+        for d in dims_spec:
+            cols += [c for c in d.sources if c not in cols]
+        grouped = (clean.groupingSets([[F.col(c) for c in d.sources] for d in dims_spec],
+                                      *[F.col(c) for c in cols])
+                        .agg(F.min(order_key).alias(FIRST), F.grouping_id().alias("_gid")))
+        rows = grouped.collect()                      # bounded: sum of dimension sizes
+        for d in dims_spec:
+            gid = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in d.sources)
+            prev = _previous(spark, f"{root}/{d.table}", batch_id)
+            new, full = _local_new_tuples(spark, prev, [r for r in rows if r["_gid"] == gid],
+                                          d, clean.schema)
+            _write_partition(new, f"{root}/{d.table}", batch_id)
+            dims[d.table] = full
+    else:
+        for d in dims_spec:
+            path = f"{root}/{d.table}"
+            prev = _previous(spark, path, batch_id)
+            seen = clean.groupBy(*d.sources).agg(F.min(order_key).alias(FIRST))
+            renamed = seen.select(*[F.col(s).alias(o) for s, o in d.columns], FIRST)
+            if prev is not None:
+                cond = [renamed[o].eqNullSafe(prev[o]) for o in d.outputs]
+                renamed = renamed.join(prev.select(*d.outputs),
+                                       reduce(lambda a, b: a & b, cond), "left_anti")
+            start = _max_key(prev, d.key) + 1
+            new = dense_index(renamed, [FIRST], d.key, start=start).select(
+                F.col(d.key).cast("int").alias(d.key), *d.outputs)
+            _write_partition(new, path, batch_id)
+            dims[d.table] = (spark.read.parquet(path).filter(F.col(BATCH) <= batch_id)
+                             .drop(BATCH))
+    ledger = _previous(spark, f"{root}/{LEDGER}", batch_id)
+    start = _max_key(ledger, "last_record_id") + 1
     fact = dense_index(clean, [order_key], layout.record_key, start=start)
-    for d in layout.dims:
-        fact = lookup_key(fact, dims[d.table], d, S.dimension_bound(spec, d),
+    for d, b in zip(dims_spec, bounds):
+        fact = lookup_key(fact, dims[d.table], d, b if small else None,
                           layout.null_safe_lookup, layout.strict_lookup)
     measures = [(F.col(src).cast(cast) if cast else F.col(src)).alias(out)
                 for src, out, cast in layout.measures]
     fact = fact.select(layout.record_key, *measures, *[d.key for d in layout.dims])
-    _write_partition(fact, fact_path, batch_id)
+    _write_partition(fact, f"{root}/{layout.fact_table}", batch_id)
+    written = spark.read.parquet(f"{root}/{layout.fact_table}").filter(F.col(BATCH) == batch_id)
+    summary = written.agg(F.coalesce(F.max(layout.record_key), F.lit(start - 1))
+                          .cast("long").alias("last_record_id"),
+                          F.count(F.lit(1)).alias("rows"))
+    _write_partition(summary, f"{root}/{LEDGER}", batch_id)
 
 
 def start_incremental(spark: SparkSession, source_dir: str, schema: str, out_root: str,
