@@ -14,8 +14,9 @@ answer depends on the joint distribution.  We compute it exactly without
 pulling rows to the driver: every column is mapped to a 5-state code (null, 0,
 1, 2, other) and the distinct code tuples are aggregated with a map-side
 combine.  That table is bounded by 5^k tuples and in practice tiny; it is
-checkpointed, and the k sequential decisions each run a one-row aggregate
-over it.  Only k single rows of four booleans reach the driver.
+materialised and size-checked: when small it is decided locally in one pass,
+otherwise the k sequential decisions each run a one-row aggregate over it (only
+k single rows of four booleans reach the driver).
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.skew import fits_broadcast
 from starloom.session import reliable_checkpoint
 
 OTHER = 3
@@ -50,12 +52,29 @@ def resolve_mode(has0: bool, has1: bool, has2: bool, has_other: bool) -> str | N
     return None
 
 
+def _resolve_local(rows, columns: list[str]) -> dict:
+    """The sequential decisions over the (small) collected code-tuple rows."""
+    modes: dict = {}
+    alive = list(rows)
+    for c in columns:
+        present = {r[c] for r in alive if r[c] is not None}
+        mode = resolve_mode(0 in present, 1 in present, 2 in present, OTHER in present)
+        modes[c] = mode
+        if mode is not None:
+            keep = {0, 1} if mode == "01" else {1, 2}
+            alive = [r for r in alive if r[c] in keep]
+    return modes
+
+
 def infer_binary_modes(df: DataFrame, columns: list[str]) -> dict:
     if not columns:
         return {}
     tuples = (df.select([_code(c).alias(c) for c in columns])
                 .groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")))
     tuples = reliable_checkpoint(tuples, "binary-codes")
+    if fits_broadcast(tuples):
+        # size-checked: few distinct code tuples, decide in one pass locally
+        return _resolve_local(tuples.collect(), columns)
     modes: dict = {}
     alive = F.lit(True)
     for c in columns:

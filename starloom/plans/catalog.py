@@ -203,8 +203,7 @@ def q_s11_verify_counts(spark, d):
 
 def q_e4_end_to_end(spark, d):
     res = runs.end_to_end(_raw(spark, d), scratch_path(spark, "e4-published"))
-    return SK.read_published(spark, res.published["fact_health_records"].rsplit("/v=", 1)[0])[
-        "fact_health_records"]
+    return SK.read_published(spark, res.published_root)["fact_health_records"]
 
 
 def q_e5_staged_run(spark, d):

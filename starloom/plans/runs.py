@@ -27,6 +27,7 @@ class RunResult:
     star: dict[str, DataFrame]
     published: dict[str, str] | None = None
     summary: DataFrame | None = None
+    published_root: str | None = None
 
 
 def end_to_end(raw: DataFrame, out_root: str | None = None,
@@ -36,7 +37,8 @@ def end_to_end(raw: DataFrame, out_root: str | None = None,
     clean = clean_survey(raw, spec, binary_mode)
     star = build_star(clean, layout, spec)
     published = sinks.publish_star(star, out_root, layout) if out_root else None
-    return RunResult(raw, clean, class_distribution(clean), star, published)
+    return RunResult(raw, clean, class_distribution(clean), star, published,
+                     published_root=out_root)
 
 
 def staged_run(spark: SparkSession, raw: DataFrame, stage_root: str, out_root: str,
@@ -51,4 +53,5 @@ def staged_run(spark: SparkSession, raw: DataFrame, stage_root: str, out_root: s
     published = sinks.publish_star(staged, out_root, layout)
     loaded = sinks.read_published(spark, out_root, layout)
     summary = run_summary(raw_s, clean_s, loaded)
-    return RunResult(raw_s, clean_s, class_distribution(clean_s), staged, published, summary)
+    return RunResult(raw_s, clean_s, class_distribution(clean_s), staged, published, summary,
+                     published_root=out_root)
