@@ -37,3 +37,25 @@ def test_salted_join_null_safe(spark):
 def test_fits_broadcast(spark):
     assert fits_broadcast(spark.range(10), max_rows=10)
     assert not fits_broadcast(spark.range(11), max_rows=10)
+
+
+def test_star_with_hot_tuple_salted_equals_broadcast(spark, monkeypatch):
+    from conftest import survey_df, survey_row
+    from starloom import spec as S
+    from starloom.operators import clean as C
+    from starloom.operators import star as ST
+
+    rows = [survey_row() for _ in range(60)]                       # one hot tuple
+    rows += [survey_row(_AGEG5YR=float(a), EDUCA=float(e)) for a in range(1, 6) for e in range(1, 5)]
+    clean = C.clean_survey(survey_df(spark, rows))
+    ref = ST.build_star(clean, validated=False)
+    want = {t: sorted(map(tuple, df.collect()), key=repr) for t, df in ref.items()}
+    monkeypatch.setattr(ST, "fits_broadcast", lambda _df, max_rows=0: False)
+    salted = ST.build_star(clean, validated=False)
+    fact = salted["fact_health_records"]
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in plan
+    got = {t: sorted(map(tuple, df.collect()), key=repr) for t, df in salted.items()}
+    assert got == want
+    assert len(want["fact_health_records"]) == 80 and len(want["dim_demographics"]) == 20
+    assert S.MAIN_STAR.fact_table in got
