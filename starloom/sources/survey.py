@@ -89,11 +89,25 @@ def derived_survey(spark: SparkSession, sf_dir: str, with_year: bool = False) ->
     if not with_year:
         return raw
     years = orders.select(F.col("o_orderkey").alias("row_key"),
-                          F.year("o_orderdate").cast("int").alias("DATA_YEAR"))
+                          utc_year(orders, "o_orderdate").alias("DATA_YEAR"))
     # row_key is unique on both sides; a broadcast would not be size-bounded,
     # so the join is left to the planner (AQE picks broadcast when small).
     return raw.join(years, "row_key")
 
 
+def utc_year(df: DataFrame, column: str):
+    """Calendar year of a timestamp in UTC, whatever the session time zone.
+
+    An instant (``timestamp``) goes through epoch days, which no time zone
+    shifts; a wall-clock ``timestamp_ntz`` already is UTC-naive.
+    """
+    from pyspark.sql import functions as F
+
+    if dict(df.dtypes)[column] == "timestamp":
+        days = F.floor(F.unix_seconds(F.col(column)) / 86400).cast("int")
+        return F.year(F.date_from_unix_date(days)).cast("int")
+    return F.year(F.col(column)).cast("int")
+
+
 def derived_survey_sql_text(orders_relation: str = "orders") -> str:
     return DERIVED_SURVEY_SQL.replace("{orders}", orders_relation)
