@@ -117,6 +117,21 @@ def _local_offsets(spark, rows, gid: int) -> DataFrame:
     return spark.createDataFrame(data, f"{PID} int, _base bigint, _off bigint")
 
 
+def star_grouping(ranged: DataFrame, layout: S.StarLayout,
+                  order_key: str) -> tuple[DataFrame, list[str]]:
+    """The single pass over the tagged clean table: every dimension's tuples
+    (with first-seen key) and every partition's size, as grouping sets."""
+    all_cols: list[str] = []
+    for d in layout.dims:
+        all_cols += [c for c in d.sources if c not in all_cols]
+    group_cols = all_cols + [PID]
+    sets = [[F.col(c) for c in d.sources] for d in layout.dims] + [[F.col(PID)]]
+    grouped = (ranged.groupingSets(sets, *[F.col(c) for c in group_cols])
+                     .agg(F.min(order_key).alias(FIRST), F.count(F.lit(1)).alias("_n"),
+                          F.min(MID).alias("_base"), F.grouping_id().alias("_gid")))
+    return grouped, group_cols
+
+
 def build_star(clean: DataFrame, layout: S.StarLayout = S.MAIN_STAR,
                spec: S.SurveySpec | None = S.SURVEY, order_key: str = "row_key",
                validated: bool = True, num_partitions: int | None = None) -> dict[str, DataFrame]:
@@ -136,14 +151,7 @@ def build_star(clean: DataFrame, layout: S.StarLayout = S.MAIN_STAR,
     spark = clean.sparkSession
     ranged = range_tag(clean, [order_key], num_partitions)
     dims_spec = list(layout.dims)
-    all_cols: list[str] = []
-    for d in dims_spec:
-        all_cols += [c for c in d.sources if c not in all_cols]
-    group_cols = all_cols + [PID]
-    sets = [[F.col(c) for c in d.sources] for d in dims_spec] + [[F.col(PID)]]
-    grouped = (ranged.groupingSets(sets, *[F.col(c) for c in group_cols])
-                     .agg(F.min(order_key).alias(FIRST), F.count(F.lit(1)).alias("_n"),
-                          F.min(MID).alias("_base"), F.grouping_id().alias("_gid")))
+    grouped, group_cols = star_grouping(ranged, layout, order_key)
     bounds = [_bound(spec, d, validated) for d in dims_spec]
     small = all(b is not None and b <= S.BROADCAST_ROW_BOUND for b in bounds)
 
