@@ -65,6 +65,22 @@ def cleaning_steps(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> list[tuple[s
     return steps
 
 
+def _all_steps(df: DataFrame, spec: S.SurveySpec) -> list[tuple[str, Column]]:
+    steps = cleaning_steps(df, spec)
+    valid = reduce(lambda a, b: a & b,
+                   [R.in_domain(_recoded_expr(c, spec), vals)
+                    for c, vals in _validation_on_raw(df, spec)], F.lit(True))
+    steps.append(("validate", valid))
+    return steps
+
+
+def removing_step(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> Column:
+    """Index of the first cleaning step that removes the row (null: it survives)."""
+    steps = _all_steps(df, spec)
+    return F.coalesce(*[F.when(~pred, F.lit(i)) for i, (_, pred) in enumerate(steps, start=1)],
+                      F.lit(None).cast("int"))
+
+
 def step_deltas(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> DataFrame:
     """Rows before / after / removed for every cleaning step, in one pass.
 
@@ -74,14 +90,8 @@ def step_deltas(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> DataFrame:
     single result row.  The last step, validation, is evaluated on the
     recoded values.
     """
-    steps = cleaning_steps(df, spec)
-    valid = reduce(lambda a, b: a & b,
-                   [R.in_domain(_recoded_expr(c, spec), vals)
-                    for c, vals in _validation_on_raw(df, spec)], F.lit(True))
-    steps.append(("validate", valid))
-    first = F.coalesce(*[F.when(~pred, F.lit(i)) for i, (_, pred) in enumerate(steps, start=1)],
-                       F.lit(None).cast("int"))
-    tagged = df.select(first.alias("_step"))
+    steps = _all_steps(df, spec)
+    tagged = df.select(removing_step(df, spec).alias("_step"))
     counts = tagged.agg(F.count(F.lit(1)).alias("total"),
                         *[F.count_if(F.col("_step") == i).alias(f"r{i}")
                           for i in range(1, len(steps) + 1)])
@@ -96,6 +106,25 @@ def step_deltas(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> DataFrame:
     return counts.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
 
 
+def value_profile_by_step(df: DataFrame, spec: S.SurveySpec = S.SURVEY,
+                          columns: list[str] | None = None) -> DataFrame:
+    """(column_name, value, removed_at_step, n): each raw value's count, split by
+    the cleaning step that removes its row (null = the row survives).
+
+    The distinct values present after step k are those with a row whose
+    ``removed_at_step`` is null or greater than k, so every before/after view
+    of every step comes from this one table, built in one scan with a map-side
+    partial aggregate.
+    """
+    columns = [c for c in (columns or spec.selected) if c in df.columns]
+    tagged = df.select(removing_step(df, spec).alias("removed_at_step"),
+                       *[F.col(c).cast("double").alias(c) for c in columns])
+    long = tagged.unpivot(["removed_at_step"], columns, "column_name", "value")
+    return (long.filter(F.col("value").isNotNull())
+                .groupBy("column_name", "value", "removed_at_step")
+                .agg(F.count(F.lit(1)).alias("n")))
+
+
 def _validation_on_raw(df: DataFrame, spec: S.SurveySpec) -> list[tuple[str, list]]:
     """Validation rules mapped back to the raw columns they are computed from."""
     back = {v: k for k, v in spec.rename.items()}

@@ -76,6 +76,10 @@ def q_a3_value_profile_clean(spark, d):
     return P.value_profile(c, [x for x in c.columns if x != "row_key"])
 
 
+def q_a3_value_profile_steps(spark, d):
+    return P.value_profile_by_step(_raw(spark, d))
+
+
 def q_a4_step_deltas(spark, d):
     return P.step_deltas(_raw(spark, d))
 
@@ -235,6 +239,7 @@ QUERIES: dict[str, Query] = {
     "a2_class_distribution": q_a2_class_distribution,
     "a3_value_profile_raw": q_a3_value_profile_raw,
     "a3_value_profile_clean": q_a3_value_profile_clean,
+    "a3_value_profile_steps": q_a3_value_profile_steps,
     "a4_step_deltas": q_a4_step_deltas,
     "a5_invalid_report": q_a5_invalid_report,
     "a5_invalid_values": q_a5_invalid_values,
@@ -296,6 +301,7 @@ def _oracle() -> dict[str, str]:
         "SELECT column_name, value, count(*) AS n FROM (" + " UNION ALL ".join(
             f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM clean"
             for c in clean_cols) + ") u WHERE value IS NOT NULL GROUP BY column_name, value"))
+    sql["a3_value_profile_steps"] = O.value_profile_by_step_sql()
     sql["a4_step_deltas"] = O.step_deltas_sql()
     ff = O.first_failure_ctes()
     sql["a5_invalid_report"] = O.with_ctes(ff, (

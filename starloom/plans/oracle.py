@@ -227,3 +227,20 @@ def incremental_star_ctes(layout: S.StarLayout = S.MAIN_STAR) -> list[tuple[str,
         "row_number() OVER (ORDER BY c.row_key)", "row_number() OVER (ORDER BY c.DATA_YEAR, c.row_key)")
     ctes.append((layout.fact_table, fact))
     return ctes
+
+
+def value_profile_by_step_sql() -> str:
+    """Each raw value's count by the first cleaning step removing its row."""
+    steps = step_predicates()
+    valid = [f"COALESCE(DIABETE3 IN ({_lst(S.TARGET_LABELS)}), FALSE)"]
+    valid += [f"COALESCE({b} IN (1, 2), FALSE)" for b in S.BINARY_COLUMNS]
+    valid += [f"COALESCE({c} IN ({_lst(d)}), FALSE)" for c, d in S.ORDINAL_DOMAINS.items()]
+    preds = [p for _, p in steps] + [" AND ".join(valid)]
+    first = "CASE " + " ".join(f"WHEN NOT ({p}) THEN {i}" for i, p in enumerate(preds, start=1)) + " END"
+    union = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS value, removed_at_step FROM tagged"
+        for c in S.SELECTED_COLUMNS)
+    return with_ctes(
+        [("raw", RAW), ("tagged", f"SELECT *, CAST({first} AS INTEGER) AS removed_at_step FROM raw")],
+        f"SELECT column_name, value, removed_at_step, count(*) AS n FROM ({union}) u "
+        "WHERE value IS NOT NULL GROUP BY column_name, value, removed_at_step")

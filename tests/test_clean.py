@@ -154,3 +154,12 @@ def test_local_and_distributed_mode_resolution_agree(spark):
     finally:
         B.fits_broadcast = saved
     assert local == distributed
+
+
+def test_value_profile_by_step_agrees_with_clean(spark):
+    prof = P.value_profile_by_step(derived_survey(spark, SF0001))
+    sex = prof.filter("column_name = 'SEX' AND removed_at_step IS NULL").collect()
+    assert {r["value"] for r in sex} == {1.0, 2.0}
+    assert sum(r["n"] for r in sex) == 1077
+    # rows removed by the null step carry no value for the null column itself
+    assert prof.filter("removed_at_step = 1").count() > 0
