@@ -90,13 +90,23 @@ def jdbc_write(df: DataFrame, url: str, table: str, mode: str = "append",
     return True
 
 
+def _stamped(df: DataFrame, created_at: bool) -> DataFrame:
+    if not created_at:
+        return df
+    from starloom.operators.quality import with_created_at
+    return with_created_at(df)
+
+
 def jdbc_load_star(star: dict[str, DataFrame], url: str, layout: S.StarLayout = S.MAIN_STAR,
                    properties: dict | None = None, recreate: bool = True,
-                   types: dict = S.LOAD_TYPES) -> None:
-    """Dimensions first, then the fact; with ``recreate`` the tables are re-made."""
+                   types: dict = S.LOAD_TYPES, created_at: bool = False) -> None:
+    """Dimensions first, then the fact; with ``recreate`` the tables are re-made.
+
+    ``created_at`` adds the load timestamp column (K6).
+    """
     for name in layout.tables:
         ddl = {c: t for c, t in types.get(name, {}).items() if c in star[name].columns}
-        jdbc_write(load_casts(star[name], types.get(name, {})), url, name,
+        jdbc_write(_stamped(load_casts(star[name], types.get(name, {})), created_at), url, name,
                    mode="overwrite" if recreate else "append", properties=properties,
                    column_types=ddl if recreate else None)
 
@@ -141,7 +151,7 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
 
 def publish_star(star: dict[str, DataFrame], root: str, layout: S.StarLayout = S.MAIN_STAR,
                  check: bool = True, types: dict = S.LOAD_TYPES,
-                 version: str | None = None) -> dict[str, str]:
+                 version: str | None = None, created_at: bool = False) -> dict[str, str]:
     """Check, write dims then fact under a new version, then switch the pointer.
 
     The constraints run first, on the star as built (so a value that would not
@@ -163,7 +173,8 @@ def publish_star(star: dict[str, DataFrame], root: str, layout: S.StarLayout = S
     paths = {}
     for name in layout.tables:
         path = f"{base}/{name}"
-        load_casts(star[name], types.get(name, {})).write.mode("overwrite").parquet(path)
+        _stamped(load_casts(star[name], types.get(name, {})), created_at) \
+            .write.mode("overwrite").parquet(path)
         paths[name] = path
     _write_text(spark, f"{root.rstrip('/')}/{POINTER}", version)
     return paths

@@ -110,3 +110,19 @@ def test_jdbc_derby_in_memory(spark):
 def test_empty_frame_skipped(spark):
     empty = spark.createDataFrame([], "a int")
     assert SK.jdbc_write(empty, "jdbc:derby:memory:unused;create=true", "t") is False
+
+
+def test_partitioned_year_layout_discovered(spark, tmp_dir):
+    raw = derived_survey(spark, SF0001, with_year=True)
+    FS.write_year_files(raw, f"{tmp_dir}/years")
+    years = FS.year_files(spark, f"{tmp_dir}/years")
+    assert sorted(years) == list(range(1995, 2002))
+    u = FS.union_years(spark, f"{tmp_dir}/years")
+    assert u.count() == 1500 and u.filter("DATA_YEAR IS NULL").count() == 0
+
+
+def test_publish_with_created_at(spark, tmp_dir):
+    star = ST.build_star(C.clean_survey(derived_survey(spark, SF0001)))
+    SK.publish_star(star, tmp_dir, created_at=True)
+    fact = SK.read_published(spark, tmp_dir)["fact_health_records"]
+    assert "created_at" in fact.columns and fact.filter("created_at IS NULL").count() == 0
