@@ -11,8 +11,9 @@ Plan, for a clean table of any size:
   tuple costs nothing extra), each tuple keeping ``min(order key)`` = where it
   was first seen.
 * W1: dense surrogate keys in first-seen order.  Over closed domains the
-  dimension size is proven (product of domain sizes), so a one-partition
-  window is safe; otherwise the distributed ``dense_index`` is used.
+  dimension size is proven (product of domain sizes), so the few tuples are
+  ranked locally (a window over them would be just as safe); otherwise the
+  tuples are materialised and numbered with the distributed ``dense_index``.
 * J2/J1: the fact fetches each key by an equi-join on the tuple; proven-small
   dimensions are broadcast (map-only, no shuffle of the fact); a dimension
   without a proven bound is counted first (up to the limit) and broadcast only
@@ -28,9 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom import spec as S
-from starloom.operators.skew import fits_broadcast, salted_join
 from starloom.operators.numbering import (MID, PID, apply_offsets, dense_index,
                                           partition_offsets, range_tag, small_index)
+from starloom.operators.skew import fits_broadcast, salted_join
 from starloom.session import reliable_checkpoint
 
 FIRST = "_first_seen"
