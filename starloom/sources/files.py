@@ -92,23 +92,75 @@ def tag_year(df: DataFrame, year: int, column: str = S.YEAR_COLUMN) -> DataFrame
 
 
 # U1 -------------------------------------------------------------------------
+YEAR_IN_PATH = r"(?:^|/)(?:([0-9]+)\.csv|DATA_YEAR=([0-9]+))(?:/|$)"
+
+
+def _header(spark: SparkSession, path: str) -> tuple[str, ...] | None:
+    """Column names on the first line of a yearly CSV (file or Spark folder).
+
+    Reads one line through the Hadoop FileSystem (no Spark job); returns None
+    when that is not possible (empty or compressed parts), and the caller
+    falls back to Spark's own header handling for that year.
+    """
+    import csv
+
+    p, fs = _fs(spark, path)
+    st = fs.getFileStatus(p)
+    if st.isDirectory():
+        parts = sorted((x for x in fs.listStatus(p)
+                        if x.isFile() and x.getLen() > 0
+                        and not x.getPath().getName().startswith(("_", "."))),
+                       key=lambda x: x.getPath().getName())
+        if not parts or not parts[0].getPath().getName().endswith(".csv"):
+            return None
+        p = parts[0].getPath()
+    jvm = spark.sparkContext._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
+    try:
+        line = reader.readLine()
+    finally:
+        reader.close()
+    if line is None:
+        return None
+    return tuple(c.strip() for c in next(csv.reader([line.lstrip("\ufeff")])))
+
+
+def _scan_years(spark: SparkSession, paths: list[str], spec: S.SurveySpec) -> DataFrame:
+    """One scan over yearly files sharing a header; the year comes from each path."""
+    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(paths)
+    path = F.col("_metadata.file_path")
+    year = F.coalesce(F.nullif(F.regexp_extract(path, YEAR_IN_PATH, 1), F.lit("")),
+                      F.nullif(F.regexp_extract(path, YEAR_IN_PATH, 2), F.lit(""))).cast("int")
+    tagged = raw.withColumn(spec.year_column, year)
+    keep = KEY_COLUMNS + (spec.year_column,)
+    selected = select_features(tagged, spec, keep)
+    out = parse_numbers(selected, [c for c in selected.columns if c not in keep])
+    return out.withColumns({k: F.col(k).cast("bigint") for k in KEY_COLUMNS if k in out.columns})
+
+
 def union_years(spark: SparkSession, data_dir: str, spec: S.SurveySpec = S.SURVEY,
                 years: list[int] | None = None) -> DataFrame:
     """All yearly files appended, ``DATA_YEAR`` added, missing columns null.
 
-    A year that cannot be read or lacks the target is skipped with a warning;
-    when every year fails the call raises.  The loop runs over files (a handful
-    of years), each read is a lazy scan; data never passes through the driver.
+    Years whose files share a header are read in ONE scan, with the year taken
+    from each row's file path (``_metadata.file_path``); headers are read as
+    one line per year through the file system, not by Spark jobs.  A group of
+    years that cannot be read or lacks the target is skipped with a warning;
+    when every year fails the call raises.  Data never passes the driver.
     """
     files = year_files(spark, data_dir)
     if years is not None:
         files = {y: p for y, p in files.items() if y in set(years)}
-    frames = []
+    groups: dict[tuple, list[str]] = {}
     for year, path in files.items():
+        header = _header(spark, path)
+        groups.setdefault(header if header is not None else ("__year__", year), []).append(path)
+    frames = []
+    for header, paths in groups.items():
         try:
-            frames.append(tag_year(csv_scan(spark, path, spec), year, spec.year_column))
+            frames.append(_scan_years(spark, paths, spec))
         except Exception as e:  # noqa: BLE001 - a bad year is skipped, as specified
-            log.warning("failed to load %s: %s", year, e)
+            log.warning("failed to load %s: %s", paths, e)
     if not frames:
         raise RuntimeError("no yearly dataset could be loaded")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
