@@ -99,11 +99,18 @@ def _stamped(df: DataFrame, created_at: bool) -> DataFrame:
 
 def jdbc_load_star(star: dict[str, DataFrame], url: str, layout: S.StarLayout = S.MAIN_STAR,
                    properties: dict | None = None, recreate: bool = True,
-                   types: dict = S.LOAD_TYPES, created_at: bool = False) -> None:
+                   types: dict = S.LOAD_TYPES, created_at: bool = False,
+                   check: bool = True) -> None:
     """Dimensions first, then the fact; with ``recreate`` the tables are re-made.
 
-    ``created_at`` adds the load timestamp column (K6).
+    The constraints are checked first (so NOT NULL is judged before the zero
+    fill of the insert); ``created_at`` adds the load timestamp column (K6).
     """
+    if check:
+        from starloom.operators.quality import check_star
+
+        if not check_star(star, layout, types).isEmpty():
+            raise ValueError("star failed its constraints; nothing loaded")
     for name in layout.tables:
         ddl = {c: t for c, t in types.get(name, {}).items() if c in star[name].columns}
         jdbc_write(_stamped(load_casts(star[name], types.get(name, {})), created_at), url, name,
