@@ -195,8 +195,11 @@ def invalid_values(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> DataFrame:
 
 # A8 -------------------------------------------------------------------------
 def years_included(df: DataFrame, year_col: str = S.YEAR_COLUMN) -> DataFrame:
-    return (df.groupBy(year_col).agg(F.count(F.lit(1)).alias("n_records"))
-              .orderBy(year_col))
+    """Rows per year, plus the total (``is_total``), from one rollup aggregate."""
+    return (df.rollup(year_col)
+              .agg(F.count(F.lit(1)).alias("n_records"),
+                   (F.grouping(year_col) == 1).alias("is_total"))
+              .orderBy("is_total", year_col))
 
 
 # A9 -------------------------------------------------------------------------

@@ -329,8 +329,9 @@ def _oracle() -> dict[str, str]:
         "CASE WHEN toxic = 1 THEN 'Yes' ELSE 'No' END AS toxic, count(*) AS n_docs "
         "FROM labels WHERE quality IN (0, 1) AND toxic IN (0, 1) GROUP BY 1, 2")
     sql["u1_union_years"] = f"SELECT * FROM ({O.RAW_YEAR}) y"
-    sql["a8_years_included"] = (f"SELECT DATA_YEAR, count(*) AS n_records FROM ({O.RAW_YEAR}) y "
-                                "GROUP BY DATA_YEAR")
+    sql["a8_years_included"] = (f"SELECT DATA_YEAR, count(*) AS n_records, "
+                                f"GROUPING(DATA_YEAR) = 1 AS is_total FROM ({O.RAW_YEAR}) y "
+                                "GROUP BY ROLLUP (DATA_YEAR)")
     sql["s1_csv_scan"] = f"SELECT * FROM ({O.RAW}) r"
     sql["s3_bounded_scan"] = f"SELECT * FROM ({O.RAW}) r ORDER BY row_key LIMIT 1000"
     sql["s4_single_year"] = (f"SELECT * EXCLUDE (DATA_YEAR) FROM ({O.RAW_YEAR}) y "

@@ -38,8 +38,10 @@ def test_year_discovery_union_and_skips(spark, tmp_dir):
     _write_csv(f"{tmp_dir}/2016.csv", no_target, [[_full_row()[c] for c in no_target]])
     assert sorted(FS.year_files(spark, tmp_dir)) == [2014, 2015, 2016]
     u = FS.union_years(spark, tmp_dir)                # 2016 skipped (no target)
-    years = {r["DATA_YEAR"]: r["n_records"] for r in P.years_included(u).collect()}
+    years = {r["DATA_YEAR"]: r["n_records"] for r in P.years_included(u).collect()
+             if not r["is_total"]}
     assert years == {2014: 2, 2015: 3}
+    assert [r["n_records"] for r in P.years_included(u).collect() if r["is_total"]] == [5]
     assert u.filter("DATA_YEAR = 2015 AND INCOME2 IS NULL").count() == 3
     # the year missing a column loses all its rows at the null step
     assert C.clean_survey(u).groupBy("DATA_YEAR").count().collect()[0]["DATA_YEAR"] == 2014
