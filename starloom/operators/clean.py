@@ -61,7 +61,8 @@ def apply_binary_modes(df: DataFrame, modes: dict) -> DataFrame:
     ``modes[c]`` is "01", "12" or None (no binary pattern: rows untouched, the
     value kept as text so the schema stays stable; validation then rejects it).
     """
-    present = [c for c in modes if c in df.columns]
+    have = set(df.columns)
+    present = [c for c in modes if c in have]
     if not present:
         return df
     df = df.filter(_and([R.keep_in(c, R.binary_codes(modes[c]))
@@ -81,7 +82,8 @@ def binary_inferred(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> DataFrame:
     """F3 with each column's encoding inferred from the data, exactly."""
     from starloom.operators.binary import infer_binary_modes
 
-    modes = infer_binary_modes(df, [c for c in spec.binaries if c in df.columns])
+    have = set(df.columns)
+    modes = infer_binary_modes(df, [c for c in spec.binaries if c in have])
     return apply_binary_modes(df, modes)
 
 
@@ -94,13 +96,15 @@ def scale_bmi(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> DataFrame:
 
 # F4 -------------------------------------------------------------------------
 def ordinal_predicate(df: DataFrame, spec: S.SurveySpec) -> Column:
-    return _and([R.in_domain(c, dom) for c, dom in spec.ordinals.items() if c in df.columns])
+    have = set(df.columns)
+    return _and([R.in_domain(c, dom) for c, dom in spec.ordinals.items() if c in have])
 
 
 def ordinal_domain(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> DataFrame:
     """Keep rows whose ordinal codes are all valid (order-free result)."""
+    have = set(df.columns)
     return df.filter(_and([R.keep_in(c, dom) for c, dom in spec.ordinals.items()
-                           if c in df.columns]))
+                           if c in have]))
 
 
 # C3 -------------------------------------------------------------------------
@@ -114,13 +118,15 @@ def recode_sex(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> DataFrame:
 # P3 -------------------------------------------------------------------------
 def rename_clean(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> DataFrame:
     """Raw names -> clean names; unknown names untouched."""
-    return df.withColumnsRenamed({k: v for k, v in spec.rename.items() if k in df.columns})
+    have = set(df.columns)
+    return df.withColumnsRenamed({k: v for k, v in spec.rename.items() if k in have})
 
 
 # F5 -------------------------------------------------------------------------
 def validation_rules(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> list[tuple[str, list]]:
     """(clean column, allowed values) for the columns present, in check order."""
-    return [(c, vals) for c, vals in spec.validation.items() if c in df.columns]
+    have = set(df.columns)
+    return [(c, vals) for c, vals in spec.validation.items() if c in have]
 
 
 def validation_predicate(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> Column:
@@ -172,13 +178,14 @@ def lenient_recode(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> DataFrame:
     final format with bad values left in, the input of the validation-only path.
     """
     cols = {}
-    if spec.target and spec.target in df.columns:
+    have = set(df.columns)
+    if spec.target and spec.target in have:
         cols[spec.target] = R.recode_target(spec.target, spec.target_labels)
     for c in spec.binaries:
-        if c in df.columns:
+        if c in have:
             cols[c] = R.recode_binary_lenient(c, spec.binary_encoding[c])
-    if spec.sex_column and spec.sex_column in df.columns:
+    if spec.sex_column and spec.sex_column in have:
         cols[spec.sex_column] = R.recode_sex(spec.sex_column, spec.sex_labels)
-    if spec.bmi_column and spec.bmi_column in df.columns:
+    if spec.bmi_column and spec.bmi_column in have:
         cols[spec.bmi_column] = R.scale_bmi(spec.bmi_column)
     return rename_clean(df.withColumns(cols), spec)

@@ -54,29 +54,30 @@ def value_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 def cleaning_steps(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> list[tuple[str, Column]]:
     """(step name, predicate on raw columns) in the order the cleaning applies them."""
     steps = [("drop_any_null", C.not_null_predicate(df))]
-    if spec.target and spec.target in df.columns:
+    have = set(df.columns)
+    if spec.target and spec.target in have:
         steps.append(("valid_target", C.target_predicate(spec)))
     for c in spec.binaries:
-        if c in df.columns:
+        if c in have:
             steps.append((f"binary:{c}", C.binary_predicate(c, spec.binary_encoding[c])))
     for c, dom in spec.ordinals.items():
-        if c in df.columns:
+        if c in have:
             steps.append((f"ordinal:{c}", R.in_domain(c, dom)))
     return steps
 
 
 def _all_steps(df: DataFrame, spec: S.SurveySpec) -> list[tuple[str, Column]]:
     steps = cleaning_steps(df, spec)
-    valid = reduce(lambda a, b: a & b,
-                   [R.in_domain(_recoded_expr(c, spec), vals)
-                    for c, vals in _validation_on_raw(df, spec)], F.lit(True))
-    steps.append(("validate", valid))
+    rules = [R.sql_in_domain(_recoded_sql(c, spec), vals)
+             for c, vals in _validation_on_raw(df, spec)]
+    steps.append(("validate", F.expr(" AND ".join(rules)) if rules else F.lit(True)))
     return steps
 
 
-def removing_step(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> Column:
+def removing_step(df: DataFrame, spec: S.SurveySpec = S.SURVEY,
+                  steps: list[tuple[str, Column]] | None = None) -> Column:
     """Index of the first cleaning step that removes the row (null: it survives)."""
-    steps = _all_steps(df, spec)
+    steps = steps if steps is not None else _all_steps(df, spec)
     return F.coalesce(*[F.when(~pred, F.lit(i)) for i, (_, pred) in enumerate(steps, start=1)],
                       F.lit(None).cast("int"))
 
@@ -91,7 +92,7 @@ def step_deltas(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> DataFrame:
     recoded values.
     """
     steps = _all_steps(df, spec)
-    tagged = df.select(removing_step(df, spec).alias("_step"))
+    tagged = df.select(removing_step(df, spec, steps).alias("_step"))
     counts = tagged.agg(F.count(F.lit(1)).alias("total"),
                         *[F.count_if(F.col("_step") == i).alias(f"r{i}")
                           for i in range(1, len(steps) + 1)])
@@ -116,7 +117,8 @@ def value_profile_by_step(df: DataFrame, spec: S.SurveySpec = S.SURVEY,
     of every step comes from this one table, built in one scan with a map-side
     partial aggregate.
     """
-    columns = [c for c in (columns or spec.selected) if c in df.columns]
+    have = set(df.columns)
+    columns = [c for c in (columns or spec.selected) if c in have]
     tagged = df.select(removing_step(df, spec).alias("removed_at_step"),
                        *[F.col(c).cast("double").alias(c) for c in columns])
     long = tagged.unpivot(["removed_at_step"], columns, "column_name", "value")
@@ -128,21 +130,23 @@ def value_profile_by_step(df: DataFrame, spec: S.SurveySpec = S.SURVEY,
 def _validation_on_raw(df: DataFrame, spec: S.SurveySpec) -> list[tuple[str, list]]:
     """Validation rules mapped back to the raw columns they are computed from."""
     back = {v: k for k, v in spec.rename.items()}
+    have = set(df.columns)
     return [(back.get(c, c), vals) for c, vals in spec.validation.items()
-            if back.get(c, c) in df.columns]
+            if back.get(c, c) in have]
 
 
-def _recoded_expr(raw_col: str, spec: S.SurveySpec) -> Column:
-    """The clean value of a raw column, as the cleaning chain would compute it."""
+def _recoded_sql(raw_col: str, spec: S.SurveySpec) -> str:
+    """The clean value of a raw column, as the cleaning chain would compute it (SQL)."""
+    q = R.quote(raw_col)
     if raw_col == spec.target:
-        return R.recode_target(raw_col, spec.target_labels)
+        return R.sql_case(q, spec.target_labels)
     if raw_col in spec.binaries:
-        return R.recode_binary_lenient(raw_col, spec.binary_encoding[raw_col])
+        return R.recode_binary_lenient_sql(q, spec.binary_encoding[raw_col])
     if raw_col == spec.sex_column:
-        return R.recode_sex(raw_col, spec.sex_labels)
+        return R.sql_case(q, spec.sex_labels)
     if raw_col == spec.bmi_column:
-        return R.scale_bmi(raw_col)
-    return F.col(raw_col)
+        return f"({q} / {R.sql_literal(S.BMI_SCALE)})"
+    return q
 
 
 # A5 -------------------------------------------------------------------------
@@ -150,12 +154,10 @@ def _first_failure(df: DataFrame, spec: S.SurveySpec):
     rules = C.validation_rules(df, spec)
     first = F.coalesce(*[F.when(R.not_in_domain(c, vals), F.lit(i))
                          for i, (c, vals) in enumerate(rules, start=1)], F.lit(None).cast("int"))
-    name = R.lookup(F.col("rule_no"), {i: c for i, (c, _) in enumerate(rules, start=1)})
-    offending = None
-    for i, (c, _) in enumerate(rules, start=1):
-        v = F.col(c).cast("string")
-        cond = F.col("rule_no") == i
-        offending = F.when(cond, v) if offending is None else offending.when(cond, v)
+    name = R.lookup("rule_no", {i: c for i, (c, _) in enumerate(rules, start=1)})
+    offending = F.expr("CASE " + " ".join(
+        f"WHEN rule_no = {i} THEN CAST({R.quote(c)} AS STRING)"
+        for i, (c, _) in enumerate(rules, start=1)) + " END") if rules else None
     return rules, first, name, offending
 
 

@@ -35,15 +35,16 @@ def select_features(df: DataFrame, spec: S.SurveySpec = S.SURVEY,
 
     Errors when none exists or the target is missing; warns on the others.
     """
-    available = [c for c in spec.selected if c in df.columns]
-    missing = [c for c in spec.selected if c not in df.columns]
+    have = set(df.columns)
+    available = [c for c in spec.selected if c in have]
+    missing = [c for c in spec.selected if c not in have]
     if not available:
         raise ValueError("none of the survey columns is in the table")
     if spec.target and spec.target not in available:
         raise ValueError(f"target column {spec.target!r} is missing")
     if missing:
         log.warning("missing survey columns: %s", missing)
-    keys = [k for k in keep if k in df.columns and k not in available]
+    keys = [k for k in keep if k in have and k not in available]
     return df.select(*keys, *available)
 
 
