@@ -32,7 +32,7 @@ from starloom import spec as S
 from starloom.operators.numbering import (MID, PID, apply_offsets, dense_index,
                                           partition_offsets, range_tag, small_index)
 from starloom.operators.skew import fits_broadcast, salted_join
-from starloom.session import reliable_checkpoint
+from starloom.session import local_table, reliable_checkpoint
 
 FIRST = "_first_seen"
 
@@ -105,7 +105,7 @@ def _local_dimension(spark, rows, dim: S.DimSpec, gid: int, schema) -> DataFrame
     fields = [StructField(dim.key, IntegerType(), False)] + [
         StructField(o, schema[s].dataType, True) for s, o in dim.columns]
     data = [tuple([i] + [r[s] for s in dim.sources]) for i, r in enumerate(mine, start=1)]
-    return spark.createDataFrame(data, StructType(fields))
+    return local_table(spark, data, StructType(fields))
 
 
 def _local_offsets(spark, rows, gid: int) -> DataFrame:
@@ -115,7 +115,7 @@ def _local_offsets(spark, rows, gid: int) -> DataFrame:
     for r in sizes:
         data.append((r[PID], r["_base"], running))
         running += r["_n"]
-    return spark.createDataFrame(data, f"{PID} int, _base bigint, _off bigint")
+    return local_table(spark, data, f"{PID} int, _base bigint, _off bigint")
 
 
 def star_grouping(ranged: DataFrame, layout: S.StarLayout,

@@ -87,6 +87,39 @@ def reliable_checkpoint(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def local_table(spark: SparkSession, rows: list, schema) -> DataFrame:
+    """A small driver-side table as an inline ``VALUES`` relation.
+
+    Only for rows whose count is proven small (dimension tuples over closed
+    domains, one row per partition).  ``createDataFrame`` on a list would ship
+    pickled rows through Python workers; an inline table is a local relation
+    that the JVM scans directly.  Types the SQL literal cannot express fall back
+    to ``createDataFrame``.
+    """
+    from pyspark.sql.types import StructType
+
+    from starloom.functions.recode import quote, sql_literal
+
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+
+    def lit(v) -> str:
+        return "NULL" if v is None else sql_literal(v)
+    try:
+        body = ", ".join("(" + ", ".join(lit(v) for v in row) + ")" for row in rows)
+    except TypeError:
+        body = ""
+    if not body:
+        return spark.createDataFrame(rows, schema)
+    names = [f"c{i}" for i in range(len(schema.fields))]
+    # An inline column without a NULL is non-nullable; IF(FALSE, NULL, c) keeps
+    # the declared nullability whatever the rows hold (the optimizer folds it).
+    cols = ", ".join(
+        f"CAST({f'IF(FALSE, NULL, {n})' if f.nullable else n} AS {f.dataType.simpleString()})"
+        f" AS {quote(f.name)}" for n, f in zip(names, schema.fields))
+    return spark.sql(f"SELECT {cols} FROM VALUES {body} AS t({', '.join(names)})")
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for Python-side file access in local tests."""
     if path.startswith("file:"):

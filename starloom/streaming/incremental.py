@@ -28,7 +28,7 @@ from starloom import spec as S
 from starloom.operators.clean import clean_survey
 from starloom.operators.numbering import dense_index
 from starloom.operators.star import FIRST, lookup_key
-from starloom.session import scratch_path
+from starloom.session import local_table, scratch_path
 
 BATCH = "batch_id"
 
@@ -74,7 +74,7 @@ def _local_new_tuples(spark: SparkSession, prev: DataFrame | None, batch_rows, d
     fresh = sorted((r for r in batch_rows if tuple(r[s] for s in d.sources) not in known),
                    key=lambda r: (r[FIRST] is not None, r[FIRST]))
     new = [tuple([start + i] + [r[s] for s in d.sources]) for i, r in enumerate(fresh)]
-    return spark.createDataFrame(new, fields), spark.createDataFrame(old + new, fields)
+    return local_table(spark, new, fields), local_table(spark, old + new, fields)
 
 
 def process_batch(batch: DataFrame, batch_id: int, out_root: str,

@@ -101,3 +101,14 @@ def test_generic_dimension_value_order(spark):
     out = ST.build_dimension(li, dim).orderBy("status_id").collect()
     keys = [(r["flag"], r["status"]) for r in out]
     assert keys == sorted(keys) and [r["status_id"] for r in out] == list(range(1, len(out) + 1))
+
+
+def test_local_table_matches_create_dataframe(spark):
+    from starloom.session import local_table
+
+    rows = [(1, "O'Brien \\ x", 1e-05, None, 3_000_000_000), (2, None, -1.5, 2.0, None)]
+    schema = "k int, s string, d double, e double, b bigint"
+    inline, plain = local_table(spark, rows, schema), spark.createDataFrame(rows, schema)
+    assert inline.schema == plain.schema
+    assert inline.collect() == plain.collect()
+    assert local_table(spark, [], schema).count() == 0
