@@ -163,3 +163,29 @@ def test_value_profile_by_step_agrees_with_clean(spark):
     assert sum(r["n"] for r in sex) == 1077
     # rows removed by the null step carry no value for the null column itself
     assert prof.filter("removed_at_step = 1").count() > 0
+
+
+def test_sql_text_predicates_equal_column_forms(spark):
+    """The one-string IN / CASE expressions give the same values as the
+    literal-by-literal Column expressions, on nulls, NaN and off-domain codes."""
+    from pyspark.sql import Column
+
+    vals = [None, float("nan"), 0.0, 1.0, 1.5, 2.0, 3.0, 9.0, -1.0]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    x = df["x"]
+    assert isinstance(x, Column)
+    pairs = [
+        (R.in_domain("x", [1, 2, 3]), R.in_domain(x, [1, 2, 3])),
+        (R.keep_in("x", [0, 1]), R.keep_in(x, [0, 1])),
+        (R.not_in_domain("x", [1, 2]), R.not_in_domain(x, [1, 2])),
+        (R.lookup("x", S.TARGET_LABELS), R.lookup(x, S.TARGET_LABELS)),
+        (R.case_else_label("x", "a", "b"), R.case_else_label(x, "a", "b")),
+        (R.recode_binary("x", "12"), R.recode_binary(x, "12")),
+        (R.recode_binary_lenient("x", "12"), R.recode_binary_lenient(x, "12")),
+        (R.recode_binary_lenient("x", "01"), R.recode_binary_lenient(x, "01")),
+    ]
+    out = df.select(*[F.struct(a.alias("a"), b.alias("b")).alias(f"p{i}")
+                      for i, (a, b) in enumerate(pairs)]).collect()
+    for row in out:
+        for i in range(len(pairs)):
+            assert row[f"p{i}"]["a"] == row[f"p{i}"]["b"], (i, row)
