@@ -172,9 +172,13 @@ SURVEY_STREAM_SCHEMA = ("row_key bigint, " + ", ".join(f"{c} double" for c in S.
                         + ", DATA_YEAR int")
 
 
-def arrive_year(raw_with_year: DataFrame, source_dir: str, year: int) -> None:
-    """One year's survey file(s) land in the source folder (normal parallel write)."""
-    (raw_with_year.filter(F.col(S.YEAR_COLUMN) == year)
+def arrive_year(staged_by_year: DataFrame, source_dir: str, year: int) -> None:
+    """One year's survey file(s) land in the source folder (normal parallel write).
+
+    ``staged_by_year`` is partitioned by year on disk, so the filter prunes the
+    scan to that year's files: all arrivals together read the data once.
+    """
+    (staged_by_year.filter(F.col(S.YEAR_COLUMN) == year)
         .write.mode("append").parquet(source_dir))
 
 
@@ -186,10 +190,14 @@ def incremental_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from starloom.sources.survey import derived_survey
 
+    from starloom.sources.sinks import write_stage
+
     src = scratch_path(spark, "e6-source")
     out = scratch_path(spark, "e6-star")
     ckpt = scratch_path(spark, "e6-checkpoint")
-    raw = derived_survey(spark, sf_dir, with_year=True)
+    # one pass over the given tables: the survey, partitioned by year
+    raw = write_stage(derived_survey(spark, sf_dir, with_year=True),
+                      scratch_path(spark, "e6-years"), partition_by=[S.YEAR_COLUMN])
     years = sorted(r[0] for r in raw.select(S.YEAR_COLUMN).distinct().collect())  # calendar years
     for year in years:
         arrive_year(raw, src, year)
