@@ -29,7 +29,8 @@ from starloom.session import reliable_checkpoint
 PID, MID = "_pid", "_mid"
 
 # Range partitions are sized from the plan's size estimate: about this many
-# bytes each, never fewer partitions than the session's shuffle setting.
+# bytes each; never fewer than it takes to occupy every core (the smaller of the
+# session's shuffle setting and the default parallelism).
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 MAX_PARTITIONS = 200_000
 
@@ -39,12 +40,15 @@ def partition_count(df: DataFrame, explicit: int | None = None) -> int:
 
     Uses Catalyst's ``sizeInBytes`` (file sizes scaled through the plan), so at
     100 TB the partitions stay near the target size instead of the session's
-    fixed shuffle count.
+    fixed shuffle count.  The partition count is explicit (AQE cannot split a
+    range partition, only merge), so a small input gets only as many partitions
+    as there are cores to run them, not a fixed 200 tiny files.
     """
     if explicit:
         return max(1, explicit)
     spark = df.sparkSession
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                      spark.sparkContext.defaultParallelism))
     try:
         raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
         est = int(raw if isinstance(raw, int) else raw.toString())

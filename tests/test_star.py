@@ -112,3 +112,20 @@ def test_local_table_matches_create_dataframe(spark):
     assert inline.schema == plain.schema
     assert inline.collect() == plain.collect()
     assert local_table(spark, [], schema).count() == 0
+
+
+def test_range_partition_count_small_input(spark):
+    """A small input gets one partition per core at most, whatever the shuffle
+    setting; an explicit count is kept."""
+    from starloom.operators.numbering import partition_count
+
+    df = spark.range(1000)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "200")
+        assert partition_count(df) == min(200, spark.sparkContext.defaultParallelism)
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+        assert partition_count(df) == min(2, spark.sparkContext.defaultParallelism)
+        assert partition_count(df, 37) == 37
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
