@@ -98,6 +98,41 @@ def foreign_key(fact: DataFrame, fact_table: str, fact_key: str, fk: str, dim: D
                           F.col(fk).cast("string").alias("value"))
 
 
+def foreign_keys(fact: DataFrame, fact_table: str, fact_key: str,
+                 refs: list[tuple[str, DataFrame, str]],
+                 dims_bounded: bool | None = None) -> DataFrame:
+    """K3 / J4 for several foreign keys ``(fk, dim, dim_key)`` of one fact.
+
+    When every referenced key set is broadcastable (proven by
+    ``dims_bounded`` or checked), all keys are probed in ONE scan of the fact:
+    a broadcast left join per dimension (keys are distinct, so no row is
+    repeated) and a per-row array of violations, as in ``row_checks``.
+    Otherwise each key gets its own salted anti-join.
+    """
+    keysets = [dim.select(F.col(dim_key).alias(f"_k{i}")).distinct()
+               for i, (_, dim, dim_key) in enumerate(refs)]
+    bounded = dims_bounded if dims_bounded is not None else \
+        all(fits_broadcast(k) for k in keysets)
+    if not refs:
+        return fact.sparkSession.createDataFrame([], VIOLATION_SCHEMA)
+    if not bounded:
+        return reduce(DataFrame.unionByName, [
+            foreign_key(fact, fact_table, fact_key, fk, dim, dim_key, False)
+            for fk, dim, dim_key in refs])
+    probed = fact.select(fact_key, *[fk for fk, _, _ in refs])
+    for i, ((fk, _, _), keys) in enumerate(zip(refs, keysets)):
+        probed = probed.join(F.broadcast(keys.withColumn(f"_m{i}", F.lit(True))),
+                             F.col(fk) == F.col(f"_k{i}"), "left")
+    checks = [F.when(F.col(fk).isNotNull() & F.col(f"_m{i}").isNull(),
+                     _violation("foreign_key", fk, F.col(fk)))
+              for i, (fk, _, _) in enumerate(refs)]
+    found = F.filter(F.array(*checks), lambda v: v.isNotNull())
+    return (probed.select(F.col(fact_key).cast("long").alias("row_key"),
+                          F.explode(found).alias("v"))
+                  .select(F.col("v.constraint"), F.lit(fact_table).alias("table_name"),
+                          F.col("v.column_name"), "row_key", F.col("v.value")))
+
+
 def check_star(star: dict[str, DataFrame], layout: S.StarLayout = S.MAIN_STAR,
                types: dict | None = None, dims_bounded: bool | None = None,
                uniqueness: bool = True) -> DataFrame:
@@ -114,9 +149,9 @@ def check_star(star: dict[str, DataFrame], layout: S.StarLayout = S.MAIN_STAR,
                             types.get(layout.fact_table), S.RANGE_CHECKS, "diabetes_status"))
     if uniqueness:
         parts.append(unique_key(fact, layout.fact_table, layout.record_key))
-    for d in layout.dims:
-        parts.append(foreign_key(fact, layout.fact_table, layout.record_key, d.key,
-                                 star[d.table], d.key, dims_bounded))
+    parts.append(foreign_keys(fact, layout.fact_table, layout.record_key,
+                              [(d.key, star[d.table], d.key) for d in layout.dims],
+                              dims_bounded))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -75,3 +75,16 @@ def test_publish_refuses_broken_star_and_keeps_previous(spark, tmp_dir):
 def test_created_at(spark):
     df = Q.with_created_at(spark.range(3))
     assert df.filter("created_at IS NULL").count() == 0
+
+
+def test_foreign_keys_one_scan_equals_salted_anti_joins(spark):
+    star = broken_star(spark)
+    fact = star["fact_health_records"].union(spark.createDataFrame(
+        [(5, "Healthy", 25.0, 0.0, 0.0, 2.0, 7, 8, None, 9)], star["fact_health_records"].schema))
+    refs = [(d.key, star[d.table], d.key) for d in S.MAIN_STAR.dims]
+    one = Q.foreign_keys(fact, "fact_health_records", "record_id", refs, dims_bounded=True)
+    salted = Q.foreign_keys(fact, "fact_health_records", "record_id", refs, dims_bounded=False)
+    assert one.count() == 4 and one.exceptAll(salted).count() == 0 \
+        and salted.exceptAll(one).count() == 0
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 4
