@@ -45,29 +45,42 @@ def _range_violation(c: str, lo, lo_inc: bool, hi, hi_inc: bool) -> Column:
     return x.isNotNull() & ~ok        # a null passes a CHECK
 
 
-def row_checks(df: DataFrame, table: str, key: str, types: dict[str, str] | None = None,
-               ranges: dict | None = None, status_column: str | None = None) -> DataFrame:
-    """K1 not-null, K4 ranges and K5 fits-type for one table, in one pass."""
+def row_check_columns(df: DataFrame, types: dict[str, str] | None = None,
+                      ranges: dict | None = None,
+                      status_column: str | None = None) -> list[Column]:
+    """K1 not-null, K4 ranges and K5 fits-type: one optional violation per check."""
     checks = []
-    for c in df.columns:
+    have = df.columns
+    for c in have:
         checks.append(F.when(F.col(c).isNull(), _violation("not_null", c, F.col(c))))
         fit = _fits_type(c, (types or {}).get(c, "")) if types else None
         if fit is not None:
             checks.append(F.when(fit, _violation("fits_type", c, F.col(c))))
     for c, (lo, lo_inc, hi, hi_inc) in (ranges or {}).items():
-        if c in df.columns:
+        if c in have:
             checks.append(F.when(_range_violation(c, lo, lo_inc, hi, hi_inc),
                                  _violation("check_range", c, F.col(c))))
-    if status_column and status_column in df.columns:
+    if status_column and status_column in have:
         code = R.encode_status(status_column)
         bad = code.isNotNull() & ~code.isin(S.STATUS_CHECK_VALUES)
         checks.append(F.when(bad, _violation("check_range", status_column, F.col(status_column))))
+    return checks
+
+
+def _violations(df: DataFrame, table: str, key: str, checks: list[Column]) -> DataFrame:
+    """The non-null violations of each row, one output row each."""
     found = F.filter(F.array(*checks), lambda v: v.isNotNull())
     return (df.select(F.col(key).cast("long").alias("row_key"), F.explode(found).alias("v"))
               .select(F.col("v.constraint"), F.lit(table).alias("table_name"),
                       F.col("v.column_name"), "row_key", F.col("v.value")))
 
 
+def row_checks(df: DataFrame, table: str, key: str, types: dict[str, str] | None = None,
+               ranges: dict | None = None, status_column: str | None = None) -> DataFrame:
+    """K1 not-null, K4 ranges and K5 fits-type for one table, in one pass."""
+    return _violations(df, table, key, row_check_columns(df, types, ranges, status_column))
+
+
 def unique_key(df: DataFrame, table: str, key: str) -> DataFrame:
     """K2: key values that occur more than once (value = occurrences)."""
     return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
@@ -98,39 +111,49 @@ def foreign_key(fact: DataFrame, fact_table: str, fact_key: str, fk: str, dim: D
                           F.col(fk).cast("string").alias("value"))
 
 
+def _key_sets(refs: list[tuple[str, DataFrame, str]],
+              dims_bounded: bool | None) -> tuple[list[DataFrame], bool]:
+    """Distinct keys of each referenced dimension, and whether all can be broadcast."""
+    keysets = [dim.select(F.col(dim_key).alias(f"_k{i}")).distinct()
+               for i, (_, dim, dim_key) in enumerate(refs)]
+    bounded = dims_bounded if dims_bounded is not None else \
+        all(fits_broadcast(k) for k in keysets)
+    return keysets, bounded
+
+
+def _probe_keys(fact: DataFrame, refs: list[tuple[str, DataFrame, str]],
+                keysets: list[DataFrame]) -> tuple[DataFrame, list[Column]]:
+    """Broadcast left join per key set (keys are distinct, so no row repeats)
+    and the optional orphan violation of each foreign key."""
+    probed = fact
+    for i, ((fk, _, _), keys) in enumerate(zip(refs, keysets)):
+        probed = probed.join(F.broadcast(keys.withColumn(f"_m{i}", F.lit(True))),
+                             F.col(fk) == F.col(f"_k{i}"), "left")
+    checks = [F.when(F.col(fk).isNotNull() & F.col(f"_m{i}").isNull(),
+                     _violation("foreign_key", fk, F.col(fk)))
+              for i, (fk, _, _) in enumerate(refs)]
+    return probed, checks
+
+
 def foreign_keys(fact: DataFrame, fact_table: str, fact_key: str,
                  refs: list[tuple[str, DataFrame, str]],
                  dims_bounded: bool | None = None) -> DataFrame:
     """K3 / J4 for several foreign keys ``(fk, dim, dim_key)`` of one fact.
 
     When every referenced key set is broadcastable (proven by
-    ``dims_bounded`` or checked), all keys are probed in ONE scan of the fact:
-    a broadcast left join per dimension (keys are distinct, so no row is
-    repeated) and a per-row array of violations, as in ``row_checks``.
-    Otherwise each key gets its own salted anti-join.
+    ``dims_bounded`` or checked), all keys are probed in ONE scan of the fact
+    (see ``_probe_keys``).  Otherwise each key gets its own salted anti-join.
     """
-    keysets = [dim.select(F.col(dim_key).alias(f"_k{i}")).distinct()
-               for i, (_, dim, dim_key) in enumerate(refs)]
-    bounded = dims_bounded if dims_bounded is not None else \
-        all(fits_broadcast(k) for k in keysets)
     if not refs:
         return fact.sparkSession.createDataFrame([], VIOLATION_SCHEMA)
+    keysets, bounded = _key_sets(refs, dims_bounded)
     if not bounded:
         return reduce(DataFrame.unionByName, [
             foreign_key(fact, fact_table, fact_key, fk, dim, dim_key, False)
             for fk, dim, dim_key in refs])
-    probed = fact.select(fact_key, *[fk for fk, _, _ in refs])
-    for i, ((fk, _, _), keys) in enumerate(zip(refs, keysets)):
-        probed = probed.join(F.broadcast(keys.withColumn(f"_m{i}", F.lit(True))),
-                             F.col(fk) == F.col(f"_k{i}"), "left")
-    checks = [F.when(F.col(fk).isNotNull() & F.col(f"_m{i}").isNull(),
-                     _violation("foreign_key", fk, F.col(fk)))
-              for i, (fk, _, _) in enumerate(refs)]
-    found = F.filter(F.array(*checks), lambda v: v.isNotNull())
-    return (probed.select(F.col(fact_key).cast("long").alias("row_key"),
-                          F.explode(found).alias("v"))
-                  .select(F.col("v.constraint"), F.lit(fact_table).alias("table_name"),
-                          F.col("v.column_name"), "row_key", F.col("v.value")))
+    probed, checks = _probe_keys(fact.select(fact_key, *[fk for fk, _, _ in refs]),
+                                 refs, keysets)
+    return _violations(probed, fact_table, fact_key, checks)
 
 
 def check_star(star: dict[str, DataFrame], layout: S.StarLayout = S.MAIN_STAR,
@@ -144,14 +167,19 @@ def check_star(star: dict[str, DataFrame], layout: S.StarLayout = S.MAIN_STAR,
         parts.append(row_checks(t, d.table, d.key, types.get(d.table)))
         if uniqueness:
             parts.append(unique_key(t, d.table, d.key))
-    fact = star[layout.fact_table]
-    parts.append(row_checks(fact, layout.fact_table, layout.record_key,
-                            types.get(layout.fact_table), S.RANGE_CHECKS, "diabetes_status"))
+    fact, ft, rk = star[layout.fact_table], layout.fact_table, layout.record_key
+    fact_checks = row_check_columns(fact, types.get(ft), S.RANGE_CHECKS, "diabetes_status")
+    refs = [(d.key, star[d.table], d.key) for d in layout.dims]
+    keysets, bounded = _key_sets(refs, dims_bounded)
+    if bounded:
+        # row checks and every foreign key in one scan of the fact
+        probed, fk_checks = _probe_keys(fact, refs, keysets)
+        parts.append(_violations(probed, ft, rk, fact_checks + fk_checks))
+    else:
+        parts.append(_violations(fact, ft, rk, fact_checks))
+        parts.append(foreign_keys(fact, ft, rk, refs, False))
     if uniqueness:
-        parts.append(unique_key(fact, layout.fact_table, layout.record_key))
-    parts.append(foreign_keys(fact, layout.fact_table, layout.record_key,
-                              [(d.key, star[d.table], d.key) for d in layout.dims],
-                              dims_bounded))
+        parts.append(unique_key(fact, ft, rk))
     return reduce(DataFrame.unionByName, parts)
 
 

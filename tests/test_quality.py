@@ -88,3 +88,11 @@ def test_foreign_keys_one_scan_equals_salted_anti_joins(spark):
         and salted.exceptAll(one).count() == 0
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastHashJoin") == 4
+
+
+def test_check_star_same_with_and_without_broadcast_bound(spark):
+    star = broken_star(spark)
+    one = Q.check_star(star, dims_bounded=True)
+    salted = Q.check_star(star, dims_bounded=False)
+    assert one.count() == salted.count() > 0
+    assert one.exceptAll(salted).count() == 0 and salted.exceptAll(one).count() == 0
