@@ -87,14 +87,19 @@ def reliable_checkpoint(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
+# Above this many rows the SQL text of an inline table would cost more to parse
+# than shipping the rows (e.g. one offset row per partition at 100 TB).
+INLINE_MAX_ROWS = 5_000
+
+
 def local_table(spark: SparkSession, rows: list, schema) -> DataFrame:
     """A small driver-side table as an inline ``VALUES`` relation.
 
     Only for rows whose count is proven small (dimension tuples over closed
     domains, one row per partition).  ``createDataFrame`` on a list would ship
     pickled rows through Python workers; an inline table is a local relation
-    that the JVM scans directly.  Types the SQL literal cannot express fall back
-    to ``createDataFrame``.
+    that the JVM scans directly.  Types the SQL literal cannot express, and
+    more than ``INLINE_MAX_ROWS`` rows, fall back to ``createDataFrame``.
     """
     from pyspark.sql.types import StructType
 
@@ -106,7 +111,8 @@ def local_table(spark: SparkSession, rows: list, schema) -> DataFrame:
     def lit(v) -> str:
         return "NULL" if v is None else sql_literal(v)
     try:
-        body = ", ".join("(" + ", ".join(lit(v) for v in row) + ")" for row in rows)
+        body = "" if len(rows) > INLINE_MAX_ROWS else \
+            ", ".join("(" + ", ".join(lit(v) for v in row) + ")" for row in rows)
     except TypeError:
         body = ""
     if not body:

@@ -114,6 +114,17 @@ def test_local_table_matches_create_dataframe(spark):
     assert local_table(spark, [], schema).count() == 0
 
 
+def test_local_table_large_falls_back(spark):
+    from starloom import session
+
+    rows = [(i, float(i)) for i in range(session.INLINE_MAX_ROWS + 1)]
+    big = session.local_table(spark, rows, "k int, v double")
+    assert "LocalRelation" not in big._jdf.queryExecution().analyzed().toString()
+    assert big.count() == len(rows)
+    small = session.local_table(spark, rows[:3], "k int, v double")
+    assert "LocalRelation" in small._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_range_partition_count_small_input(spark):
     """A small input gets one partition per core at most, whatever the shuffle
     setting; an explicit count is kept."""
