@@ -205,6 +205,10 @@ NULL_TOKENS = ["", "NA", "N/A", "NaN", "nan", "null", "NULL", "None", "#N/A", "-
 
 def parse_number(c: str | Column) -> Column:
     """String cell -> double: trim, null out missing-value tokens, try_cast."""
+    if isinstance(c, str):
+        t = f"trim({quote(c)})"
+        return F.expr(f"CASE WHEN {sql_in(t, NULL_TOKENS)} THEN CAST(NULL AS DOUBLE) "
+                      f"ELSE try_cast({t} AS DOUBLE) END")
     trimmed = F.trim(col(c))
     return F.when(trimmed.isin(NULL_TOKENS), F.lit(None).cast("double")) \
         .otherwise(trimmed.try_cast("double"))

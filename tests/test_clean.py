@@ -171,7 +171,8 @@ def test_sql_text_predicates_equal_column_forms(spark):
     from pyspark.sql import Column
 
     vals = [None, float("nan"), 0.0, 1.0, 1.5, 2.0, 3.0, 9.0, -1.0]
-    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    texts = [None, "NaN", " 0 ", "1", "1.5", "N/A", "", "abc", "-1"]
+    df = spark.createDataFrame(list(zip(vals, texts)), "x double, t string")
     x = df["x"]
     assert isinstance(x, Column)
     pairs = [
@@ -183,6 +184,7 @@ def test_sql_text_predicates_equal_column_forms(spark):
         (R.recode_binary("x", "12"), R.recode_binary(x, "12")),
         (R.recode_binary_lenient("x", "12"), R.recode_binary_lenient(x, "12")),
         (R.recode_binary_lenient("x", "01"), R.recode_binary_lenient(x, "01")),
+        (R.parse_number("t"), R.parse_number(df["t"])),
     ]
     out = df.select(*[F.struct(a.alias("a"), b.alias("b")).alias(f"p{i}")
                       for i, (a, b) in enumerate(pairs)]).collect()
