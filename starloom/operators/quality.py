@@ -187,3 +187,17 @@ def check_star(star: dict[str, DataFrame], layout: S.StarLayout = S.MAIN_STAR,
 def with_created_at(df: DataFrame, column: str = "created_at") -> DataFrame:
     """Load timestamp default: one value per query (``current_timestamp``)."""
     return df.withColumn(column, F.current_timestamp())
+
+
+def created_at_report(tables: dict[str, DataFrame], column: str = "created_at") -> DataFrame:
+    """K6 over loaded tables: rows, rows without a load stamp, distinct stamps.
+
+    ``current_timestamp`` is fixed per query, so a table written by one load
+    carries exactly one stamp; more than one means rows from several loads.
+    The distinct count is a partial aggregate (one stamp per task at most).
+    """
+    return reduce(DataFrame.unionByName, [
+        df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
+               F.count_if(F.col(column).isNull()).alias("unstamped_rows"),
+               F.count_distinct(F.col(column)).alias("load_stamps"))
+        for name, df in tables.items()])

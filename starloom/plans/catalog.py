@@ -205,6 +205,12 @@ def q_s11_verify_counts(spark, d):
     return SK.verify_counts(SK.read_published(spark, root))
 
 
+def q_k6_created_at(spark, d):
+    root = scratch_path(spark, "k6-published")
+    SK.publish_star(_star(spark, d), root, created_at=True)
+    return Q.created_at_report(SK.read_published(spark, root))
+
+
 def q_e4_end_to_end(spark, d):
     res = runs.end_to_end(_raw(spark, d), scratch_path(spark, "e4-published"))
     return SK.read_published(spark, res.published_root)["fact_health_records"]
@@ -271,6 +277,7 @@ QUERIES: dict[str, Query] = {
     "p8_load_casts": q_p8_load_casts,
     "a1_lineitem_dimension": q_a1_lineitem_dimension,
     "s11_verify_counts": q_s11_verify_counts,
+    "k6_created_at": q_k6_created_at,
     "e4_end_to_end": q_e4_end_to_end,
     "e5_staged_run": q_e5_staged_run,
     "a10_run_summary": q_a10_run_summary,
@@ -370,6 +377,9 @@ def _oracle() -> dict[str, str]:
         "count(*) AS n_lines FROM lineitem GROUP BY ALL) t")
     counts = O.table_counts_select(distinct_dims=False, col="row_count")
     sql["s11_verify_counts"] = O.with_ctes(star, counts)
+    sql["k6_created_at"] = O.with_ctes(star, (
+        "SELECT table_name, row_count, CAST(0 AS BIGINT) AS unstamped_rows, "
+        f"CAST(1 AS BIGINT) AS load_stamps FROM ({counts}) t"))
     sql["e4_end_to_end"] = sql["p8_load_casts"]
     summary = (
         "SELECT 'raw_rows' AS metric, '' AS item, (SELECT count(*) FROM raw) AS value "
