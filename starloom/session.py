@@ -84,7 +84,8 @@ def reliable_checkpoint(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # the schema is known: no footer-reading inference job on the way back
+    return spark.read.schema(df.schema).parquet(path)
 
 
 # Above this many rows the SQL text of an inline table would cost more to parse
