@@ -18,13 +18,40 @@ from pyspark.sql import functions as F
 
 DEFAULT_SALTS = 32
 SALT = "_salt"
-# Rows up to which a side without a proven bound may be broadcast, once counted.
+# Rows and bytes up to which a side without a proven bound may be broadcast
+# (or collected), once measured.
 CHECKED_BROADCAST_ROWS = 200_000
+CHECKED_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = CHECKED_BROADCAST_ROWS) -> bool:
-    """Size check before a broadcast: counts at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _row_bytes(df: DataFrame):
+    """Bytes of a row: fixed width of each field (plus its 8-byte slot) and the
+    actual length of every string / binary value."""
+    from pyspark.sql import types as T
+
+    widths = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4,
+              T.FloatType: 4, T.DateType: 4, T.LongType: 8, T.DoubleType: 8,
+              T.TimestampType: 8, T.TimestampNTZType: 8}
+    fixed, var = 0, []
+    for f in df.schema.fields:
+        fixed += 8
+        t = f.dataType
+        if isinstance(t, (T.StringType, T.BinaryType)):
+            var.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
+        elif isinstance(t, T.DecimalType):
+            fixed += 8 if t.precision <= 18 else 16
+        else:
+            fixed += widths.get(type(t), 16)
+    return reduce(lambda a, b: a + b, var, F.lit(fixed).cast("long"))
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = CHECKED_BROADCAST_ROWS,
+                   max_bytes: int = CHECKED_BROADCAST_BYTES) -> bool:
+    """Size check before a broadcast: one job over at most ``max_rows + 1`` rows
+    that measures both the row count and the bytes."""
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                   F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("b")).first()
+    return r["n"] <= max_rows and r["b"] <= max_bytes
 
 
 def salt_big(df: DataFrame, salts: int) -> DataFrame:

@@ -37,6 +37,9 @@ def test_salted_join_null_safe(spark):
 def test_fits_broadcast(spark):
     assert fits_broadcast(spark.range(10), max_rows=10)
     assert not fits_broadcast(spark.range(11), max_rows=10)
+    wide = spark.range(10).selectExpr("id", "repeat('x', 1000) AS s")
+    assert fits_broadcast(wide, max_rows=10, max_bytes=20_000)
+    assert not fits_broadcast(wide, max_rows=10, max_bytes=9_000)   # rows fit, bytes do not
 
 
 def test_star_with_hot_tuple_salted_equals_broadcast(spark, monkeypatch):
