@@ -32,7 +32,10 @@ def drop_any_null(df: DataFrame) -> DataFrame:
 
 
 def not_null_predicate(df: DataFrame) -> Column:
-    return _and([F.col(c).isNotNull() for c in df.columns])
+    cols = df.columns
+    if not cols:
+        return F.lit(True)
+    return F.expr(" AND ".join(f"{R.quote(c)} IS NOT NULL" for c in cols))
 
 
 # F2 + C1 --------------------------------------------------------------------
