@@ -96,3 +96,14 @@ def test_check_star_same_with_and_without_broadcast_bound(spark):
     salted = Q.check_star(star, dims_bounded=False)
     assert one.count() == salted.count() > 0
     assert one.exceptAll(salted).count() == 0 and salted.exceptAll(one).count() == 0
+
+
+def test_check_star_scans_the_fact_twice(spark, tmp_dir):
+    """Row checks and all four foreign keys share one fact scan; uniqueness is
+    the other.  Counted on the executed plan over a parquet fact."""
+    star = broken_star(spark)
+    path = f"{tmp_dir}/fact_parquet"
+    star["fact_health_records"].write.mode("overwrite").parquet(path)
+    star["fact_health_records"] = spark.read.parquet(path)
+    plan = Q.check_star(star, dims_bounded=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("fact_parquet") == 2, plan
