@@ -42,7 +42,7 @@ from starloom.session import reliable_checkpoint
 POSITIVES = 4_000
 UNLABELLED = 16_000
 MEMBERS = 4
-VOCABULARY = 4_096
+VOCABULARY = 2_048
 FOLDS = 5
 
 _WORDS = re.compile(r"\w+")
@@ -82,7 +82,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, positives: int = POSITIV
 
 
 def fit(pos: list[set[str]], unl: list[set[str]], prior: float, vocabulary: int = VOCABULARY,
-        steps: int = 400, rate: float = 0.1, decay: float = 2e-3) -> tuple[dict[str, float], float]:
+        steps: int = 1_000, rate: float = 0.02, decay: float = 1e-3) -> tuple[dict[str, float], float]:
     """Weights by word and the intercept of one nnPU classifier (logistic loss, Adam)."""
     seen = Counter(w for doc in pos for w in doc)
     least = 2 if len(pos) < 50 else 3
