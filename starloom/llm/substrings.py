@@ -16,21 +16,24 @@ its largest interior symbol (ties by name, then leftmost) - its *anchor*.
 Spark then finds the repeats:
 
 1. anchors (name, document, the windows it stands for, a fingerprint of their
-   text) are written once; only anchors whose name occurs twice are looked at;
-2. where all occurrences of a name have the same text around them, all their
-   windows repeat;
-3. for the other names, one occurrence of each distinct text is read again
-   and its windows are compared one by one (fingerprint within the name, that
-   is 128 bits);
+   text) are written once and meet by name; a name that occurs once is done;
+2. where all occurrences of a name have the same text around them, and where
+   two of them have, all their windows repeat;
+3. for the other texts around a shared name, one occurrence of each is read
+   again, and its windows meet by name and are compared one by one (by name
+   and fingerprint, that is 128 bits);
 4. the windows found are gathered by document and their words removed.
 
 A window's words are compared on the input, not on what is left.  No word is
 ever matched by a partial rule: rounds only decide *where* to compare, so any
 number of rounds gives the same result.
 
-Counting is pre-aggregated map-side; joins against occurrences have a unique
-other side, which the adaptive skew join may split; per-document lists are
-bounded by the document.
+Names meet in sorted partitions, each handled in one pass.  Names that hold
+more than ``1 / (HOT + 1)`` of all anchors (a Misra-Gries summary names them,
+``HOT`` at most) never go there: the same questions are answered for them by
+map-side partial sums and joins with a unique other side, which the adaptive
+skew join may split.  So no task holds more than that share of the anchors.
+Per-document lists are bounded by the document.
 
 Defined results: null and empty texts have no words; repeated rows are
 occurrences of one another, so all their windows repeat; a null ``doc_id`` is
@@ -47,12 +50,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.frames import documents, keyed, text_batches, text_offsets
+from starloom.llm.exact import heavy_candidates
+from starloom.llm.frames import documents, keyed, partitions, text_batches, text_offsets, whole_groups
 from starloom.llm.words import Ranges, mix, split_words, word_hashes
 from starloom.session import reliable_checkpoint
 
 WINDOW = 35
-ROUNDS = 4
+ROUNDS = 3
+#: Names counted as hot by the Misra-Gries summary, at most.
+HOT = 1024
 
 _U = np.uint64
 _FAR = 1 << 40
@@ -200,56 +206,128 @@ def anchor_table(docs: DataFrame, window: int, rounds: int) -> DataFrame:
         parse, "dk long, th long, first int, n int, name long, around long")
 
 
-def _window_table(docs: DataFrame, picked: DataFrame, window: int) -> DataFrame:
-    """(name, around, dk, th, at, print): the windows of the picked occurrences, from their texts."""
-    per_doc = picked.groupBy("dk", "th").agg(F.collect_list(F.struct("first", "n", "name", "around")).alias("p"))
+_FOUND = "dk long, th long, first int, n int, name long, repeats boolean, sample boolean"
+
+
+def _runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first row, length) of each run of equal keys."""
+    change = np.zeros(len(keys[0]), bool)
+    change[:1] = True
+    for k in keys:
+        change[1:] |= k[1:] != k[:-1]
+    start = np.flatnonzero(change)
+    return start, np.diff(np.append(start, len(change)))
+
+
+def _meet_cold(table: DataFrame) -> DataFrame:
+    """Occurrences of shared names: whether all their windows repeat, and one sample per other text."""
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, ["name"], 1 << 24):
+            name, around = (t.column(c).to_numpy() for c in ("name", "around"))
+            start, size = _runs(name)
+            of_name = np.repeat(np.arange(len(start)), size)
+            text, copies = _runs(name, around)
+            texts = np.bincount(of_name[text], minlength=len(start))
+            repeats = np.repeat(copies > 1, copies)
+            sample = np.zeros(len(name), bool)
+            sample[text] = texts[of_name[text]] > 1
+            row = pa.array(np.flatnonzero((size > 1)[of_name] & (repeats | sample)))
+            yield pa.RecordBatch.from_arrays(
+                [t.column(c).combine_chunks().take(row) for c in ("dk", "th", "first", "n", "name")]
+                + [pa.array(x).take(row) for x in (repeats, sample)],
+                ["dk", "th", "first", "n", "name", "repeats", "sample"])
+    n = partitions(table.sparkSession)
+    return (table.repartition(n, "name").sortWithinPartitions("name", "around")
+            .select("dk", "th", "first", "n", "name", "around").mapInArrow(meet, _FOUND))
+
+
+def _meet_hot(table: DataFrame) -> DataFrame:
+    """The same for hot names, by partial sums and joins."""
+    texts = reliable_checkpoint(
+        table.groupBy("name", "around").agg(F.count(F.lit(1)).alias("k"),
+                                            F.min(F.struct("dk", "th", "first", "n")).alias("o")), "texts")
+    several = texts.groupBy("name").agg(F.count(F.lit(1)).alias("t")).where("t > 1").select("name")
+    twice = table.join(texts.where("k > 1").select("name", "around"), ["name", "around"], "left_semi")
+    sample = texts.join(F.broadcast(several), "name")  # at most HOT names
+    columns = ["dk", "th", "first", "n", "name"]
+    return (twice.select(*columns, F.lit(True).alias("repeats"), F.lit(False).alias("sample"))
+            .unionByName(sample.select("o.*", "name", (F.col("k") > 1).alias("repeats"), F.lit(True).alias("sample"))))
+
+
+def _window_table(docs: DataFrame, samples: DataFrame, window: int) -> DataFrame:
+    """(name, open, dk, th, first, prints): the windows of the sampled occurrences, from their texts."""
+    per_doc = samples.groupBy("dk", "th").agg(F.collect_list(F.struct("first", "n", "name", "open")).alias("p"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(3)
             inner, ends = lists.flatten(), np.diff(lists.offsets.to_numpy())
             row_of = np.repeat(np.arange(batch.num_rows), ends)
-            first, n, name, around = (inner.field(i).to_numpy() for i in range(4))
+            first, n, name = (inner.field(i).to_numpy() for i in range(3))
+            still = inner.field(3).to_numpy(zero_copy_only=False)
             for lo, names, at in _hashed(batch, "text"):
                 hi = lo + len(at) - 1
                 here = np.flatnonzero((row_of >= lo) & (row_of < hi))
                 if not len(here):
                     continue
-                of = np.repeat(here, n[here])
-                step = np.arange(len(of)) - np.repeat(np.cumsum(n[here]) - n[here], n[here])
-                w = first[of] + step
-                start = at[row_of[of] - lo] + w
-                prints = Ranges(names).of(start, start + window)
-                take = pa.array(row_of[of])
+                ends = np.cumsum(n[here])
+                begin = np.repeat(at[row_of[here] - lo] + first[here], n[here])
+                begin += np.arange(ends[-1]) - np.repeat(ends - n[here], n[here])
+                prints = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)),
+                                                  _long(Ranges(names).of(begin, begin + window)))
+                take = pa.array(row_of[here])
                 yield pa.RecordBatch.from_arrays(
-                    [_long(name[of]), _long(around[of]), batch.column(0).take(take), batch.column(1).take(take),
-                     pa.array(w.astype(np.int32)), _long(prints)],
-                    ["name", "around", "dk", "th", "at", "print"])
+                    [pa.array(name[here]), pa.array(still[here]), batch.column(0).take(take),
+                     batch.column(1).take(take), pa.array(first[here]), prints],
+                    ["name", "open", "dk", "th", "first", "prints"])
     return docs.join(per_doc, ["dk", "th"]).select("dk", "th", "text", "p").mapInArrow(
-        read, "name long, around long, dk long, th long, at int, print long")
+        read, "name long, open boolean, dk long, th long, first int, prints array<long>")
+
+
+def _compare_cold(windows: DataFrame) -> DataFrame:
+    """(dk, th, first, n): windows of open samples that another sample of the name has too."""
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, ["name"], 1 << 24):
+            lists = t.column("prints").combine_chunks()
+            n = np.diff(lists.offsets.to_numpy())
+            row = np.repeat(np.arange(t.num_rows), n)
+            step = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            name, prints = t.column("name").to_numpy()[row], lists.flatten().to_numpy()
+            order = np.lexsort((prints, name))
+            start, size = _runs(name[order], prints[order])
+            again = np.zeros(len(row), bool)
+            again[order] = np.repeat(size > 1, size)
+            hit = np.flatnonzero(again & t.column("open").to_numpy()[row])
+            take = pa.array(row[hit])
+            yield pa.RecordBatch.from_arrays(
+                [t.column("dk").combine_chunks().take(take), t.column("th").combine_chunks().take(take),
+                 pa.array((t.column("first").to_numpy()[row] + step)[hit].astype(np.int32)),
+                 pa.array(np.ones(len(hit), np.int32))], ["dk", "th", "first", "n"])
+    n = partitions(windows.sparkSession)
+    return (windows.repartition(n, "name").sortWithinPartitions("name")
+            .mapInArrow(compare, "dk long, th long, first int, n int"))
+
+
+def _compare_hot(windows: DataFrame) -> DataFrame:
+    each = windows.select("name", "open", "dk", "th", "first", F.posexplode("prints").alias("step", "print"))
+    common = each.groupBy("name", "print").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("name", "print")
+    return each.where("open").join(common, ["name", "print"], "left_semi") \
+        .select("dk", "th", (F.col("first") + F.col("step")).alias("first"), F.lit(1).alias("n"))
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
     """(dk, th, first, n): blocks of windows of ``keyed`` documents that start elsewhere too."""
     table = reliable_checkpoint(anchor_table(docs, window, rounds), "anchors")
-    shared = (table.groupBy("name").agg(F.count(F.lit(1)).alias("k"), F.min("around").alias("a"),
-                                        F.max("around").alias("b"))
-              .where("k > 1").select("name", (F.col("a") == F.col("b")).alias("same")))
-    found = reliable_checkpoint(table.join(shared, "name"), "shared")
-    alike = found.where("same").select("dk", "th", "first", "n")
-    mixed = found.where("NOT same")
-    texts = reliable_checkpoint(
-        mixed.groupBy("name", "around").agg(F.count(F.lit(1)).alias("k"),
-                                            F.min(F.struct("dk", "th", "first", "n")).alias("o")), "texts")
-    twice = mixed.join(texts.where("k > 1").select("name", "around"), ["name", "around"]) \
-        .select("dk", "th", "first", "n")
-    windows = reliable_checkpoint(
-        _window_table(docs, texts.select("name", "around", "o.*"), window), "windows")
-    # a text counted twice holds windows that repeat; it must be seen by the other texts
-    common = windows.groupBy("name", "print").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("name", "print")
-    single = windows.join(texts.where("k = 1").select("name", "around"), ["name", "around"], "left_semi") \
-        .join(common, ["name", "print"], "left_semi").select("dk", "th", F.col("at").alias("first"), F.lit(1).alias("n"))
-    return alike.unionByName(twice).unionByName(single)
+    named = table.select(F.col("name").cast("string").alias("digest"))
+    hot = reliable_checkpoint(heavy_candidates(named, HOT).select(F.col("digest").cast("long").alias("name")), "hot")
+    hot = F.broadcast(hot)  # at most HOT rows
+    found = reliable_checkpoint(_meet_cold(table.join(hot, "name", "left_anti"))
+                                .unionByName(_meet_hot(table.join(hot, "name", "left_semi"))), "found")
+    samples = found.where("sample").select("dk", "th", "first", "n", "name", (~F.col("repeats")).alias("open"))
+    windows = reliable_checkpoint(_window_table(docs, samples, window), "windows")
+    return (found.where("repeats").select("dk", "th", "first", "n")
+            .unionByName(_compare_cold(windows.join(hot, "name", "left_anti")))
+            .unionByName(_compare_hot(windows.join(hot, "name", "left_semi"))))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
