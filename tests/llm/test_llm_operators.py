@@ -124,8 +124,9 @@ def test_toxicity_odd_rows(spark, docs, empty):
 
 # --- 3 ---------------------------------------------------------------------------------------
 
-@pytest.mark.parametrize("window", [4, 35])
-def test_recompression(docs, window):
+@pytest.mark.parametrize("window,hot", [(4, 0), (4, 3), (35, 0), (35, 1024)])
+def test_recompression(docs, window, hot, monkeypatch):
+    monkeypatch.setattr(substrings, "HOT", hot)
     want = repeats(corpus(), window)
     got = by_id(substrings.remove_repeats(docs, window))
     for i, (n, gone, kept) in enumerate(want):
