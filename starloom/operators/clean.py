@@ -98,11 +98,6 @@ def scale_bmi(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> DataFrame:
 
 
 # F4 -------------------------------------------------------------------------
-def ordinal_predicate(df: DataFrame, spec: S.SurveySpec) -> Column:
-    have = set(df.columns)
-    return _and([R.in_domain(c, dom) for c, dom in spec.ordinals.items() if c in have])
-
-
 def ordinal_domain(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> DataFrame:
     """Keep rows whose ordinal codes are all valid (order-free result)."""
     have = set(df.columns)

@@ -1,19 +1,19 @@
 """Dense row numbering in a total order (W1 surrogate keys, W2 record ids).
 
 ``row_number().over(Window.orderBy(...))`` without a partition moves every row
-into one task; at scale that is the bottleneck (and an OOM).  ``dense_index``
-does it distributedly:
-
-1. ``range_tag``: range-partition on the order key and sort within partitions
-   (one shuffle; the partition count is explicit so AQE keeps it), tag each row
-   with its partition id and ``monotonically_increasing_id`` (its position in
-   the sorted partition) and materialise that frame with both tags stored as
-   columns, so every later pass sees identical numbers, even after executor
-   loss;
-2. ``attach_index``: count rows per partition (map-side partial aggregate, one
-   row per partition), turn counts into start offsets with a window over that
-   tiny table, checkpoint it, broadcast it (size bounded by the partition
-   count, not by the data) and add.
+into one task; at scale that is the bottleneck (and an OOM).  Two ways avoid it:
+
+* **File order** (``file_tag``): rows read from files are numbered in the order
+  of file name and position, without a shuffle.  Each row is written once with
+  its partition, its file and file block, and its position in the partition;
+  a block is read by one task, so counting rows per block and cumulating the
+  counts in (file, block) order gives each block's first number.
+* **A key column** (``range_tag``): the table is staged, range-partitioned on
+  the key over the staged files (so sampling reads those and never runs the
+  source plan twice), sorted, and written once with partition and position.
+
+Either way the id is the partition's (or block's) offset plus the position,
+and both are stored columns, so a lost executor changes no number.
 
 ``small_index`` is the single-partition window, only for inputs with a proven
 small bound (dimension tuples over closed domains).
@@ -24,38 +24,59 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.session import reliable_checkpoint
+from starloom.session import reliable_checkpoint, scratch_path, table_bytes
 
 PID, MID = "_pid", "_mid"
 
-# Range partitions are sized from the plan's size estimate: about this many
-# bytes each; never fewer than it takes to occupy every core (the smaller of the
-# session's shuffle setting and the default parallelism).
+#: Where a row comes from, for the file order.
+FILE, BLOCK = "_file", "_block"
+
+# Range partitions hold about this many bytes of the staged table each; never
+# fewer than it takes to occupy every core.
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_PARTITIONS = 200_000
 
 
-def partition_count(df: DataFrame, explicit: int | None = None) -> int:
-    """Partitions for a range shuffle of ``df``: explicit, else sized by estimate.
+def partition_count(df: DataFrame, explicit: int | None = None, staged_bytes: int = 0) -> int:
+    """Partitions for a range shuffle of a staged table: explicit, else by its size on disk.
 
-    Uses Catalyst's ``sizeInBytes`` (file sizes scaled through the plan), so at
-    100 TB the partitions stay near the target size instead of the session's
-    fixed shuffle count.  The partition count is explicit (AQE cannot split a
-    range partition, only merge), so a small input gets only as many partitions
-    as there are cores to run them, not a fixed 200 tiny files.
+    Explicit in the plan (AQE cannot split a range partition, only merge), so
+    a small table gets only as many partitions as there are cores.
     """
     if explicit:
         return max(1, explicit)
     spark = df.sparkSession
     base = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")),
                       spark.sparkContext.defaultParallelism))
-    try:
-        raw = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        est = int(raw if isinstance(raw, int) else raw.toString())
-    except Exception:  # noqa: BLE001 - no estimate: fall back to the session setting
-        return base
-    by_size = -(-est // TARGET_PARTITION_BYTES)
-    return int(max(base, min(by_size, MAX_PARTITIONS)))
+    return max(base, -(-staged_bytes // TARGET_PARTITION_BYTES))
+
+
+def with_file_order(scan: DataFrame) -> DataFrame:
+    """A file scan with the file and the file block of each row (``_file``, ``_block``)."""
+    return scan.withColumns({FILE: F.col("_metadata.file_path"),
+                             BLOCK: F.col("_metadata.file_block_start")})
+
+
+def has_file_order(df: DataFrame) -> bool:
+    return FILE in df.columns and BLOCK in df.columns
+
+
+def file_tag(df: DataFrame) -> DataFrame:
+    """Position-tagged and checkpointed copy of ``df`` in file order, without a shuffle.
+
+    ``df`` is a scan ``with_file_order`` followed by narrow steps only
+    (projections and filters), so a partition holds its blocks' rows in order.
+    """
+    return reliable_checkpoint(df.withColumn(PID, F.spark_partition_id())
+                               .withColumn(MID, F.monotonically_increasing_id()), "filed")
+
+
+def block_offsets(sizes: DataFrame) -> DataFrame:
+    """(_pid, _file, _block, _n, _base) per block -> start offsets in (file, block) order.
+
+    One row per file block; the window runs over that table.
+    """
+    before = Window.orderBy(FILE, BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select(PID, FILE, BLOCK, "_base", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
 
 
 def _order_cols(order_by: list[str | Column]) -> list[Column]:
@@ -65,12 +86,16 @@ def _order_cols(order_by: list[str | Column]) -> list[Column]:
 def range_tag(df: DataFrame, order_by: list[str | Column],
               num_partitions: int | None = None) -> DataFrame:
     """Range-partitioned, sorted, position-tagged and checkpointed copy of ``df``."""
-    n = partition_count(df, num_partitions)
+    spark = df.sparkSession
+    path = scratch_path(spark, "staged")
+    df.write.mode("overwrite").parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    n = partition_count(staged, num_partitions, table_bytes(spark, path))
     order = _order_cols(order_by)
-    ranged = (df.repartitionByRange(n, *order)
-                .sortWithinPartitions(*order)
-                .withColumn(PID, F.spark_partition_id())
-                .withColumn(MID, F.monotonically_increasing_id()))
+    ranged = (staged.repartitionByRange(n, *order)
+                    .sortWithinPartitions(*order)
+                    .withColumn(PID, F.spark_partition_id())
+                    .withColumn(MID, F.monotonically_increasing_id()))
     return reliable_checkpoint(ranged, "ranged")
 
 
@@ -85,10 +110,11 @@ def partition_offsets(sizes: DataFrame) -> DataFrame:
 
 def apply_offsets(ranged: DataFrame, offsets: DataFrame, out_col: str, start: int = 1) -> DataFrame:
     """Dense index = partition offset + position inside the partition."""
-    return (ranged.join(F.broadcast(offsets), PID)
+    keys = [c for c in (PID, FILE, BLOCK) if c in offsets.columns]
+    return (ranged.join(F.broadcast(offsets), keys)
                   .withColumn(out_col, (F.col("_off") + (F.col(MID) - F.col("_base"))
                                         + F.lit(start)).cast("long"))
-                  .drop(PID, MID, "_base", "_off"))
+                  .drop(PID, MID, "_base", "_off", *keys))
 
 
 def attach_index(ranged: DataFrame, out_col: str, start: int = 1) -> DataFrame:

@@ -8,6 +8,7 @@ values come back as rows of a ``groupBy``, not as one collected set.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from starloom import spec as S
 from starloom.functions import recode as R
 from starloom.operators import clean as C
+from starloom.operators.binary import infer_binary_modes
 
 
 # A2 -------------------------------------------------------------------------
@@ -50,6 +52,16 @@ def value_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
                 .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")))
 
 
+def inferred_spec(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> S.SurveySpec:
+    """``spec`` with the binary encodings that an inferred run finds in ``df``.
+
+    Pass it to the step reports to see what such a run really filtered.
+    """
+    ready = C.valid_target(C.drop_any_null(df), spec)
+    modes = infer_binary_modes(ready, [c for c in spec.binaries if c in set(df.columns)])
+    return replace(spec, binary_encoding={**spec.binary_encoding, **modes})
+
+
 # A4 -------------------------------------------------------------------------
 def cleaning_steps(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> list[tuple[str, Column]]:
     """(step name, predicate on raw columns) in the order the cleaning applies them."""
@@ -140,6 +152,8 @@ def _recoded_sql(raw_col: str, spec: S.SurveySpec) -> str:
     q = R.quote(raw_col)
     if raw_col == spec.target:
         return R.sql_case(q, spec.target_labels)
+    if raw_col in spec.binaries and spec.binary_encoding[raw_col] is None:
+        return f"CAST({q} AS STRING)"     # no binary pattern: the value stays, as text
     if raw_col in spec.binaries:
         return R.recode_binary_lenient_sql(q, spec.binary_encoding[raw_col])
     if raw_col == spec.sex_column:
@@ -215,19 +229,23 @@ def unmapped_count(df: DataFrame, column: str = "Sex") -> DataFrame:
 def run_summary(raw: DataFrame, clean: DataFrame, tables: dict[str, DataFrame] | None = None,
                 target: str = "diabetes_status") -> DataFrame:
     """(metric, item, value) rows: raw/clean/removed rows, classes, table rows."""
-    parts = [raw.agg(F.lit("raw_rows").alias("metric"), F.lit("").alias("item"),
-                     F.count(F.lit(1)).alias("value")),
-             clean.agg(F.lit("clean_rows").alias("metric"), F.lit("").alias("item"),
-                       F.count(F.lit(1)).alias("value"))]
-    parts.append(clean.groupBy(F.col(target).alias("item"))
-                      .agg(F.count(F.lit(1)).alias("value"))
-                      .select(F.lit("class_count").alias("metric"), "item", "value"))
+    classes = clean.groupBy(F.col(target).alias("item")).agg(F.count(F.lit(1)).alias("n"))
+    counted = [raw.agg(F.lit("raw_rows").alias("metric"), F.lit("").alias("item"),
+                       F.count(F.lit(1)).alias("value")),
+               classes.select(F.lit("class_count").alias("metric"), "item", F.col("n").alias("value"))]
     for name, t in (tables or {}).items():
-        parts.append(t.agg(F.lit("table_rows").alias("metric"), F.lit(name).alias("item"),
-                           F.count(F.lit(1)).alias("value")))
-    out = reduce(DataFrame.unionByName, parts)
-    totals = out.filter(F.col("metric").isin("raw_rows", "clean_rows")).groupBy().agg(
-        F.lit("rows_removed").alias("metric"), F.lit("").alias("item"),
-        F.sum(F.when(F.col("metric") == "raw_rows", F.col("value"))
-               .otherwise(-F.col("value"))).cast("long").alias("value"))
-    return out.unionByName(totals)
+        counted.append(t.agg(F.lit("table_rows").alias("metric"), F.lit(name).alias("item"),
+                             F.count(F.lit(1)).alias("value")))
+    # one row per class and table: the totals are sums over these few rows, so
+    # the raw and the clean table are each scanned once
+    out = reduce(DataFrame.unionByName, counted).withColumn(
+        "each", F.when(F.col("metric") == "raw_rows", F.array(F.lit("raw_rows"), F.lit("rows_removed")))
+        .when(F.col("metric") == "class_count", F.array(F.lit("class_count"), F.lit("clean_rows"), F.lit("rows_removed")))
+        .otherwise(F.array("metric"))).withColumn("of", F.explode("each"))
+    sign = F.when((F.col("of") == "rows_removed") & (F.col("metric") == "class_count"), -F.col("value")) \
+        .otherwise(F.col("value"))
+    item = F.when(F.col("of").isin("clean_rows", "rows_removed"), "").otherwise(F.col("item"))
+    out = out.groupBy(F.col("of").alias("metric"), item.alias("item")).agg(F.sum(sign).cast("long").alias("value"))
+    # an empty clean table has no class row, and still 0 clean rows
+    none = raw.sparkSession.sql("SELECT 'clean_rows' AS metric, '' AS item, CAST(0 AS BIGINT) AS value")
+    return out.unionByName(none).groupBy("metric", "item").agg(F.sum("value").alias("value"))

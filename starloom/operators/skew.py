@@ -3,7 +3,7 @@
 When the small side cannot be broadcast, the join shuffles both sides on the
 key, and one hot key (say a third of all fact rows on one dimension tuple)
 lands in a single reducer.  Salting splits it: every big-side row gets a
-deterministic salt in [0, S) from a hash of the whole row, and the small side
+salt in [0, S) from its position in its partition, and the small side
 is replicated once per salt, so a hot key's rows spread over S reducers while
 each still meets every matching small-side row exactly once.  Results are the
 same as the plain join; only the small side is shuffled S times.
@@ -55,8 +55,8 @@ def fits_broadcast(df: DataFrame, max_rows: int = CHECKED_BROADCAST_ROWS,
 
 
 def salt_big(df: DataFrame, salts: int) -> DataFrame:
-    """Deterministic salt per row (same row, same salt, on every recomputation)."""
-    return df.withColumn(SALT, F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts)))
+    """A salt per row from its position in its partition, so equal rows spread as well."""
+    return df.withColumn(SALT, F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
 
 
 def replicate_small(df: DataFrame, salts: int) -> DataFrame:

@@ -2,10 +2,11 @@
 
 Plan, for a clean table of any size:
 
-* W2: the clean table is range-partitioned on its unique order key, sorted and
-  materialised once (``numbering.range_tag``); record ids come from partition
-  offsets.  That copy is the only full write and every later step reads it,
-  never the source again.
+* W2: rows keep the order they have in their files (no shuffle at all), or
+  that of a unique key column (range-partitioned and sorted); either way a
+  position-tagged copy is written once (``operators/numbering.py``), record
+  ids are partition or block offsets plus positions, and every later step reads
+  the copy, never the source again.
 * A1: all dimensions' distinct tuples, and the partition sizes for W2, come
   from ONE scan (grouping sets, with a map-side partial aggregate, so a hot
   tuple costs nothing extra), each tuple keeping ``min(order key)`` = where it
@@ -25,11 +26,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom import spec as S
-from starloom.operators.numbering import (MID, PID, apply_offsets, dense_index,
+from starloom.operators.numbering import (BLOCK, FILE, MID, PID, apply_offsets, block_offsets,
+                                          dense_index, file_tag, has_file_order,
                                           partition_offsets, range_tag, small_index)
 from starloom.operators.skew import fits_broadcast, salted_join
 from starloom.session import local_table, reliable_checkpoint
@@ -108,51 +110,62 @@ def _local_dimension(spark, rows, dim: S.DimSpec, gid: int, schema) -> DataFrame
     return local_table(spark, data, StructType(fields))
 
 
-def _local_offsets(spark, rows, gid: int) -> DataFrame:
-    """Per-partition start offsets from the (one row per partition) sizes."""
-    sizes = sorted((r for r in rows if r["_gid"] == gid), key=lambda r: r[PID])
-    data, running = [], 0
-    for r in sizes:
-        data.append((r[PID], r["_base"], running))
-        running += r["_n"]
-    return local_table(spark, data, f"{PID} int, _base bigint, _off bigint")
+def resolve_order(df: DataFrame, order_key: str | None = None) -> str | None:
+    """The key column rows are numbered by; None: the order of their files (decision D7)."""
+    if order_key is not None:
+        return order_key
+    if "row_key" in df.columns:
+        return "row_key"
+    if has_file_order(df):
+        return None
+    raise ValueError("rows have no order: give a key column or scan with file_order=True")
+
 
+def tagged_rows(clean: DataFrame, order_key: str | None,
+                num_partitions: int | None = None) -> tuple[DataFrame, Column, list[str]]:
+    """(tagged copy, where a row stands in the order, columns that name its partition or block)."""
+    if order_key is None:
+        return file_tag(clean), F.struct(FILE, BLOCK, MID), [PID, FILE, BLOCK]
+    return range_tag(clean, [order_key], num_partitions), F.col(order_key), [PID]
 
-def star_grouping(ranged: DataFrame, layout: S.StarLayout,
-                  order_key: str) -> tuple[DataFrame, list[str]]:
+
+def star_grouping(ranged: DataFrame, layout: S.StarLayout, place: Column,
+                  blocks: list[str]) -> tuple[DataFrame, list[str]]:
     """The single pass over the tagged clean table: every dimension's tuples
-    (with first-seen key) and every partition's size, as grouping sets."""
+    (with first-seen place) and every block's size, as grouping sets."""
     all_cols: list[str] = []
     for d in layout.dims:
         all_cols += [c for c in d.sources if c not in all_cols]
-    group_cols = all_cols + [PID]
-    sets = [[F.col(c) for c in d.sources] for d in layout.dims] + [[F.col(PID)]]
-    grouped = (ranged.groupingSets(sets, *[F.col(c) for c in group_cols])
-                     .agg(F.min(order_key).alias(FIRST), F.count(F.lit(1)).alias("_n"),
+    group_cols = all_cols + blocks
+    sets = [[F.col(c) for c in d.sources] for d in layout.dims] + [[F.col(c) for c in blocks]]
+    grouped = (ranged.withColumn("_place", place).groupingSets(sets, *[F.col(c) for c in group_cols])
+                     .agg(F.min("_place").alias(FIRST), F.count(F.lit(1)).alias("_n"),
                           F.min(MID).alias("_base"), F.grouping_id().alias("_gid")))
     return grouped, group_cols
 
 
 def build_star(clean: DataFrame, layout: S.StarLayout = S.MAIN_STAR,
-               spec: S.SurveySpec | None = S.SURVEY, order_key: str = "row_key",
+               spec: S.SurveySpec | None = S.SURVEY, order_key: str | None = None,
                validated: bool = True, num_partitions: int | None = None) -> dict[str, DataFrame]:
-    """Dimensions (first-seen dense keys) and fact (record ids in key order).
-
-    ``validated`` says the input passed domain validation, which proves every
-    dimension's size bound; pass False for an arbitrary table.
-
-    Passes over the data: the range shuffle that writes the tagged copy, then
-    one grouping-sets pass over it that yields every dimension's tuples AND the
-    per-partition sizes for record ids, then the fact pass.  When all
-    dimensions are proven small, that grouping result (tuples + one row per
-    partition, both bounded) is ranked locally and used as local relations;
-    otherwise it is materialised in the checkpoint folder and ranked with
+    """Dimensions (first-seen dense keys) and fact (record ids in row order).
+
+    ``order_key``: a column with a unique value per row; by default
+    ``row_key``, or the file order of a scan that carries it.  ``validated`` says
+    the input passed domain validation, which proves every dimension's size
+    bound; pass False for an arbitrary table.
+
+    Passes over the data: the one that writes the tagged copy, then one
+    grouping-sets pass over it that yields every dimension's tuples AND the
+    block sizes for record ids, then the fact pass.  The grouping result is
+    written to the checkpoint folder; when all dimensions are proven small,
+    their tuples (and nothing else) are ranked locally, otherwise with
     distributed numbering.
     """
     spark = clean.sparkSession
-    ranged = range_tag(clean, [order_key], num_partitions)
+    ranged, place, blocks = tagged_rows(clean, resolve_order(clean, order_key), num_partitions)
     dims_spec = list(layout.dims)
-    grouped, group_cols = star_grouping(ranged, layout, order_key)
+    grouped, group_cols = star_grouping(ranged, layout, place, blocks)
+    grouped = reliable_checkpoint(grouped, "dim-tuples")
     bounds = [_bound(spec, d, validated) for d in dims_spec]
     small = all(b is not None and b <= S.BROADCAST_ROW_BOUND for b in bounds)
 
@@ -160,22 +173,19 @@ def build_star(clean: DataFrame, layout: S.StarLayout = S.MAIN_STAR,
         width = len(group_cols)
         return sum(1 << (width - 1 - i) for i, c in enumerate(group_cols) if c not in members)
 
+    dims = {}
     if small:
-        # Proven small: (dimension tuples + one row per partition) come back as
-        # rows; keys and offsets are ranks over those few rows.
-        rows = grouped.collect()
+        rows = grouped.where(F.col("_gid") != gid(blocks)).collect()  # at most 1,348 tuples
         dims = {d.table: _local_dimension(spark, rows, d, gid(d.sources), clean.schema)
                 for d in dims_spec}
-        sizes = _local_offsets(spark, rows, gid([PID]))
-        fact = apply_offsets(ranged, sizes, layout.record_key)
     else:
-        grouped = reliable_checkpoint(grouped, "dim-tuples")
-        dims = {}
         for d, b in zip(dims_spec, bounds):
             tuples = grouped.filter(F.col("_gid") == gid(d.sources)).select(*d.sources, FIRST)
-            dims[d.table] = _number(tuples, d, order_key, b)
-        sizes = grouped.filter(F.col("_gid") == gid([PID])).select(PID, "_n", "_base")
-        fact = apply_offsets(ranged, partition_offsets(sizes), layout.record_key)
+            dims[d.table] = _number(tuples, d, FIRST, b)
+    sizes = grouped.filter(F.col("_gid") == gid(blocks)).select(*blocks, "_n", "_base")
+    offsets = block_offsets(sizes) if len(blocks) > 1 else partition_offsets(sizes)
+    # one row per partition or file block: bounded by the splits of the scan
+    fact = apply_offsets(ranged, reliable_checkpoint(offsets, "offsets"), layout.record_key)
     for d, b in zip(dims_spec, bounds):
         fact = lookup_key(fact, dims[d.table], d, b, layout.null_safe_lookup, layout.strict_lookup)
     measures = []
@@ -186,10 +196,21 @@ def build_star(clean: DataFrame, layout: S.StarLayout = S.MAIN_STAR,
     return {**dims, layout.fact_table: fact}
 
 
+def build_one_dimension(clean: DataFrame, dim: S.DimSpec, spec: S.SurveySpec = S.SURVEY,
+                        order_key: str = "row_key") -> DataFrame:
+    """One dimension of a validated table with a key column: a single map-side aggregate,
+    without the tagged copy that only the fact's record ids need."""
+    return build_dimension(clean, dim, order_key, _bound(spec, dim, True))
+
+
 def star_round_trip(star: dict[str, DataFrame], layout: S.StarLayout = S.MAIN_STAR) -> DataFrame:
     """Fact joined back to its dimensions, columns under their clean names."""
     fact = star[layout.fact_table]
     for d in layout.dims:
         dim = star[d.table].select(F.col(d.key), *[F.col(o).alias(s) for s, o in d.columns])
-        fact = fact.join(F.broadcast(dim) if fits_broadcast(dim) else dim, d.key, "left")
+        if fits_broadcast(dim):
+            fact = fact.join(F.broadcast(dim), d.key, "left")
+        else:
+            key = f"_r_{d.key}"
+            fact = salted_join(fact, dim.withColumnRenamed(d.key, key), [(d.key, key)], "left").drop(key)
     return fact

@@ -11,12 +11,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom import spec as S
 from starloom.functions import recode as R
-from starloom.operators.skew import fits_broadcast
+from starloom.operators.skew import fits_broadcast, salted_join
+from starloom.session import table_bytes
 
 # C7 -------------------------------------------------------------------------
 def encode_star(star: dict[str, DataFrame], layout: S.StarLayout = S.MAIN_STAR) -> dict[str, DataFrame]:
@@ -80,7 +81,11 @@ def star_join(encoded: dict[str, DataFrame], layout: S.StarLayout = S.MAIN_STAR,
     for d in layout.dims:
         dim = encoded[d.table]
         small = dims_bounded if dims_bounded is not None else fits_broadcast(dim)
-        fact = fact.join(F.broadcast(dim) if small else dim, d.key, "inner")
+        if small:
+            fact = fact.join(F.broadcast(dim), d.key, "inner")
+        else:
+            key = f"_v_{d.key}"
+            fact = salted_join(fact, dim.withColumnRenamed(d.key, key), [(d.key, key)], "inner").drop(key)
     return fact
 
 
@@ -126,7 +131,7 @@ def compression_ratio(star: dict[str, DataFrame], layout: S.StarLayout = S.MAIN_
 
 # V3 -------------------------------------------------------------------------
 def db_stats(paths: dict[str, str], spark) -> DataFrame:
-    """(table_name, row_count, size_mb) of published parquet tables, most rows first.
+    """(table_name, row_count, size_mb, size_rank) of published parquet tables, most rows first.
 
     Rows by ``count``; size from the file-level ``_metadata.file_size`` of each
     distinct data file (no file is read twice, nothing goes through the driver).
@@ -140,8 +145,19 @@ def db_stats(paths: dict[str, str], spark) -> DataFrame:
                       F.coalesce(F.sum("file_size"), F.lit(0)).alias("bytes")))
         parts.append(rows.join(size, "table_name"))
     stats = reduce(DataFrame.unionByName, parts)
-    return (stats.select("table_name", "row_count", R.size_mb("bytes").alias("size_mb"))
-                 .orderBy(F.desc("row_count"), "table_name"))
+    order = Window.orderBy(F.desc("row_count"), "table_name")  # one row per table
+    return (stats.select("table_name", "row_count", R.size_mb("bytes").alias("size_mb"),
+                         F.row_number().over(order).alias("position"))
+                 .orderBy("position"))
+
+
+def db_stats_report(paths: dict[str, str], spark) -> DataFrame:
+    """``db_stats`` with its size held against the lengths that the file system lists."""
+    listed = [(name, table_bytes(spark, path, ".parquet")) for name, path in paths.items()]
+    own = spark.createDataFrame(listed, "table_name string, listed bigint")
+    return (db_stats(paths, spark).join(own, "table_name")
+            .select("table_name", "row_count", "position",
+                    (F.col("size_mb") == R.size_mb("listed")).alias("size_as_listed")))
 
 
 # L1 -------------------------------------------------------------------------

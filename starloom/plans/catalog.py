@@ -8,6 +8,7 @@ published star) use fresh paths under the shared checkpoint folder.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -148,6 +149,9 @@ def q_s6_parquet_stage(spark, d):
 
 def _star_table(table, layout=S.MAIN_STAR):
     def q(spark, d):
+        dims = {x.table: x for x in layout.dims}
+        if table in dims:  # a dimension alone needs no record ids
+            return ST.build_one_dimension(_clean(spark, d), dims[table])
         return _star(spark, d, layout)[table]
     q.__name__ = f"q_{layout.name}_{table}"
     return q
@@ -163,8 +167,15 @@ def q_s7_csv_sink(spark, d):
     return spark.read.schema(schema).option("header", True).csv(paths["fact_health_records"])
 
 
+def _stored_star(spark, d):
+    """The main star, published and read back: its readers scan files, not its plan."""
+    root = scratch_path(spark, "published")
+    SK.publish_star(_star(spark, d), root)
+    return SK.read_published(spark, root)
+
+
 def q_v1_analysis_view(spark, d):
-    return V.analysis_view(V.encode_star(_star(spark, d)), dims_bounded=True)
+    return V.analysis_view(V.encode_star(_stored_star(spark, d)), dims_bounded=True)
 
 
 def q_a6_table_counts(spark, d):
@@ -231,12 +242,121 @@ def q_a10_run_summary(spark, d):
 def q_v3_db_stats(spark, d):
     root = scratch_path(spark, "stats")
     paths = SK.publish_star(_star(spark, d), root)
-    return V.db_stats(paths, spark)
+    return V.db_stats_report(paths, spark)
+
+
+def _e6(table):
+    def q(spark, d):
+        from starloom.streaming.incremental import incremental_demo
+        return incremental_demo(spark, d)[table]
+    return q
+
+
+def _keyless_csv(spark, d):
+    """The raw survey as several CSV files without a key, ordered by customer and order."""
+    path = scratch_path(spark, "keyless-csv")
+    orders = read_table(spark, d, "orders", ["o_orderkey", "o_custkey"])
+    raw = _raw(spark, d).join(orders, F.col("row_key") == F.col("o_orderkey"))
+    (raw.repartitionByRange(8, "o_custkey", "row_key").sortWithinPartitions("o_custkey", "row_key")
+        .select(*S.SELECTED_COLUMNS).write.option("header", True).csv(path))
+    return path
+
+
+def _file_order_star(table):
+    def q(spark, d):
+        raw = FS.csv_scan(spark, _keyless_csv(spark, d), file_order=True)
+        return ST.build_star(C.clean_survey(raw))[table]
+    return q
 
 
-def q_e6_incremental(spark, d):
-    from starloom.streaming.incremental import incremental_demo
-    return incremental_demo(spark, d)
+def _plain_year_dir(spark, d):
+    """Yearly files named ``<year>.csv``, without a key column, rows in key order."""
+    root = scratch_path(spark, "plain-years")
+    raw = SK.write_stage(_raw(spark, d, year=True), scratch_path(spark, "by-year"), partition_by=["DATA_YEAR"])
+    for year in sorted(r[0] for r in raw.select("DATA_YEAR").distinct().collect()):  # calendar years
+        (raw.where(F.col("DATA_YEAR") == year).repartitionByRange(3, "row_key").sortWithinPartitions("row_key")
+            .select(*S.SELECTED_COLUMNS).write.option("header", True).csv(f"{root}/{year}.csv"))
+    return root
+
+
+def q_e4_run_files(spark, d):
+    root = scratch_path(spark, "run-files")
+    runs.run_files(spark, _plain_year_dir(spark, d), root)
+    return SK.read_published(spark, root)["fact_health_records"]
+
+
+def q_e4_run_one_year(spark, d):
+    root = scratch_path(spark, "run-year")
+    runs.run_files(spark, _plain_year_dir(spark, d), root, years=1998)
+    return SK.read_published(spark, root)["dim_demographics"]
+
+
+def q_e3_alternate_run(spark, d):
+    path = scratch_path(spark, "processed-csv")
+    (_clean(spark, d).repartitionByRange(4, "row_key").sortWithinPartitions("row_key").drop("row_key")
+        .write.option("header", True).csv(path))
+    _, samples, ratio = runs.run_alternate(spark, path, scratch_path(spark, "alternate"))
+    return samples.unionByName(ratio.select(
+        F.lit("ratio").alias("table_name"), F.col("fact_rows").alias("key_id"),
+        F.col("dimension_rows").cast("string").alias("row_text")))
+
+
+def broken_star_sql(star_table: Callable[[str], str]) -> dict[str, str]:
+    """Each star table with faults of every kind, as SQL that both engines run."""
+    out = {}
+    for dim in S.MAIN_STAR.dims:
+        first, *rest = dim.outputs
+        key = dim.key
+        text = f"CAST({first} AS {{text}})"
+        out[dim.table] = (
+            f"SELECT {key}, CASE WHEN {key} % 5 = 0 THEN NULL WHEN {key} % 3 = 0 THEN "
+            f"concat({text}, ' and much more') ELSE {text} END AS {first}, {', '.join(rest)} "
+            f"FROM {star_table(dim.table)} WHERE {key} % 7 <> 6 "
+            f"UNION ALL SELECT {key}, {text}, {', '.join(rest)} FROM {star_table(dim.table)} WHERE {key} % 4 = 1")
+    keys = ", ".join(f"CASE WHEN record_id % {11 + i} = 0 THEN NULL ELSE {d.key} END AS {d.key}"
+                     for i, d in enumerate(S.MAIN_STAR.dims))
+    fact = star_table("fact_health_records")
+    out["fact_health_records"] = (
+        "SELECT record_id, CASE WHEN record_id % 13 = 0 THEN 'far too long for the column' "
+        "WHEN record_id % 17 = 0 THEN NULL ELSE diabetes_status END AS diabetes_status, "
+        "CASE WHEN record_id % 19 = 0 THEN 12345.0 WHEN record_id % 23 = 0 THEN 0.0 ELSE bmi_value END AS bmi_value, "
+        "CASE WHEN record_id % 29 = 0 THEN 31.0 ELSE mental_health_days END AS mental_health_days, "
+        "CASE WHEN record_id % 31 = 0 THEN -1.0 ELSE physical_health_days END AS physical_health_days, "
+        "CASE WHEN record_id % 37 = 0 THEN 999.0 ELSE general_health_score END AS general_health_score, "
+        f"{keys} FROM {fact} UNION ALL SELECT * FROM {fact} WHERE record_id % 41 = 0")
+    return out
+
+
+def q_k_broken_star(spark, d):
+    star = {t: SK.write_stage(df, scratch_path(spark, "sound")) for t, df in _star(spark, d).items()}
+    broken = {t: spark.sql(sql.replace("{text}", "STRING"), **{f"t_{t}": star[t]})
+              for t, sql in broken_star_sql(lambda t: "{t_" + t + "}").items()}
+    return Q.check_star(broken)
+
+
+#: F3 fixture: one column coded 0/1, one without a binary pattern, and one whose
+#: zeros stand only in rows that the column before it removes.
+INFER_RECODES = {
+    "_RFHYPE5": "CASE WHEN _RFHYPE5 = 2 THEN 0 ELSE _RFHYPE5 END",
+    "TOLDHI2": "CASE WHEN _RFHYPE5 = 9 THEN 0 ELSE TOLDHI2 END",
+    "_CHOLCHK": "CASE WHEN _CHOLCHK = 2 THEN 7 ELSE _CHOLCHK END",
+}
+INFER_MODES = {"_RFHYPE5": (0, 1), "TOLDHI2": (1, 2), "_CHOLCHK": None}
+
+
+def _mixed_codes(spark, d):
+    raw = _raw(spark, d)
+    return raw.selectExpr(*[f"CAST({INFER_RECODES[c]} AS DOUBLE) AS {c}" if c in INFER_RECODES else c
+                            for c in raw.columns])
+
+
+def q_a4_step_deltas_inferred(spark, d):
+    raw = _mixed_codes(spark, d)
+    return P.step_deltas(raw, P.inferred_spec(raw))
+
+
+def q_e1_clean_mixed(spark, d):
+    return C.clean_survey(_mixed_codes(spark, d), binary_mode="inferred", validate=False)
 
 
 QUERIES: dict[str, Query] = {
@@ -282,7 +402,16 @@ QUERIES: dict[str, Query] = {
     "e5_staged_run": q_e5_staged_run,
     "a10_run_summary": q_a10_run_summary,
     "v3_db_stats": q_v3_db_stats,
-    "e6_incremental": q_e6_incremental,
+    "e6_incremental": _e6("fact_health_records"),
+    "e6_dim_demographics": _e6("dim_demographics"),
+    "w2_file_order_fact": _file_order_star("fact_health_records"),
+    "w1_file_order_dim_medical_conditions": _file_order_star("dim_medical_conditions"),
+    "e4_run_files": q_e4_run_files,
+    "e4_run_one_year": q_e4_run_one_year,
+    "e3_alternate_run": q_e3_alternate_run,
+    "k_broken_star": q_k_broken_star,
+    "a4_step_deltas_inferred": q_a4_step_deltas_inferred,
+    "e1_clean_mixed": q_e1_clean_mixed,
 }
 
 
@@ -390,6 +519,42 @@ def _oracle() -> dict[str, str]:
     sql["e5_staged_run"] = O.with_ctes(star, summary)
     sql["a10_run_summary"] = sql["e5_staged_run"]
     sql["e6_incremental"] = O.with_ctes(O.incremental_star_ctes(), "SELECT * FROM fact_health_records")
+    sql["e6_dim_demographics"] = O.with_ctes(O.incremental_star_ctes(), "SELECT * FROM dim_demographics")
+    sql["v3_db_stats"] = O.with_ctes(star, (
+        "SELECT table_name, row_count, CAST(row_number() OVER (ORDER BY row_count DESC, table_name) AS INTEGER) "
+        f"AS position, TRUE AS size_as_listed FROM ({counts}) t"))
+    # rows numbered by where they stand in the files
+    by_file = [("raw", f"SELECT r.* REPLACE (row_number() OVER (ORDER BY o.o_custkey, r.row_key) AS row_key) "
+                       f"FROM ({O.RAW}) r JOIN orders o ON r.row_key = o.o_orderkey"),
+               ("clean", O.clean_sql("raw"))] + O.star_ctes()
+    sql["w2_file_order_fact"] = O.with_ctes(by_file, "SELECT * FROM fact_health_records")
+    sql["w1_file_order_dim_medical_conditions"] = O.with_ctes(by_file, "SELECT * FROM dim_medical_conditions")
+
+    def by_year(where):
+        return [("raw", "SELECT * EXCLUDE (DATA_YEAR) REPLACE (row_number() OVER (ORDER BY DATA_YEAR, row_key) "
+                        f"AS row_key) FROM ({O.RAW_YEAR}) y {where}"),
+                ("clean", O.clean_sql("raw"))] + O.star_ctes()
+
+    def stored(table):
+        return "SELECT " + ", ".join(
+            f"CAST({c} AS {('VARCHAR' if t.startswith('varchar') else t.upper())}) AS {c}"
+            for c, t in S.LOAD_TYPES[table].items()) + f" FROM {table}"
+    sql["e4_run_files"] = O.with_ctes(by_year(""), stored("fact_health_records"))
+    sql["e4_run_one_year"] = O.with_ctes(by_year("WHERE DATA_YEAR = 1998"), stored("dim_demographics"))
+    alt_dims = [d for d in S.ALT_STAR.dims]
+    sql["e3_alternate_run"] = O.with_ctes(alt, " UNION ALL ".join(
+        f"SELECT * FROM (SELECT '{d.table}' AS table_name, CAST({d.key} AS BIGINT) AS key_id, "
+        "concat_ws('|', " + ", ".join(f"COALESCE(CAST({o} AS VARCHAR), 'NULL')" for o in d.outputs)
+        + f") AS row_text FROM alt_{d.table} ORDER BY {d.key} LIMIT 3)" for d in alt_dims)
+        + " UNION ALL SELECT 'ratio', (SELECT count(*) FROM alt_fact_health_records), CAST("
+        + " + ".join(f"(SELECT count(*) FROM alt_{d.table})" for d in alt_dims) + " AS VARCHAR)")
+    broken = [(f"b_{t}", q.replace("{text}", "VARCHAR")) for t, q in broken_star_sql(lambda t: t).items()]
+    checks = _checks_sql()
+    for t in S.MAIN_STAR.tables:
+        checks = re.sub(rf"FROM {t}\b", f"FROM b_{t}", checks)
+    sql["k_broken_star"] = O.with_ctes(star + broken, checks)
+    sql["a4_step_deltas_inferred"] = O.inferred_step_deltas_sql(INFER_RECODES, INFER_MODES)
+    sql["e1_clean_mixed"] = O.inferred_clean_sql(INFER_RECODES, INFER_MODES)
     return sql
 
 

@@ -197,6 +197,56 @@ def step_deltas_sql() -> str:
     return with_ctes([("raw", RAW), ("counts", f"SELECT {', '.join(aggs)} FROM raw")], rows)
 
 
+def _mixed_raw(recodes: dict) -> str:
+    cols = ", ".join(f"CAST({q} AS DOUBLE) AS {c}" for c, q in recodes.items())
+    return f"SELECT * REPLACE ({cols}) FROM ({RAW}) r"
+
+
+def _mixed_binary(modes: dict) -> list[tuple[str, str]]:
+    """Filter per binary column under the modes the fixture was made for (None: no filter)."""
+    codes = {b: modes.get(b, (1, 2)) for b in S.BINARY_COLUMNS}
+    return [(b, "TRUE" if c is None else f"COALESCE({b} IN ({_lst(c)}), FALSE)") for b, c in codes.items()]
+
+
+def inferred_step_deltas_sql(recodes: dict, modes: dict) -> str:
+    steps = step_predicates()
+    binary = dict(_mixed_binary(modes))
+    steps = [(n, binary.get(n.removeprefix("binary:"), p) if n.startswith("binary:") else p) for n, p in steps]
+    last = [p for _, p in steps] + (["FALSE"] if None in modes.values() else [])
+    aggs = ["count(*) AS c0"] + [
+        f"count(*) FILTER (WHERE {' AND '.join(f'({p})' for _, p in steps[:i])}) AS c{i}"
+        for i in range(1, len(steps) + 1)]
+    aggs.append(f"count(*) FILTER (WHERE {' AND '.join(f'({p})' for p in last)}) AS c{len(steps) + 1}")
+    names = [n for n, _ in steps] + ["validate"]
+    rows = " UNION ALL ".join(
+        f"SELECT {i} AS step_no, '{n}' AS step, c{i - 1} AS rows_before, c{i} AS rows_after, "
+        f"c{i - 1} - c{i} AS removed FROM counts" for i, n in enumerate(names, start=1))
+    return with_ctes([("raw", _mixed_raw(recodes)), ("counts", f"SELECT {', '.join(aggs)} FROM raw")], rows)
+
+
+def inferred_clean_sql(recodes: dict, modes: dict) -> str:
+    """The cleaned rows before validation: labels by mode, an unpatterned column as text."""
+    sel = ["row_key"]
+    for c in SURVEY_COLS:
+        name = S.RENAME[c]
+        if c == "DIABETE3":
+            sel.append(f"{_case(c, S.TARGET_LABELS)} AS {name}")
+        elif c in S.BINARY_COLUMNS:
+            mode = modes.get(c, (1, 2))
+            sel.append(f"CASE WHEN {c} = 1 THEN 'Yes' ELSE 'No' END AS {name}" if mode is not None
+                       else f"CAST({c} AS VARCHAR) AS {name}")
+        elif c == "_BMI5":
+            sel.append(f"{c} / 100.0 AS {name}")
+        elif c == "SEX":
+            sel.append(f"{_case(c, S.SEX_LABELS)} AS {name}")
+        else:
+            sel.append(f"{c} AS {name}")
+    conds = [f"{c} IS NOT NULL" for c in ["row_key"] + SURVEY_COLS]
+    conds += [f"DIABETE3 IN ({_lst(S.TARGET_LABELS)})"] + [p for _, p in _mixed_binary(modes)]
+    conds += [f"{c} IN ({_lst(d)})" for c, d in S.ORDINAL_DOMAINS.items()]
+    return with_ctes([("raw", _mixed_raw(recodes))], f"SELECT {', '.join(sel)} FROM raw WHERE {' AND '.join(conds)}")
+
+
 def first_failure_ctes() -> list[tuple[str, str]]:
     rules = list(S.VALIDATION_DOMAINS.items())
     first = "CASE " + " ".join(

@@ -1,15 +1,14 @@
 """Session construction and lineage cutting.
 
-Lineage is cut with ``DataFrame.checkpoint()`` into the shared folder named by
-``spark.checkpoint.dir``.  The setting is read from the session; a directory is
-only chosen here when it is unset (tests, local runs).  On a cluster without
-the setting, the fallback lives under the warehouse directory, which is shared
-storage, never a machine-local temporary folder.
+Intermediate tables go to the shared folder named by ``spark.checkpoint.dir``,
+which is read from the session.  Only a local session without that setting
+(tests, scripts) gets a folder of its own; on a cluster the call fails, since
+no other folder is known to be shared by the executors.
 """
 
 from __future__ import annotations
 
-import os
+import contextlib
 import tempfile
 import uuid
 
@@ -43,12 +42,7 @@ def _is_local(spark: SparkSession) -> bool:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and written stage tables.
-
-    Order of preference: the context's checkpoint dir, ``spark.checkpoint.dir``,
-    then (unset only) a scratch folder: /tmp in local mode, the warehouse
-    directory on a cluster.
-    """
+    """Shared folder for checkpoints and written stage tables."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -56,19 +50,52 @@ def checkpoint_root(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        if _is_local(spark):
-            conf_dir = tempfile.mkdtemp(prefix="starloom-ckpt-", dir="/tmp")
-        else:
-            wh = spark.conf.get("spark.sql.warehouse.dir")
-            conf_dir = wh.rstrip("/") + "/_starloom_checkpoints"
+        if not _is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        conf_dir = tempfile.mkdtemp(prefix="starloom-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Removes, at its end, every scratch table written inside it.
+
+    For runs whose results are published elsewhere: nothing built inside may
+    be read afterwards.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _scopes.pop():
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+
+
+def table_bytes(spark: SparkSession, path: str, suffix: str = "") -> int:
+    """Bytes of the files directly or deeper under ``path``, from the file system (no Spark job)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(p, True)
+    total = 0
+    while files.hasNext():
+        f = files.next()
+        if f.getPath().getName().endswith(suffix):
+            total += f.getLen()
+    return total
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/starloom-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/starloom-{name}-{uuid.uuid4().hex[:12]}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
 
 
 def reliable_checkpoint(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -126,11 +153,3 @@ def local_table(spark: SparkSession, rows: list, schema) -> DataFrame:
         f" AS {quote(f.name)}" for n, f in zip(names, schema.fields))
     return spark.sql(f"SELECT {cols} FROM VALUES {body} AS t({', '.join(names)})")
 
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side file access in local tests."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

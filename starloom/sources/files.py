@@ -14,11 +14,12 @@ import logging
 import re
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import spec as S
 from starloom.functions.recode import parse_number
+from starloom.operators.numbering import BLOCK, FILE, has_file_order, with_file_order
 
 log = logging.getLogger(__name__)
 
@@ -26,6 +27,7 @@ log = logging.getLogger(__name__)
 # ``DATA_YEAR=<year>`` partition folder of one partitioned write
 YEAR_FILE = re.compile(r"^(?:([0-9]+)\.csv|DATA_YEAR=([0-9]+))$")
 KEY_COLUMNS = ("row_key",)
+ORDER_COLUMNS = (FILE, BLOCK)
 
 
 # P1 -------------------------------------------------------------------------
@@ -56,14 +58,36 @@ def parse_numbers(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 # S1 -------------------------------------------------------------------------
 def csv_scan(spark: SparkSession, path: str, spec: S.SurveySpec = S.SURVEY,
-             keep: tuple[str, ...] = KEY_COLUMNS, key_type: str = "bigint") -> DataFrame:
-    """Header CSV -> selected survey columns as double (+ key columns)."""
+             keep: tuple[str, ...] = KEY_COLUMNS, key_type: str = "bigint",
+             file_order: bool = False) -> DataFrame:
+    """Header CSV -> selected survey columns as double (+ key columns).
+
+    ``file_order`` adds each row's file and file block, the order in which
+    files without a key column are numbered.  A row with more cells than the
+    header fails the read (``malformed_rows`` finds them beforehand).
+    """
     raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
-    selected = select_features(raw, spec, keep)
-    out = parse_numbers(selected, [c for c in selected.columns if c not in keep])
+    if file_order:
+        raw = with_file_order(raw)
+    selected = select_features(raw, spec, keep + ORDER_COLUMNS)
+    out = parse_numbers(selected, [c for c in selected.columns if c not in keep + ORDER_COLUMNS])
     return out.withColumns({k: F.col(k).cast(key_type) for k in keep if k in out.columns})
 
 
+def malformed_rows(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(file, n): rows per file that have more cells than the header, files without any left out.
+
+    One pass over the lines of files that share a header (missing cells are
+    nulls and no fault).  A cell is appended to each line, so that a line that
+    is too long by an empty cell shows too.
+    """
+    n = len(spark.read.option("header", True).csv(paths).columns)
+    schema = ", ".join(f"c{i} string" for i in range(n + 2))
+    cells = F.from_csv(F.concat(F.col("value"), F.lit(",x")), schema)
+    return (spark.read.text(paths).where(cells[f"c{n + 1}"].isNotNull())
+            .groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n")))
+
+
 # S2 -------------------------------------------------------------------------
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -87,11 +111,6 @@ def year_files(spark: SparkSession, data_dir: str) -> dict[int, str]:
     return dict(sorted(found.items()))
 
 
-# P2 -------------------------------------------------------------------------
-def tag_year(df: DataFrame, year: int, column: str = S.YEAR_COLUMN) -> DataFrame:
-    return df.withColumn(column, F.lit(int(year)).cast("int"))
-
-
 # U1 -------------------------------------------------------------------------
 YEAR_IN_PATH = r"(?:^|/)(?:([0-9]+)\.csv|DATA_YEAR=([0-9]+))(?:/|$)"
 
@@ -126,65 +145,84 @@ def _header(spark: SparkSession, path: str) -> tuple[str, ...] | None:
     return tuple(c.strip() for c in next(csv.reader([line.lstrip("\ufeff")])))
 
 
-def _scan_years(spark: SparkSession, paths: list[str], spec: S.SurveySpec) -> DataFrame:
-    """One scan over yearly files sharing a header; the year comes from each path."""
-    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(paths)
-    path = F.col("_metadata.file_path")
-    year = F.coalesce(F.nullif(F.regexp_extract(path, YEAR_IN_PATH, 1), F.lit("")),
+def _year_of(path: Column) -> Column:
+    return F.coalesce(F.nullif(F.regexp_extract(path, YEAR_IN_PATH, 1), F.lit("")),
                       F.nullif(F.regexp_extract(path, YEAR_IN_PATH, 2), F.lit(""))).cast("int")
-    tagged = raw.withColumn(spec.year_column, year)
-    keep = KEY_COLUMNS + (spec.year_column,)
+
+
+def _scan_years(spark: SparkSession, paths: list[str], spec: S.SurveySpec,
+                file_order: bool = False) -> DataFrame:
+    """One scan over yearly files sharing a header; the year comes from each path."""
+    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(paths)
+    tagged = raw.withColumn(spec.year_column, _year_of(F.col("_metadata.file_path")))
+    if file_order:
+        tagged = with_file_order(tagged)
+    keep = KEY_COLUMNS + (spec.year_column,) + ORDER_COLUMNS
     selected = select_features(tagged, spec, keep)
     out = parse_numbers(selected, [c for c in selected.columns if c not in keep])
     return out.withColumns({k: F.col(k).cast("bigint") for k in KEY_COLUMNS if k in out.columns})
 
 
 def union_years(spark: SparkSession, data_dir: str, spec: S.SurveySpec = S.SURVEY,
-                years: list[int] | None = None) -> DataFrame:
+                years: list[int] | None = None, file_order: bool = False,
+                check_rows: bool = True) -> DataFrame:
     """All yearly files appended, ``DATA_YEAR`` added, missing columns null.
 
     Years whose files share a header are read in ONE scan, with the year taken
     from each row's file path (``_metadata.file_path``); headers are read as
-    one line per year through the file system, not by Spark jobs.  A group of
-    years that cannot be read or lacks the target is skipped with a warning;
-    when every year fails the call raises.  Data never passes the driver.
+    one line per year through the file system, not by Spark jobs.  A year that
+    lacks the target or (``check_rows``, one pass over the text) has a row with
+    too many cells is skipped with a warning; when no year is left the call
+    raises.  Data never passes the driver.
     """
     files = year_files(spark, data_dir)
     if years is not None:
         files = {y: p for y, p in files.items() if y in set(years)}
-    groups: dict[tuple, list[str]] = {}
+    groups: dict[tuple, dict[int, str]] = {}
     for year, path in files.items():
         header = _header(spark, path)
-        groups.setdefault(header if header is not None else ("__year__", year), []).append(path)
+        groups.setdefault(header if header is not None else ("__year__", year), {})[year] = path
     frames = []
-    for header, paths in groups.items():
+    for members in groups.values():
         try:
-            frames.append(_scan_years(spark, paths, spec))
+            if check_rows:
+                bad = malformed_rows(spark, list(members.values()))
+                for r in bad.groupBy(_year_of(F.col("file")).alias("y")).agg(F.sum("n").alias("n")).collect():
+                    log.warning("year %s skipped: %s rows have too many cells", r["y"], r["n"])
+                    members.pop(r["y"])
+            if members:
+                frames.append(_scan_years(spark, list(members.values()), spec, file_order))
         except Exception as e:  # noqa: BLE001 - a bad year is skipped, as specified
-            log.warning("failed to load %s: %s", paths, e)
+            log.warning("failed to load %s: %s", list(members.values()), e)
     if not frames:
         raise RuntimeError("no yearly dataset could be loaded")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 # S3 -------------------------------------------------------------------------
-def bounded_scan(df: DataFrame, n: int, order_key: str = "row_key") -> DataFrame:
-    """The first ``n`` rows in key order (a plain ``limit`` has no order).
+def bounded_scan(df: DataFrame, n: int, order_key: str | None = None) -> DataFrame:
+    """The first ``n`` rows (a plain ``limit`` has no order): by key, or in file order.
 
     Planned as TakeOrderedAndProject: a per-partition top-n, then a merge of
     n rows per partition; the input is never fully sorted.
     """
-    return df.orderBy(F.col(order_key).asc_nulls_first()).limit(n)
+    if order_key is None and "row_key" not in df.columns and has_file_order(df):
+        at = "_at"  # rows of a block keep their order inside the task that reads it
+        return (df.withColumn(at, F.monotonically_increasing_id())
+                .orderBy(FILE, BLOCK, at).limit(n).drop(at))
+    return df.orderBy(F.col(order_key or "row_key").asc_nulls_first()).limit(n)
 
 
 # S4 -------------------------------------------------------------------------
-def single_year(spark: SparkSession, data_dir: str, year: int,
-                spec: S.SurveySpec = S.SURVEY) -> DataFrame:
-    """Only ``<year>.csv``; an absent file is an error (no DATA_YEAR column)."""
+def single_year(spark: SparkSession, data_dir: str, year: int, spec: S.SurveySpec = S.SURVEY,
+                file_order: bool = False, check_rows: bool = True) -> DataFrame:
+    """Only ``<year>.csv``; an absent file or a row with too many cells is an error."""
     files = year_files(spark, data_dir)
     if year not in files:
         raise FileNotFoundError(f"{year}.csv not found in {data_dir}")
-    return csv_scan(spark, files[year], spec)
+    if check_rows and (bad := malformed_rows(spark, files[year]).agg(F.sum("n")).first()[0]):
+        raise ValueError(f"{year}.csv: {bad} rows have more cells than the header")
+    return csv_scan(spark, files[year], spec, file_order=file_order)
 
 
 # S5 -------------------------------------------------------------------------
@@ -196,9 +234,12 @@ CLEAN_SCHEMA = ("row_key bigint, diabetes_status string, HighBP string, HighChol
                 "Education double, Income double")
 
 
-def dataset_scan(spark: SparkSession, path: str, schema: str = CLEAN_SCHEMA) -> DataFrame:
+def dataset_scan(spark: SparkSession, path: str, schema: str = CLEAN_SCHEMA,
+                 file_order: bool = False) -> DataFrame:
     """Re-read a processed (clean) CSV: columns matched by header name, typed by ``schema``.
 
+    Key columns may be missing; ``file_order`` then gives the rows their order.
+
     No type inference pass over the data; numbers go through ``parse_number``
     so blank and missing-value tokens become null.
     """
@@ -206,6 +247,7 @@ def dataset_scan(spark: SparkSession, path: str, schema: str = CLEAN_SCHEMA) ->
 
     fields = StructType.fromDDL(schema).fields
     text = spark.read.option("header", True).csv(path)
+    fields = [f for f in fields if f.name in text.columns or f.name not in KEY_COLUMNS]
     missing = [f.name for f in fields if f.name not in text.columns]
     if missing:
         raise ValueError(f"columns missing from {path}: {missing}")
@@ -218,6 +260,9 @@ def dataset_scan(spark: SparkSession, path: str, schema: str = CLEAN_SCHEMA) ->
             cols.append(parse_number(f.name).cast(t).alias(f.name))
         else:
             cols.append(F.trim(F.col(f.name)).try_cast(t).alias(f.name))
+    if file_order:
+        text = with_file_order(text)
+        cols += [F.col(FILE), F.col(BLOCK)]
     return text.select(*cols)
 
 

@@ -2,9 +2,11 @@
 publish (S9) and load verification (S11); load-time casts (P7, P8).
 
 Spark has no multi-table transaction.  ``publish_star`` gives the next best
-thing: the star is checked, all tables are written under a new version
-directory, and only then does a small pointer file switch readers to that
-version; a failed check or write leaves the previous version current.
+thing: all tables are written under a new version directory, what was written
+is checked, and only then does a small pointer file make that version current.
+Pointers are numbered and never replaced: each is written aside and renamed
+to the next free number, and readers take the highest.  A failure before the
+rename leaves the previous version current, and at no time is none.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import spec as S
+from starloom.session import reliable_checkpoint
 
 log = logging.getLogger(__name__)
 
@@ -70,12 +73,13 @@ def jdbc_write(df: DataFrame, url: str, table: str, mode: str = "append",
                properties: dict | None = None, column_types: dict[str, str] | None = None,
                batchsize: int = 10_000, num_partitions: int | None = None,
                fill_nulls: bool = True) -> bool:
-    """Insert all rows through JDBC; an empty frame is skipped with a warning.
+    """Insert all rows through JDBC; an empty frame is not appended, with a warning.
 
     ``mode="overwrite"`` drops and re-creates the table with ``column_types``
-    (S10); ``num_partitions`` caps concurrent connections.
+    (S10), also for an empty frame, so no old row survives; ``num_partitions``
+    caps concurrent connections.
     """
-    if df.isEmpty():
+    if mode != "overwrite" and df.isEmpty():
         log.warning("no data to load for table %s", table)
         return False
     out = fill_zero(df) if fill_nulls else df
@@ -100,22 +104,83 @@ def _stamped(df: DataFrame, created_at: bool) -> DataFrame:
 def jdbc_load_star(star: dict[str, DataFrame], url: str, layout: S.StarLayout = S.MAIN_STAR,
                    properties: dict | None = None, recreate: bool = True,
                    types: dict = S.LOAD_TYPES, created_at: bool = False,
-                   check: bool = True) -> None:
-    """Dimensions first, then the fact; with ``recreate`` the tables are re-made.
+                   check: bool = True, num_partitions: int | None = 8) -> None:
+    """Load a star with all tables or none; with ``recreate`` the tables are re-made.
 
     The constraints are checked first (so NOT NULL is judged before the zero
     fill of the insert); ``created_at`` adds the load timestamp column (K6).
+    Tasks commit their own rows, so they load side tables; when all are
+    complete one transaction on one connection moves them over, and a failure
+    before its commit leaves the live tables as they were.
     """
+    spark = next(iter(star.values())).sparkSession
     if check:
         from starloom.operators.quality import check_star
 
         if not check_star(star, layout, types).isEmpty():
             raise ValueError("star failed its constraints; nothing loaded")
-    for name in layout.tables:
-        ddl = {c: t for c, t in types.get(name, {}).items() if c in star[name].columns}
-        jdbc_write(_stamped(load_casts(star[name], types.get(name, {})), created_at), url, name,
-                   mode="overwrite" if recreate else "append", properties=properties,
-                   column_types=ddl if recreate else None)
+    side = {name: f"load_{uuid.uuid4().hex[:8]}_{name}"[:60] for name in layout.tables}
+    columns = {}
+    try:
+        for name in layout.tables:
+            rows = _stamped(load_casts(star[name], types.get(name, {})), created_at)
+            ddl = {c: t for c, t in types.get(name, {}).items() if c in star[name].columns}
+            columns[name] = rows.columns
+            if recreate:  # the live table's form, without rows; dropped rows are part of the move
+                _ensure_table(spark, rows, url, name, properties, ddl)
+            jdbc_write(rows, url, side[name], mode="overwrite", properties=properties,
+                       column_types=ddl, num_partitions=num_partitions)
+        move = []
+        for name in layout.tables:
+            cols = ", ".join(f'"{c}"' for c in columns[name])
+            if recreate:
+                move.append(f"DELETE FROM {name}")
+            move.append(f"INSERT INTO {name} ({cols}) SELECT {cols} FROM {side[name]}")
+        _transaction(spark, url, properties, move)
+    finally:
+        _transaction(spark, url, properties, [f"DROP TABLE {t}" for t in side.values()], strict=False)
+
+
+def _connect(spark: SparkSession, url: str, properties: dict | None):
+    jvm = spark.sparkContext._jvm
+    own = jvm.java.util.Properties()
+    for k, v in (properties or {}).items():
+        own.setProperty(k, v)
+    if "driver" in (properties or {}):
+        jvm.java.lang.Class.forName(properties["driver"])
+    return jvm.java.sql.DriverManager.getConnection(url, own)
+
+
+def _transaction(spark: SparkSession, url: str, properties: dict | None, statements: list[str],
+                 strict: bool = True) -> None:
+    """The statements on one connection: all committed, or (``strict``) none."""
+    con = _connect(spark, url, properties)
+    try:
+        con.setAutoCommit(not strict)
+        for sql in statements:
+            try:
+                con.createStatement().executeUpdate(sql)
+            except Exception:
+                if strict:
+                    con.rollback()
+                    raise
+        if strict:
+            con.commit()
+    finally:
+        con.close()
+
+
+def _ensure_table(spark: SparkSession, rows: DataFrame, url: str, name: str,
+                  properties: dict | None, ddl: dict[str, str]) -> None:
+    """Create the live table, empty, where it is missing."""
+    con = _connect(spark, url, properties)
+    try:
+        meta = con.getMetaData()
+        there = any(meta.getTables(None, None, n, None).next() for n in (name, name.upper()))
+    finally:
+        con.close()
+    if not there:
+        jdbc_write(rows.limit(0), url, name, mode="overwrite", properties=properties, column_types=ddl)
 
 
 def jdbc_counts(spark: SparkSession, url: str, tables: list[str],
@@ -129,28 +194,41 @@ def jdbc_counts(spark: SparkSession, url: str, tables: list[str],
 
 # S9 -------------------------------------------------------------------------
 POINTER = "_CURRENT"
+_POINTERS = re.compile(rf"^{POINTER}-([0-9]+)$")
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
-    out = fs.create(tmp, True)
-    out.write(bytearray(text.encode("utf-8")))
-    out.close()
-    fs.delete(p, False)
-    fs.rename(tmp, p)
+def _files(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def _pointers(spark: SparkSession, root: str) -> list[int]:
+    p, fs = _files(spark, root)
     if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        return []
+    found = (_POINTERS.match(st.getPath().getName()) for st in fs.listStatus(p))
+    return sorted(int(m.group(1)) for m in found if m)
+
+
+def _point_to(spark: SparkSession, root: str, version: str, attempts: int = 100) -> None:
+    """Make ``version`` current: one rename to the next free pointer number."""
+    tmp, fs = _files(spark, f"{root}/.{POINTER}.{uuid.uuid4().hex}")
+    out = fs.create(tmp, False)
+    out.write(bytearray(version.encode("utf-8")))
+    out.close()
+    for _ in range(attempts):
+        n = max(_pointers(spark, root), default=0) + 1
+        target, _ = _files(spark, f"{root}/{POINTER}-{n:012d}")
+        if not fs.exists(target) and fs.rename(tmp, target):
+            return
+    fs.delete(tmp, False)
+    raise RuntimeError(f"version {version} could not be made current under {root}")
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    p, fs = _files(spark, path)
+    reader = spark.sparkContext._jvm.java.io.BufferedReader(
+        spark.sparkContext._jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
     line = reader.readLine()
     reader.close()
     return line
@@ -159,38 +237,38 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
 def publish_star(star: dict[str, DataFrame], root: str, layout: S.StarLayout = S.MAIN_STAR,
                  check: bool = True, types: dict = S.LOAD_TYPES,
                  version: str | None = None, created_at: bool = False) -> dict[str, str]:
-    """Check, write dims then fact under a new version, then switch the pointer.
+    """Write dims then fact under a new version, check what was written, switch the pointer.
 
-    The constraints run first, on the star as built (so a value that would not
-    fit its stored type is reported, not turned into a failed cast half-way
-    through the write).  Raises, leaving the previous version current, if any
-    constraint fails.
+    The tables are first written as built, so a value that does not fit its
+    stored type is reported by the checks and not by a failed cast half-way;
+    stored types are applied on the way into the version.  Every check reads
+    written files: the plan that built the star runs once.  Raises, leaving
+    the previous version current, if any constraint fails.
     """
     from starloom.operators.quality import check_star
 
     spark = next(iter(star.values())).sparkSession
+    root = root.rstrip("/")
     version = version or uuid.uuid4().hex[:12]
     if not re.fullmatch(r"[0-9A-Za-z_-]+", version):
         raise ValueError("bad version name")
-    if check:
-        bad = check_star(star, layout, types)
-        if not bad.isEmpty():
-            raise ValueError(f"star failed its constraints; version {version} not published")
-    base = f"{root.rstrip('/')}/v={version}"
+    built = {name: reliable_checkpoint(star[name], name) for name in layout.tables}
+    if check and not check_star(built, layout, types).isEmpty():
+        raise ValueError(f"star failed its constraints; version {version} not published")
     paths = {}
     for name in layout.tables:
-        path = f"{base}/{name}"
-        _stamped(load_casts(star[name], types.get(name, {})), created_at) \
-            .write.mode("overwrite").parquet(path)
-        paths[name] = path
-    _write_text(spark, f"{root.rstrip('/')}/{POINTER}", version)
+        paths[name] = f"{root}/v={version}/{name}"
+        _stamped(load_casts(built[name], types.get(name, {})), created_at) \
+            .write.mode("overwrite").parquet(paths[name])
+    _point_to(spark, root, version)
     return paths
 
 
 def published_paths(spark: SparkSession, root: str, layout: S.StarLayout = S.MAIN_STAR) -> dict[str, str]:
-    version = _read_text(spark, f"{root.rstrip('/')}/{POINTER}")
-    if not version:
+    numbers = _pointers(spark, root.rstrip("/"))
+    if not numbers:
         raise FileNotFoundError(f"nothing published under {root}")
+    version = _read_text(spark, f"{root.rstrip('/')}/{POINTER}-{numbers[-1]:012d}")
     return {n: f"{root.rstrip('/')}/v={version}/{n}" for n in layout.tables}
 
 

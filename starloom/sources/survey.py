@@ -44,27 +44,6 @@ FROM {orders}
 """
 
 
-# Session settings for plans built from the fixture (optimizer/codegen only;
-# results are unchanged).
-WIDE_EXPRESSION_CONF = {
-    # Every survey column of the fixture is a CASE over modular arithmetic and
-    # the cleaning filters reference each one several times; constraint
-    # propagation then grows exponentially at planning time.
-    "spark.sql.constraintPropagation.enabled": "false",
-    # Filters pushed below the fixture's projection inline those CASEs, making
-    # one huge generated method that HotSpot refuses to JIT (> 8000 bytes of
-    # bytecode) and runs interpreted.  At 8000, as Spark's docs advise for
-    # HotSpot, such a subtree falls back to per-operator code instead.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
-}
-
-
-def tune_for_wide_expressions(spark: SparkSession) -> None:
-    for k, v in WIDE_EXPRESSION_CONF.items():
-        if spark.conf.get(k, None) != v:
-            spark.conf.set(k, v)
-
-
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
@@ -81,18 +60,25 @@ def derived_survey(spark: SparkSession, sf_dir: str, with_year: bool = False) ->
     ``with_year`` adds ``DATA_YEAR`` = year of the order date, which makes the
     table a multi-year survey (one "yearly file" per order year).
     """
+    columns = ["o_orderkey", "o_custkey"] + (["o_orderdate"] if with_year else [])
+    orders = read_table(spark, sf_dir, "orders", columns)
+    if not with_year:
+        return _barrier(spark.sql(DERIVED_SURVEY_SQL, orders=orders))
+    orders = orders.withColumn("DATA_YEAR", utc_year(orders, "o_orderdate")).drop("o_orderdate")
+    return _barrier(spark.sql(
+        DERIVED_SURVEY_SQL.replace("\nFROM {orders}", ",\n       DATA_YEAR\nFROM {orders}"), orders=orders))
+
+
+def _barrier(df: DataFrame) -> DataFrame:
+    """The same rows, with expressions the optimizer does not inline further up.
+
+    Every fixture column is a CASE over modular arithmetic and the cleaning
+    steps test each several times; inlined into the filters, planning grows
+    exponentially.  A real survey has plain columns and needs none of this.
+    """
     from pyspark.sql import functions as F
 
-    tune_for_wide_expressions(spark)
-    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
-    raw = spark.sql(DERIVED_SURVEY_SQL, orders=orders.select("o_orderkey", "o_custkey"))
-    if not with_year:
-        return raw
-    years = orders.select(F.col("o_orderkey").alias("row_key"),
-                          utc_year(orders, "o_orderdate").alias("DATA_YEAR"))
-    # row_key is unique on both sides; a broadcast would not be size-bounded,
-    # so the join is left to the planner (AQE picks broadcast when small).
-    return raw.join(years, "row_key")
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
 
 
 def utc_year(df: DataFrame, column: str):

@@ -28,7 +28,7 @@ from starloom import spec as S
 from starloom.operators.clean import clean_survey
 from starloom.operators.numbering import dense_index
 from starloom.operators.star import FIRST, lookup_key
-from starloom.session import local_table, scratch_path
+from starloom.session import local_table, reliable_checkpoint, scratch_path
 
 BATCH = "batch_id"
 
@@ -39,10 +39,33 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def _previous(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+def _read(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A state table with its known schema: a folder without a data file is an empty table."""
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    fields = [f for f in schema.fields if f.name != BATCH]
+    return spark.read.schema(StructType(fields + [StructField(BATCH, LongType())])).parquet(path)
+
+
+def _previous(spark: SparkSession, path: str, batch_id: int, schema) -> DataFrame | None:
     if not _exists(spark, path):
         return None
-    return spark.read.parquet(path).filter(F.col(BATCH) < batch_id)
+    return _read(spark, path, schema).filter(F.col(BATCH) < batch_id)
+
+
+def star_schemas(layout: S.StarLayout, clean_schema) -> dict:
+    """Schema of every stored table, from the clean table's."""
+    from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+
+    out = {d.table: StructType([StructField(d.key, IntegerType())] +
+                               [StructField(o, clean_schema[s].dataType) for s, o in d.columns])
+           for d in layout.dims}
+    measures = [StructField(o, StructType.fromDDL(f"x {cast}")["x"].dataType if cast else clean_schema[s].dataType)
+                for s, o, cast in layout.measures]
+    out[layout.fact_table] = StructType([StructField(layout.record_key, LongType()), *measures] +
+                                        [StructField(d.key, IntegerType()) for d in layout.dims])
+    out[LEDGER] = StructType.fromDDL("last_record_id long, rows long")
+    return out
 
 
 def _max_key(df: DataFrame | None, key: str) -> int:
@@ -90,7 +113,9 @@ def process_batch(batch: DataFrame, batch_id: int, out_root: str,
     """
     spark = batch.sparkSession
     root = out_root.rstrip("/")
-    clean = clean_survey(batch, spec, "declared")
+    # staged once: the tuples, the numbering and its sampling read files, not the source
+    clean = reliable_checkpoint(clean_survey(batch, spec, "declared"), "batch")
+    schemas = star_schemas(layout, clean.schema)
     dims_spec = list(layout.dims)
     bounds = [S.dimension_bound(spec, d) for d in dims_spec]
     small = all(b is not None and b <= S.BROADCAST_ROW_BOUND for b in bounds)
@@ -105,7 +130,7 @@ def process_batch(batch: DataFrame, batch_id: int, out_root: str,
         rows = grouped.collect()                      # bounded: sum of dimension sizes
         for d in dims_spec:
             gid = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in d.sources)
-            prev = _previous(spark, f"{root}/{d.table}", batch_id)
+            prev = _previous(spark, f"{root}/{d.table}", batch_id, schemas[d.table])
             new, full = _local_new_tuples(spark, prev, [r for r in rows if r["_gid"] == gid],
                                           d, clean.schema)
             _write_partition(new, f"{root}/{d.table}", batch_id)
@@ -113,7 +138,7 @@ def process_batch(batch: DataFrame, batch_id: int, out_root: str,
     else:
         for d in dims_spec:
             path = f"{root}/{d.table}"
-            prev = _previous(spark, path, batch_id)
+            prev = _previous(spark, path, batch_id, schemas[d.table])
             seen = clean.groupBy(*d.sources).agg(F.min(order_key).alias(FIRST))
             renamed = seen.select(*[F.col(s).alias(o) for s, o in d.columns], FIRST)
             if prev is not None:
@@ -124,9 +149,9 @@ def process_batch(batch: DataFrame, batch_id: int, out_root: str,
             new = dense_index(renamed, [FIRST], d.key, start=start).select(
                 F.col(d.key).cast("int").alias(d.key), *d.outputs)
             _write_partition(new, path, batch_id)
-            dims[d.table] = (spark.read.parquet(path).filter(F.col(BATCH) <= batch_id)
+            dims[d.table] = (_read(spark, path, schemas[d.table]).filter(F.col(BATCH) <= batch_id)
                              .drop(BATCH))
-    ledger = _previous(spark, f"{root}/{LEDGER}", batch_id)
+    ledger = _previous(spark, f"{root}/{LEDGER}", batch_id, schemas[LEDGER])
     start = _max_key(ledger, "last_record_id") + 1
     fact = dense_index(clean, [order_key], layout.record_key, start=start)
     for d, b in zip(dims_spec, bounds):
@@ -136,7 +161,8 @@ def process_batch(batch: DataFrame, batch_id: int, out_root: str,
                 for src, out, cast in layout.measures]
     fact = fact.select(layout.record_key, *measures, *[d.key for d in layout.dims])
     _write_partition(fact, f"{root}/{layout.fact_table}", batch_id)
-    written = spark.read.parquet(f"{root}/{layout.fact_table}").filter(F.col(BATCH) == batch_id)
+    written = _read(spark, f"{root}/{layout.fact_table}", schemas[layout.fact_table]) \
+        .filter(F.col(BATCH) == batch_id)
     summary = written.agg(F.coalesce(F.max(layout.record_key), F.lit(start - 1))
                           .cast("long").alias("last_record_id"),
                           F.count(F.lit(1)).alias("rows"))
@@ -160,10 +186,12 @@ def start_incremental(spark: SparkSession, source_dir: str, schema: str, out_roo
                   .trigger(availableNow=True).start())
 
 
-def read_star(spark: SparkSession, out_root: str,
-              layout: S.StarLayout = S.MAIN_STAR) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{out_root.rstrip('/')}/{t}").drop(BATCH)
-            for t in layout.tables}
+def read_star(spark: SparkSession, out_root: str, layout: S.StarLayout = S.MAIN_STAR,
+              spec: S.SurveySpec = S.SURVEY, schema: str | None = None) -> dict[str, DataFrame]:
+    """The stored star; tables to which no batch has brought a row are empty."""
+    raw = spark.createDataFrame([], schema or SURVEY_STREAM_SCHEMA)
+    schemas = star_schemas(layout, clean_survey(raw, spec, "declared").schema)
+    return {t: _read(spark, f"{out_root.rstrip('/')}/{t}", schemas[t]).drop(BATCH) for t in layout.tables}
 
 
 # --- demo over the given tables ----------------------------------------------
@@ -182,11 +210,11 @@ def arrive_year(staged_by_year: DataFrame, source_dir: str, year: int) -> None:
         .write.mode("append").parquet(source_dir))
 
 
-def incremental_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+def incremental_demo(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Yearly files arrive one year at a time; each arrival is drained by a run
     of the stream (``availableNow``) on the same checkpoint, as a weekly job
     would do.  Each run is one micro-batch, however many files the year has.
-    Returns the loaded fact table.
+    Returns the loaded star.
     """
     from starloom.sources.survey import derived_survey
 
@@ -205,4 +233,4 @@ def incremental_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
-    return read_star(spark, out)[S.MAIN_STAR.fact_table]
+    return read_star(spark, out)

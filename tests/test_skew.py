@@ -62,3 +62,12 @@ def test_star_with_hot_tuple_salted_equals_broadcast(spark, monkeypatch):
     assert got == want
     assert len(want["fact_health_records"]) == 80 and len(want["dim_demographics"]) == 20
     assert S.MAIN_STAR.fact_table in got
+
+
+def test_equal_rows_spread_over_all_salts(spark):
+    from starloom.operators.skew import SALT, salt_big, salted_join
+
+    same = spark.createDataFrame([("x", 1)] * 2000, "k string, v int").repartition(3)
+    assert salt_big(same, 8).select(SALT).distinct().count() == 8
+    small = spark.createDataFrame([("x", 5)], "k2 string, w int")
+    assert salted_join(same, small, [("k", "k2")], "inner", salts=8).count() == 2000

@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF0001
 from starloom import spec as S
@@ -128,3 +129,113 @@ def test_publish_with_created_at(spark, tmp_dir):
     SK.publish_star(star, tmp_dir, created_at=True)
     fact = SK.read_published(spark, tmp_dir)["fact_health_records"]
     assert "created_at" in fact.columns and fact.filter("created_at IS NULL").count() == 0
+
+
+def test_rows_with_too_many_cells(spark, tmp_dir):
+    cols = list(S.SELECTED_COLUMNS)
+    good = [_full_row()[c] for c in cols]
+    _write_csv(f"{tmp_dir}/2014.csv", cols, [good] * 2)
+    for year, extra in ((2015, ["7"]), (2016, [""])):
+        _write_csv(f"{tmp_dir}/{year}.csv", cols, [good, good + extra])
+    _write_csv(f"{tmp_dir}/2017.csv", cols, [good, good[:-1]])      # a missing cell is a null
+    with pytest.raises(ValueError):
+        FS.single_year(spark, tmp_dir, 2015)
+    with pytest.raises(ValueError):
+        FS.single_year(spark, tmp_dir, 2016)
+    assert FS.single_year(spark, tmp_dir, 2017).count() == 2
+    years = {r["DATA_YEAR"] for r in FS.union_years(spark, tmp_dir).select("DATA_YEAR").distinct().collect()}
+    assert years == {2014, 2017}
+
+
+def _keyless_files(tmp_dir, n=400):
+    cols = list(S.SELECTED_COLUMNS)
+    for f in range(3):
+        rows = [[_full_row(SEX=str(1 + (i * 7 + f) % 2), _AGEG5YR=str(1 + (i * 5 + f) % 13),
+                           _BMI5=str(2000 + f * n + i))[c] for c in cols] for i in range(n)]
+        rows[3][0] = ""                                             # dropped by the null step
+        _write_csv(f"{tmp_dir}/part-{f}.csv", cols, rows)
+
+
+def test_record_ids_follow_the_files_whatever_the_splits(spark, tmp_dir):
+    _keyless_files(tmp_dir)
+    want = None
+    for split in ("128m", "4k", "900b"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            star = ST.build_star(C.clean_survey(FS.csv_scan(spark, tmp_dir, file_order=True)))
+            got = [r["bmi_value"] for r in star["fact_health_records"].orderBy("record_id").collect()]
+            dims = sorted(map(tuple, star["dim_demographics"].collect()))
+            plan = star["fact_health_records"]._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert got == sorted(got) and len(got) == 3 * 399
+        assert "hashpartitioning" not in plan and "rangepartitioning" not in plan
+        want = want or (got, dims)
+        assert (got, dims) == want
+
+
+def test_rows_without_any_order_are_refused(spark, tmp_dir):
+    _keyless_files(tmp_dir, 5)
+    with pytest.raises(ValueError):
+        ST.build_star(C.clean_survey(FS.csv_scan(spark, tmp_dir)))
+
+
+def test_run_from_files(spark, tmp_dir):
+    from starloom.plans import runs
+
+    cols = list(S.SELECTED_COLUMNS)
+    for year in (2014, 2015):
+        _write_csv(f"{tmp_dir}/in/{year}.csv", cols,
+                   [[_full_row(_BMI5=str(year + i))[c] for c in cols] for i in range(6)])
+    for years, first, n in ((None, None, 12), (2015, None, 6), ([2014], None, 6), (None, 4, 4)):
+        runs.run_files(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", years=years, first_rows=first)
+        fact = SK.read_published(spark, f"{tmp_dir}/out")["fact_health_records"].orderBy("record_id").collect()
+        assert [r["record_id"] for r in fact] == list(range(1, n + 1))
+        start = 2015 if years == 2015 else 2014
+        assert float(fact[0]["bmi_value"]) == start / 100
+
+
+def test_publish_keeps_the_old_version_when_it_fails(spark, tmp_dir, monkeypatch):
+    star = ST.build_star(C.clean_survey(derived_survey(spark, SF0001)))
+    SK.publish_star(star, tmp_dir, version="one")
+
+    def crash(*args, **kwargs):
+        raise RuntimeError("crash before the switch")
+    monkeypatch.setattr(SK, "_point_to", crash)
+    with pytest.raises(RuntimeError):
+        SK.publish_star(star, tmp_dir, version="two")
+    assert SK.published_paths(spark, tmp_dir)["fact_health_records"].endswith("v=one/fact_health_records")
+    monkeypatch.undo()
+    SK.publish_star(star, tmp_dir, version="three")
+    assert SK.published_paths(spark, tmp_dir)["fact_health_records"].endswith("v=three/fact_health_records")
+    broken = dict(star, fact_health_records=star["fact_health_records"].withColumn("bmi_value", F.lit(-1.0)))
+    with pytest.raises(ValueError):
+        SK.publish_star(broken, tmp_dir, version="four")
+    assert SK.read_published(spark, tmp_dir)["fact_health_records"].count() == 1077
+
+
+def test_jdbc_load_is_all_or_nothing(spark):
+    star = ST.build_star(C.clean_survey(derived_survey(spark, SF0001)))
+    url = "jdbc:derby:memory:starloom_atomic;create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    SK.jdbc_load_star(star, url, properties=props)
+    fail = dict(star, fact_health_records=star["fact_health_records"].withColumn(
+        "bmi_value", F.when(F.col("record_id") == 500, F.raise_error(F.lit("lost"))).otherwise(F.col("bmi_value"))))
+    small = {t: df.limit(2) for t, df in fail.items() if t != "fact_health_records"}
+    with pytest.raises(Exception):
+        SK.jdbc_load_star({**fail, **small}, url, properties=props, check=False)
+    counts = {r["table_name"]: r["row_count"] for r in
+              SK.jdbc_counts(spark, url, S.MAIN_STAR.tables, props).collect()}
+    assert counts["dim_demographics"] == 718 and counts["fact_health_records"] == 1077
+    SK.jdbc_load_star({t: df.limit(0) for t, df in star.items()}, url, properties=props)
+    assert {r["row_count"] for r in SK.jdbc_counts(spark, url, S.MAIN_STAR.tables, props).collect()} == {0}
+
+
+def test_multi_year_survey_asks_for_few_partitions(spark):
+    from starloom.operators.numbering import range_tag
+
+    raw = derived_survey(spark, "/root/testdata/sf0.1", with_year=True)
+    tagged = range_tag(raw, ["row_key"])
+    assert tagged.select("_pid").distinct().count() <= 16

@@ -31,3 +31,19 @@ def test_stable_keys_and_idempotent_replay(spark, tmp_dir):
     star2 = read_star(spark, tmp_dir)
     after = {t: sorted(map(tuple, df.collect()), key=repr) for t, df in star2.items()}
     assert before == after
+
+
+def test_batches_without_a_valid_row(spark, tmp_dir):
+    """First, middle and last batch empty after cleaning; each replayed."""
+    none = survey_df(spark, [survey_row(DIABETE3=9.0)])
+    some = survey_df(spark, [survey_row(SEX=1.0), survey_row(SEX=2.0)])
+    more = survey_df(spark, [survey_row(SEX=2.0), survey_row(_AGEG5YR=9.0)])
+    want = []
+    for i, batch in enumerate([none, some, none, more, none]):
+        for _ in range(2):
+            process_batch(batch, i, tmp_dir)
+            star = read_star(spark, tmp_dir)
+            got = sorted(r["record_id"] for r in star["fact_health_records"].collect())
+            assert got == list(range(1, [0, 2, 2, 4, 4][i] + 1))
+        want.append({t: df.count() for t, df in star.items()})
+    assert want[0] == {t: 0 for t in want[0]} and want[-1]["dim_demographics"] == 3
