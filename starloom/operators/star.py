@@ -7,10 +7,9 @@ Plan, for a clean table of any size:
   position-tagged copy is written once (``operators/numbering.py``), record
   ids are partition or block offsets plus positions, and every later step reads
   the copy, never the source again.
-* A1: all dimensions' distinct tuples, and the partition sizes for W2, come
-  from ONE scan (grouping sets, with a map-side partial aggregate, so a hot
-  tuple costs nothing extra), each tuple keeping ``min(order key)`` = where it
-  was first seen.
+* A1: all dimensions' distinct tuples come from ONE scan (grouping sets, with
+  a map-side partial aggregate, so a hot tuple costs nothing extra), each tuple
+  keeping the least record id = where it was first seen.
 * W1: dense surrogate keys in first-seen order.  Over closed domains the
   dimension size is proven (product of domain sizes), so the few tuples are
   ranked locally (a window over them would be just as safe); otherwise the
@@ -26,7 +25,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom import spec as S
@@ -121,26 +120,32 @@ def resolve_order(df: DataFrame, order_key: str | None = None) -> str | None:
     raise ValueError("rows have no order: give a key column or scan with file_order=True")
 
 
-def tagged_rows(clean: DataFrame, order_key: str | None,
-                num_partitions: int | None = None) -> tuple[DataFrame, Column, list[str]]:
-    """(tagged copy, where a row stands in the order, columns that name its partition or block)."""
+def numbered_rows(clean: DataFrame, record_key: str, order_key: str | None,
+                  num_partitions: int | None = None) -> DataFrame:
+    """The rows with dense record ids, over a copy tagged with block and position.
+
+    Counting rows per block reads the tags alone; the offsets table has one
+    row per partition or file block.
+    """
     if order_key is None:
-        return file_tag(clean), F.struct(FILE, BLOCK, MID), [PID, FILE, BLOCK]
-    return range_tag(clean, [order_key], num_partitions), F.col(order_key), [PID]
+        tagged, blocks = file_tag(clean), [PID, FILE, BLOCK]
+    else:
+        tagged, blocks = range_tag(clean, [order_key], num_partitions), [PID]
+    sizes = tagged.groupBy(*blocks).agg(F.count(F.lit(1)).alias("_n"), F.min(MID).alias("_base"))
+    offsets = block_offsets(sizes) if order_key is None else partition_offsets(sizes)
+    return apply_offsets(tagged, reliable_checkpoint(offsets, "offsets"), record_key)
 
 
-def star_grouping(ranged: DataFrame, layout: S.StarLayout, place: Column,
-                  blocks: list[str]) -> tuple[DataFrame, list[str]]:
-    """The single pass over the tagged clean table: every dimension's tuples
-    (with first-seen place) and every block's size, as grouping sets."""
-    all_cols: list[str] = []
+def star_grouping(rows: DataFrame, layout: S.StarLayout) -> tuple[DataFrame, list[str]]:
+    """The single pass over the numbered table: every dimension's tuples with
+    the record that shows them first, as grouping sets.  The minimum of a number
+    is a hash aggregate with a map-side partial step."""
+    group_cols: list[str] = []
     for d in layout.dims:
-        all_cols += [c for c in d.sources if c not in all_cols]
-    group_cols = all_cols + blocks
-    sets = [[F.col(c) for c in d.sources] for d in layout.dims] + [[F.col(c) for c in blocks]]
-    grouped = (ranged.withColumn("_place", place).groupingSets(sets, *[F.col(c) for c in group_cols])
-                     .agg(F.min("_place").alias(FIRST), F.count(F.lit(1)).alias("_n"),
-                          F.min(MID).alias("_base"), F.grouping_id().alias("_gid")))
+        group_cols += [c for c in d.sources if c not in group_cols]
+    sets = [[F.col(c) for c in d.sources] for d in layout.dims]
+    grouped = (rows.groupingSets(sets, *[F.col(c) for c in group_cols])
+                   .agg(F.min(layout.record_key).alias(FIRST), F.grouping_id().alias("_gid")))
     return grouped, group_cols
 
 
@@ -154,18 +159,16 @@ def build_star(clean: DataFrame, layout: S.StarLayout = S.MAIN_STAR,
     the input passed domain validation, which proves every dimension's size
     bound; pass False for an arbitrary table.
 
-    Passes over the data: the one that writes the tagged copy, then one
-    grouping-sets pass over it that yields every dimension's tuples AND the
-    block sizes for record ids, then the fact pass.  The grouping result is
-    written to the checkpoint folder; when all dimensions are proven small,
-    their tuples (and nothing else) are ranked locally, otherwise with
-    distributed numbering.
+    Passes over the data: the one that writes the tagged copy, a count per
+    block over its tags, one grouping-sets pass that yields every dimension's
+    tuples, and the fact pass.  When all dimensions are proven small, their
+    tuples (and nothing else) are ranked locally; otherwise they are written to
+    the checkpoint folder and ranked with distributed numbering.
     """
     spark = clean.sparkSession
-    ranged, place, blocks = tagged_rows(clean, resolve_order(clean, order_key), num_partitions)
+    fact = numbered_rows(clean, layout.record_key, resolve_order(clean, order_key), num_partitions)
     dims_spec = list(layout.dims)
-    grouped, group_cols = star_grouping(ranged, layout, place, blocks)
-    grouped = reliable_checkpoint(grouped, "dim-tuples")
+    grouped, group_cols = star_grouping(fact, layout)
     bounds = [_bound(spec, d, validated) for d in dims_spec]
     small = all(b is not None and b <= S.BROADCAST_ROW_BOUND for b in bounds)
 
@@ -175,17 +178,14 @@ def build_star(clean: DataFrame, layout: S.StarLayout = S.MAIN_STAR,
 
     dims = {}
     if small:
-        rows = grouped.where(F.col("_gid") != gid(blocks)).collect()  # at most 1,348 tuples
+        rows = grouped.collect()  # at most 1,348 tuples
         dims = {d.table: _local_dimension(spark, rows, d, gid(d.sources), clean.schema)
                 for d in dims_spec}
     else:
+        grouped = reliable_checkpoint(grouped, "dim-tuples")
         for d, b in zip(dims_spec, bounds):
             tuples = grouped.filter(F.col("_gid") == gid(d.sources)).select(*d.sources, FIRST)
             dims[d.table] = _number(tuples, d, FIRST, b)
-    sizes = grouped.filter(F.col("_gid") == gid(blocks)).select(*blocks, "_n", "_base")
-    offsets = block_offsets(sizes) if len(blocks) > 1 else partition_offsets(sizes)
-    # one row per partition or file block: bounded by the splits of the scan
-    fact = apply_offsets(ranged, reliable_checkpoint(offsets, "offsets"), layout.record_key)
     for d, b in zip(dims_spec, bounds):
         fact = lookup_key(fact, dims[d.table], d, b, layout.null_safe_lookup, layout.strict_lookup)
     measures = []
