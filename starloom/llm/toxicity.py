@@ -11,8 +11,10 @@ overfit by calling every known positive an outlier.
 
 ``MEMBERS`` numpy classifiers are fitted in parallel, each in one task on its
 own part of a bounded sample, and their weights averaged.  Features are the
-lower-cased words present in a text; a member's vocabulary is bounded by
-``VOCABULARY``, so the weights, which go to every task, have a proven bound.
+lower-cased words of a text and their beginnings (compounds share a stem),
+each as found once, twice or three times and more.  A member keeps the ``VOCABULARY`` features whose share among the
+positives stands out most against the unlabelled text, so the weights, which
+go to every task, have a proven bound.
 
 Sample bound (documented parameter): at most ``POSITIVES`` toxic rows and
 ``UNLABELLED`` rows of the label table with their labels hidden, taken in the
@@ -52,8 +54,25 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def words(text: str) -> set[str]:
-    return set(_WORDS.findall(text.lower()))
+#: A feature says that a word or beginning occurs so many times at least.
+TIMES = (1, 2, 3)
+
+
+def words(text: str) -> list[str]:
+    return _WORDS.findall(text.lower())
+
+
+def forms_of(word: str) -> list[str]:
+    """The word, and its beginnings of 3 to 7 letters (marked by a caret)."""
+    return [word, *["^" + word[:n] for n in range(3, min(len(word), 7) + 1)]]
+
+
+def counted(forms: Counter) -> list[str]:
+    return [f"{form}*{k}" for form, n in forms.items() for k in TIMES if n >= k]
+
+
+def features(text: str) -> set[str]:
+    return set(counted(Counter(f for w in words(text) for f in forms_of(w))))
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES,
@@ -82,12 +101,17 @@ def training_sample(docs: DataFrame, labels: DataFrame, positives: int = POSITIV
 
 
 def fit(pos: list[set[str]], unl: list[set[str]], prior: float, vocabulary: int = VOCABULARY,
-        steps: int = 1_000, rate: float = 0.02, decay: float = 1e-3) -> tuple[dict[str, float], float]:
+        steps: int = 1_000, rate: float = 0.02, decay: float = 3e-4) -> tuple[dict[str, float], float]:
     """Weights by word and the intercept of one nnPU classifier (logistic loss, Adam)."""
     seen = Counter(w for doc in pos for w in doc)
     least = 2 if len(pos) < 50 else 3
-    vocab = {w: i for i, (w, _) in enumerate(
-        sorted(((w, n) for w, n in seen.items() if n >= least), key=lambda x: (-x[1], x[0]))[:vocabulary])}
+    common = {w for w, n in seen.items() if n >= least}
+    every = Counter(w for doc in unl for w in doc if w in common)
+
+    def stands_out(w: str) -> float:
+        p, u = seen[w] / len(pos), every[w] / max(1, len(unl))
+        return (p - u) ** 2 / (u + 1 / len(pos))
+    vocab = {w: i for i, w in enumerate(sorted(common, key=lambda w: (-stands_out(w), w))[:vocabulary])}
     docs = [[vocab[w] for w in doc if w in vocab] for doc in pos + unl]
     row = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
     col = np.fromiter((c for d in docs for c in d), np.int64, len(row))
@@ -122,7 +146,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float]
 
     def member(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([("text", "ascending")])  # the same sums in any order of arrival
-        sets = [words(t) for t in rows.column("text").to_pylist()]
+        sets = [features(t) for t in rows.column("text").to_pylist()]
         flag = rows.column("positive").to_pylist()
         pos = [s for s, p in zip(sets, flag) if p]
         unl = [s for s, p in zip(sets, flag) if not p]
@@ -146,10 +170,26 @@ def score(docs: DataFrame, model: tuple[dict[str, float], float] | None) -> Data
     weights, bias = model or ({}, None)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = weights.keys()
+        forms = {f.rpartition("*")[0] for f in weights}
+        known: dict[str, tuple[str, ...]] = {}
+
+        def weighted(word: str) -> tuple[str, ...]:
+            if len(known) >= 300_000:
+                known.clear()
+            hit = known[word] = tuple([f for f in forms_of(word) if f in forms])
+            return hit
+
+        def total(text: str) -> float:
+            found = Counter()
+            for w in words(text):
+                hit = known.get(w)
+                if hit is None:
+                    hit = weighted(w)
+                for f in hit:
+                    found[f] += 1
+            return sum(sorted([weights[f] for f in counted(found) if f in weights]))
         for batch in batches:
-            z = np.array([sum(sorted(weights[w] for w in vocabulary & words(t)))
-                          for t in map(str, batch.column(2))], float) + (bias or 0.0)
+            z = np.array([total(t) for t in map(str, batch.column(2))], float) + (bias or 0.0)
             p = 1 / (1 + np.exp(-z)) if bias is not None else np.zeros(len(z))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(p, pa.float64()),
