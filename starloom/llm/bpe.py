@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.frames import documents, whole_text
-from starloom.llm.tokens import Cache, chunks
+from starloom.llm.tokens import Cache
 
 #: Bytes up to which the merge loop runs directly.
 LEAF = 8
@@ -173,10 +173,10 @@ def codec(path: str, pattern: str) -> Codec:
 def _chunk_cache(path: str, pattern: str) -> Cache:
     own = codec(path, pattern)
 
-    def make(chunk: str) -> tuple[str, int, bytes]:
+    def coded(chunk: str) -> tuple[str, int, bytes]:
         ids = own.encode_text(chunk)
         return " ".join(map(str, ids)), len(ids), own.decode(ids)
-    return Cache(make, 200_000)
+    return Cache(lambda chunks: [coded(c) for c in chunks], 200_000)
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -199,14 +199,10 @@ def _run(docs: DataFrame, path: str, pattern: str, schema: str, finish, kinds) -
         cache = _chunk_cache(path, pattern)
         for batch in batches:
             n, first, second = [], [], []
-            for text in map(str, batch.column(1)):
-                ids, counts, raw = [], 0, []
-                for s, c, r in cache.values(chunks(text)):
-                    ids.append(s)
-                    counts += c
-                    raw.append(r)
-                x, y = finish(ids, raw)
-                n.append(counts)
+            for values in cache.of_texts(map(str, batch.column(1))):
+                ids, counts, raw = zip(*values)
+                x, y = finish([i for i in ids if i], raw)
+                n.append(sum(counts))
                 first.append(x)
                 second.append(y)
             yield pa.RecordBatch.from_arrays(

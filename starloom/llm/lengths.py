@@ -26,18 +26,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.frames import documents, whole_text
-from starloom.llm.tokens import Cache, chunks
+from starloom.llm.tokens import Cache, Encoder
 
 BLOCK = 1024
 
 
 @lru_cache(maxsize=2)
 def _counts(path: str) -> Cache:
-    from tokenizers import Tokenizer
-
-    own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True  # their strings in a text are ordinary text
-    return Cache(lambda chunk: len(own.encode(chunk, add_special_tokens=False).ids), 300_000)
+    encode = Encoder(path)
+    return Cache(lambda chunks: [len(ids) // 4 for ids in encode(chunks)], 300_000)
 
 
 def encoded_lengths(docs: DataFrame, path: str) -> DataFrame:
@@ -46,7 +43,7 @@ def encoded_lengths(docs: DataFrame, path: str) -> DataFrame:
         cache = _counts(path)
         for b in batches:
             yield pa.RecordBatch.from_arrays(
-                [pa.array([sum(cache.values(chunks(t))) for t in map(str, b.column(0))], pa.int64())], ["length"])
+                [pa.array(map(sum, cache.of_texts(map(str, b.column(0)))), pa.int64())], ["length"])
     return docs.select(whole_text().alias("text")).mapInArrow(count, "length long")
 
 

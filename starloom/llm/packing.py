@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.frames import documents, whole_text
-from starloom.llm.tokens import Cache, chunks
+from starloom.llm.tokens import Cache, Encoder
 from starloom.session import reliable_checkpoint
 
 WIDTH = 1024
@@ -200,11 +200,7 @@ def slots(patterns: list[tuple[dict[int, int], int]]) -> list[tuple[int, int, in
 
 @lru_cache(maxsize=2)
 def _ids(path: str) -> Cache:
-    from tokenizers import Tokenizer
-
-    own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True  # their strings in a text are ordinary text
-    return Cache(lambda chunk: np.array(own.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes(), 250_000)
+    return Cache(Encoder(path), 250_000)
 
 
 def cut(docs: DataFrame, path: str, width: int = WIDTH, end: int = END) -> DataFrame:
@@ -219,8 +215,8 @@ def cut(docs: DataFrame, path: str, width: int = WIDTH, end: int = END) -> DataF
         last = np.array([end], "<u4").tobytes()
         for b in batches:
             tokens, crcs, rests, numbers, before = [], [], [], [], []
-            for text in map(str, b.column(1)):
-                raw = b"".join([*cache.values(chunks(text)), last])
+            for ids in cache.of_texts(map(str, b.column(1))):
+                raw = b"".join([*ids, last])
                 n = len(raw) // 4
                 rest = n % width
                 tokens.append(n)

@@ -10,45 +10,105 @@ which makes a bounded cache of them worth its memory.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+
+import numpy as np
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 #: White space other than the space and the line feed.
 _RARE = re.compile("[\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
-def chunks(text: str) -> list[str]:
+def cut(text: str) -> tuple[str, list[str]]:
     """``text`` cut before each single space between two visible characters.
 
-    ``"".join(chunks(text)) == text``.
+    The first chunk, and the others without the space that opens them:
+    ``" ".join([head, *rest]) == text``.
     """
     if not text:
-        return []
+        return "", []
     if (text[0] == " " or text[-1] == " " or "  " in text or " \n" in text or "\n " in text
             or _RARE.search(text)):
         head, *rest = _CUT.split(text)
     else:  # every space stands between two visible characters
         head, *rest = text.split(" ")
-    return [head, *[" " + r for r in rest]]
+    return head, rest
+
+
+class Encoder:
+    """Ids of chunks by a byte-level tokenizer file, many chunks a call.
+
+    A chunk that opens with a space and ends in a visible character may follow
+    another such chunk without changing its ids, so such chunks are joined and
+    their ids told apart by the number of bytes each id stands for.
+    """
+
+    JOINED = 64
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.own = Tokenizer.from_file(path)
+        self.own.encode_special_tokens = True  # their strings in a text are ordinary text
+        vocabulary = self.own.get_vocab()
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.bytes_of[list(vocabulary.values())] = [len(t) for t in vocabulary]
+
+    def __call__(self, chunks: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each chunk."""
+        out: list[bytes] = [b""] * len(chunks)
+        plain = [i for i, c in enumerate(chunks) if len(c) > 1 and c[0] == " " and not c[-1].isspace()]
+        joined = set(plain)
+        alone = [i for i in range(len(chunks)) if i not in joined]
+        for i, e in zip(alone, self._encode([chunks[i] for i in alone])):
+            out[i] = np.array(e, "<u4").tobytes()
+        groups = [plain[k:k + self.JOINED] for k in range(0, len(plain), self.JOINED)]
+        for group, e in zip(groups, self._encode(["".join([chunks[i] for i in g]) for g in groups])):
+            ids = np.array(e, "<u4")
+            ends = np.cumsum([len(chunks[i].encode()) for i in group])
+            stops = (4 * (np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1)).tolist()
+            raw = ids.tobytes()
+            for i, a, b in zip(group, [0, *stops], stops):
+                out[i] = raw[a:b]
+        return out
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.own.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 class Cache:
-    """Chunk -> value, in two generations of at most ``most`` entries each."""
+    """What ``make`` says of chunks, kept in two generations of about ``most`` entries each.
 
-    def __init__(self, make: Callable[[str], object], most: int = 200_000):
+    ``make`` takes a list of chunks and gives a list of values, none None.
+    """
+
+    def __init__(self, make: Callable[[list[str]], list], most: int = 200_000):
         self.make, self.most = make, most
         self.young: dict[str, object] = {}
         self.old: dict[str, object] = {}
 
-    def values(self, keys: list[str]) -> Iterator[object]:
-        for k in keys:
-            v = self.young.get(k)
-            if v is None:
-                v = self.old.get(k)
-                if v is None:
-                    v = self.make(k)
-                if len(k) <= 64:  # a freak chunk is not worth the room
-                    if len(self.young) >= self.most:
-                        self.old, self.young = self.young, {}
-                    self.young[k] = v
-            yield v
+    def of_texts(self, texts: Iterable[str], most: int = 1 << 20) -> Iterator[list]:
+        """Per text the values of its chunks; texts of about ``most`` characters at a time."""
+        group, size = [], 0
+        for text in texts:
+            group.append(cut(text))
+            size += len(text)
+            if size >= most:
+                yield from self._of_group(group)
+                group, size = [], 0
+        if group:
+            yield from self._of_group(group)
+
+    def _of_group(self, group: list[tuple[str, list[str]]]) -> Iterator[list]:
+        young, old = self.young, self.old
+        unknown = {c for _, rest in group for c in rest if c not in young}
+        young.update({c: old[c] for c in unknown if c in old})
+        fresh = [c for c in unknown if c not in young]
+        young.update(zip(fresh, self.make([" " + c for c in fresh])))
+        for first, (_, rest) in zip(self.make([head for head, _ in group]), group):
+            yield [first, *map(young.__getitem__, rest)]
+        for c in fresh:
+            if len(c) > 64:  # a freak chunk is not worth the room
+                del young[c]
+        if len(young) >= self.most:
+            self.old, self.young = young, {}

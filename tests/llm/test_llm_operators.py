@@ -200,6 +200,22 @@ def _tokens(texts):
     return [t.encode(x or "", add_special_tokens=False).ids + [0] for x in texts]
 
 
+def test_chunks_keep_their_ids():
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from starloom.llm.tokens import Cache, Encoder, cut
+    own, rng = Tokenizer.from_file(TOKENS), random.Random(6)
+    own.encode_special_tokens = True
+    signs = "aethsn  ..,'é#1你🎉\x85\xa0\t\n\r\x1c\u3000ßÀ²Ⅷ<|>"
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 80))) for _ in range(3000)]
+    texts += ["<|endoftext|> a <|endoftext|>", "w" * 500 + " x", " a", "a ", "\n", "a b c " * 400]
+    for text, ids in zip(texts, Cache(Encoder(TOKENS), 300).of_texts(texts, 5000)):
+        head, rest = cut(text)
+        assert " ".join([head, *rest]) == text
+        assert np.frombuffer(b"".join(ids), "<u4").tolist() == own.encode(text, add_special_tokens=False).ids
+
+
 def check_pieces(rows, ids, width):
     of_doc, of_sequence = defaultdict(list), defaultdict(list)
     for r in rows:
