@@ -242,7 +242,7 @@ def candidate_edges(nodes: DataFrame) -> DataFrame:
                 [node.take(pa.array(rest)), node.take(pa.array(label[rest]))], ["a", "b"])
 
     return (rows.select("bucket", "bi", "bj", "node", "sig").repartition(n, "bucket", "bi", "bj")
-            .sortWithinPartitions("bucket", "bi", "bj").mapInArrow(prune, "a binary, b binary"))
+            .sortWithinPartitions("bucket", "bi", "bj", "node").mapInArrow(prune, "a binary, b binary"))
 
 
 def _verified(docs: DataFrame, nodes: DataFrame, groups: DataFrame) -> DataFrame:
