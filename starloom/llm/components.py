@@ -11,26 +11,31 @@ from starloom.session import reliable_checkpoint
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, label): the least node of each node's component.
 
-    Each round takes the least label among the neighbours and jumps to the
-    label's own label, so paths halve and the number of rounds grows with the
-    logarithm of the longest path.  Labels are written to the checkpoint
-    folder after every round; only a count of changed labels reaches the
-    driver.  A node with very many edges is pre-aggregated before the shuffle
-    by the minimum and split by the adaptive skew join.
+    Each round every node moves to its least neighbour, and the edges are
+    contracted to the places their ends moved to; a star is gone after one
+    round, and the edges left shrink until there are none.  The least node
+    never moves, so it is where its component ends up.  Edges, moves and
+    labels are written to the checkpoint folder every round; the driver only
+    learns whether an edge is left.  A node with very many edges is
+    pre-aggregated by the minimum before the shuffle, and the joins' other
+    side has each node once, so the adaptive skew join may split them.
     """
-    both = edges.select(F.col(a).alias("s"), F.col(b).alias("t"))
-    both = both.unionByName(both.select(F.col("t").alias("s"), F.col("s").alias("t")))
-    both = reliable_checkpoint(both.distinct(), "edges")
-    label = reliable_checkpoint(
-        both.groupBy("s").agg(F.min("t").alias("m"))
-        .select(F.col("s").alias("node"), F.least("s", "m").alias("label")), "labels")
+    left = edges.select(F.col(a).alias("s"), F.col(b).alias("t")).where("s <> t")
+    left = reliable_checkpoint(
+        left.unionByName(left.select(F.col("t").alias("s"), F.col("s").alias("t"))).distinct(), "edges")
+    label = None
     while True:
-        near = (both.join(label, both.t == label.node).groupBy("s").agg(F.min("label").alias("near")))
-        own = label.select(F.col("node").alias("jump_from"), F.col("label").alias("jump"))
-        step = (label.join(near, label.node == near.s, "left")
-                .join(own, label.label == own.jump_from, "left")
-                .select("node", F.least("label", "near", "jump").alias("next"), "label"))
-        step = reliable_checkpoint(step, "labels")
-        label = step.select("node", F.col("next").alias("label"))
-        if not step.where("next <> label").limit(1).count():
+        move = reliable_checkpoint(left.groupBy("s").agg(F.min("t").alias("t"))
+                                   .select(F.col("s").alias("node"), F.least("s", "t").alias("up")), "moves")
+        if label is None:
+            label = move.select("node", F.col("up").alias("label"))
+        else:
+            label = reliable_checkpoint(
+                label.join(move.withColumnRenamed("node", "from"), F.col("label") == F.col("from"), "left")
+                .select("node", F.coalesce("up", "label").alias("label")), "labels")
+        ends = left.join(move.select(F.col("node").alias("s"), F.col("up").alias("us")), "s") \
+            .join(move.select(F.col("node").alias("t"), F.col("up").alias("ut")), "t")
+        left = reliable_checkpoint(ends.where("us <> ut").select(F.col("us").alias("s"), F.col("ut").alias("t"))
+                                   .distinct(), "edges")
+        if left.isEmpty():
             return label

@@ -361,3 +361,23 @@ def test_null_ids_and_repeated_rows(spark):
     assert jaccard.drop_near_copies(rows).count() == 3
     for op in (lambda d: Q.ledger(d), lambda d: bpe.round_trip_digests(d, RANKS, public_tokenizers.PATTERN)):
         assert op(rows).count() == n
+
+
+def test_components(spark):
+    from starloom.llm.components import components
+
+    rng = random.Random(8)
+    for edges in ([], [(1, 1)], [(i, i + 1) for i in range(40)], [(0, i) for i in range(1, 30)],
+                  [(rng.randrange(60), rng.randrange(60)) for _ in range(45)]):
+        up = {x: x for e in edges for x in e}
+
+        def root(x):
+            while up[x] != x:
+                x = up[x]
+            return x
+        for a, b in edges:
+            x, y = sorted((root(a), root(b)))
+            up[y] = x
+        want = {x: root(x) for x in up if any(x in e and e[0] != e[1] for e in edges)}
+        got = components(spark.createDataFrame(edges, "a long, b long"))
+        assert {r["node"]: r["label"] for r in got.collect()} == want
