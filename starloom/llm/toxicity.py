@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +41,8 @@ from pyspark.sql import functions as F
 from starloom.llm.frames import documents, whole_text
 from starloom.session import reliable_checkpoint
 
-POSITIVES = 4_000
-UNLABELLED = 16_000
+POSITIVES = 2_000
+UNLABELLED = 8_000
 MEMBERS = 4
 VOCABULARY = 2_048
 FOLDS = 5
@@ -100,21 +100,31 @@ def training_sample(docs: DataFrame, labels: DataFrame, positives: int = POSITIV
     return texts.withColumn("member", F.explode(member)), prior
 
 
-def fit(pos: list[set[str]], unl: list[set[str]], prior: float, vocabulary: int = VOCABULARY,
-        steps: int = 1_000, rate: float = 0.02, decay: float = 3e-4) -> tuple[dict[str, float], float]:
-    """Weights by word and the intercept of one nnPU classifier (logistic loss, Adam)."""
-    seen = Counter(w for doc in pos for w in doc)
+def fit(pos: list, unl: list, prior: float, vocabulary: int = VOCABULARY, steps: int = 1_000,
+        rate: float = 0.02, decay: float = 3e-4, read: Callable[[object], set[str]] = set,
+        ) -> tuple[dict[str, float], float]:
+    """Weights by feature and the intercept of one nnPU classifier (logistic loss, Adam).
+
+    ``read`` gives a document's features; it is called anew for every pass, so
+    the features of one document at a time are held.
+    """
+    seen: Counter[str] = Counter()
+    for doc in pos:
+        seen.update(read(doc))
     least = 2 if len(pos) < 50 else 3
-    common = {w for w, n in seen.items() if n >= least}
-    every = Counter(w for doc in unl for w in doc if w in common)
+    common = {w: n for w, n in seen.items() if n >= least}
+    del seen
+    every: Counter[str] = Counter()
+    for doc in unl:
+        every.update(read(doc) & common.keys())
 
     def stands_out(w: str) -> float:
-        p, u = seen[w] / len(pos), every[w] / max(1, len(unl))
+        p, u = common[w] / len(pos), every[w] / max(1, len(unl))
         return (p - u) ** 2 / (u + 1 / len(pos))
     vocab = {w: i for i, w in enumerate(sorted(common, key=lambda w: (-stands_out(w), w))[:vocabulary])}
-    docs = [[vocab[w] for w in doc if w in vocab] for doc in pos + unl]
+    docs = [np.array(sorted(vocab[w] for w in read(doc) & vocab.keys()), np.int64) for doc in [*pos, *unl]]
     row = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
-    col = np.fromiter((c for d in docs for c in d), np.int64, len(row))
+    col = np.concatenate(docs) if docs else np.zeros(0, np.int64)
     n_pos, n_unl = len(pos), max(1, len(unl))
     is_pos = np.arange(len(docs)) < n_pos
     w = np.zeros(len(vocab) + 1)
@@ -146,13 +156,12 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], float]
 
     def member(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([("text", "ascending")])  # the same sums in any order of arrival
-        sets = [features(t) for t in rows.column("text").to_pylist()]
-        flag = rows.column("positive").to_pylist()
-        pos = [s for s, p in zip(sets, flag) if p]
-        unl = [s for s, p in zip(sets, flag) if not p]
+        texts, flag = rows.column("text").to_pylist(), rows.column("positive").to_pylist()
+        pos = [t for t, p in zip(texts, flag) if p]
+        unl = [t for t, p in zip(texts, flag) if not p]
         if not pos or not unl:
             return pa.table({"word": pa.array([], pa.string()), "weight": pa.array([], pa.float64())})
-        by_word, bias = fit(pos, unl, prior)
+        by_word, bias = fit(pos, unl, prior, read=features)
         return pa.table({"word": pa.array([*by_word, None], pa.string()),
                          "weight": pa.array([*by_word.values(), bias], pa.float64())})
 
