@@ -2,12 +2,18 @@
 
 A line is parsed as in the Drain log parser: the first level of the tree is
 its number of tokens, the next ``DEPTH`` levels its leading tokens (a token
-with a digit reads ``<*>``), which leads to a leaf.  Inside a leaf a token
-is constant at its position when at least ``MIN_TEXTS`` distinct texts carry
-it there; the others are variable fields and generalise to ``<*>``.  The
-result is the line's template.  A template that holds constants for at least
-half of its tokens and occurs in ``MIN_TEXTS`` distinct texts or more recurs,
-and its lines are dropped.
+with a digit reads ``<*>``), which leads to a leaf.  A token's support is the
+number of the leaf's distinct texts that carry it at its position.  Each line
+has its own bar: the greatest of ``MIN_TEXTS`` times 1, 2, 4, ... that at
+least half of its tokens reach.  Tokens that reach it are constant, the others
+are variable fields and generalise to ``<*>``.  The result is the line's
+template; a line without a bar has none.  A template that occurs in
+``MIN_TEXTS`` distinct texts or more recurs, and its lines are dropped.
+
+The bar grows with the template: its fixed words have the support of all its
+texts, a field's value that of its own share, so a common value stays a field
+however many texts there are.  Only a value that more than half of a
+template's texts share can pass for a fixed word.
 
 Unlike the parser's own update rule, support does not depend on the order in
 which lines arrive, so any partitioning gives the same templates.  Support
@@ -29,7 +35,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.frames import documents, keyed
@@ -106,37 +112,56 @@ def _support(rows: DataFrame, keys: list[str], min_texts: int) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= min_texts))
 
 
+def _token_support(found: DataFrame, distinct: DataFrame, min_texts: int) -> DataFrame:
+    """(leaf, pos, token, n): the n distinct texts, ``min_texts`` or more, that carry the token there.
+
+    Counted over distinct lines; what texts with several lines in one leaf
+    count too often is taken off again.
+    """
+    counted = distinct.select("leaf", F.col("texts").alias("n"), F.posexplode("masked").alias("pos", "token"))
+    several = (found.groupBy("leaf", "th").agg(F.min("mline").alias("a"), F.max("mline").alias("b"))
+               .where("a < b").select("leaf", "th"))
+    again = (found.join(several, ["leaf", "th"]).select("leaf", "th", "mline", "masked").distinct()
+             .select("leaf", "th", F.posexplode("masked").alias("pos", "token"))
+             .groupBy("leaf", "th", "pos", "token").agg((1 - F.count(F.lit(1))).alias("n")).where("n < 0")
+             .select("leaf", "n", "pos", "token"))
+    return (counted.unionByName(again).where(F.col("token") != WILD).groupBy("leaf", "pos", "token")
+            .agg(F.sum("n").alias("n")).where(F.col("n") >= min_texts))
+
+
+def _bar(tokens: Column, min_texts: int) -> Column:
+    """``min_texts`` times the greatest power of two that half of the tokens' supports reach; null if none."""
+    support = F.sort_array(F.transform(tokens, lambda x: F.coalesce(x["n"], F.lit(0))), False)
+    half = F.element_at(support, F.ceil(F.size(tokens) / 2).cast("int"))
+    doublings = F.length(F.bin(F.floor(half / min_texts))) - 1
+    return F.when(half >= min_texts, min_texts * F.pow(F.lit(2), doublings).cast("long"))
+
+
 def recurring(docs: DataFrame, min_texts: int = MIN_TEXTS, min_tokens: int = MIN_TOKENS) -> tuple[DataFrame, DataFrame]:
     """(template, texts) that recur, and the (dk, th, line) to drop, of ``keyed`` documents."""
     lines = reliable_checkpoint(_leaves(docs, min_tokens), "leaves")
     busy = _support(lines, ["leaf"], min_texts).select("leaf")
     found = reliable_checkpoint(_candidates(docs, lines.join(busy, "leaf")), "candidates")
 
-    mline = F.xxhash64("leaf", "masked").alias("mline")
+    found = found.withColumn("mline", F.xxhash64("leaf", "masked"))
     # each distinct masked line once, with the distinct texts that carry it
-    distinct = (found.select("leaf", mline, "masked", "th").distinct()
+    distinct = (found.select("leaf", "mline", "masked", "th").distinct()
                 .groupBy("leaf", "mline").agg(F.count(F.lit(1)).alias("texts"), F.first("masked").alias("masked")))
     distinct = reliable_checkpoint(distinct, "lines")
-    tokens = distinct.select("leaf", "mline", "texts", F.posexplode("masked").alias("pos", "token"))
-    constant = (tokens.groupBy("leaf", "pos", "token").agg(F.sum("texts").alias("n"))
-                .where((F.col("n") >= min_texts) & (F.col("token") != WILD)).select("leaf", "pos", "token")
-                .withColumn("constant", F.lit(True)))
-    shape = (tokens.join(constant, ["leaf", "pos", "token"], "left")
-             .groupBy("leaf", "mline").agg(
-                 F.max("texts").alias("texts"),
-                 F.array_sort(F.collect_list(F.struct(
-                     "pos", F.when(F.col("constant"), F.col("token")).otherwise(WILD).alias("token")))).alias("t"),
-                 F.count("constant").alias("constants"))
-             .where(2 * F.col("constants") >= F.size("t"))
-             .select("leaf", "mline", F.array_join(F.col("t.token"), " ").alias("template"), "texts"))
+    tokens = distinct.select("leaf", "mline", F.posexplode("masked").alias("pos", "token"))
+    shape = (tokens.join(_token_support(found, distinct, min_texts), ["leaf", "pos", "token"], "left")
+             .groupBy("leaf", "mline").agg(F.array_sort(F.collect_list(F.struct("pos", "token", "n"))).alias("t"))
+             .withColumn("bar", _bar(F.col("t"), min_texts)).where("bar IS NOT NULL")
+             .select("leaf", "mline", F.array_join(F.transform(
+                 "t", lambda x: F.when(x["n"] >= F.col("bar"), x["token"]).otherwise(WILD)), " ").alias("template")))
     shape = reliable_checkpoint(shape, "shapes")
     # a template's distinct texts, over all its lines
-    texts = (found.select("leaf", mline, "th").distinct().join(shape.select("leaf", "mline", "template"), ["leaf", "mline"])
+    texts = (found.select("leaf", "mline", "th").distinct().join(shape, ["leaf", "mline"])
              .select("leaf", "template", "th").distinct().groupBy("leaf", "template")
              .agg(F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= min_texts))
     texts = reliable_checkpoint(texts, "templates")
-    dropped = shape.select("leaf", "mline", "template").join(texts, ["leaf", "template"]).select("leaf", "mline")
-    rows = found.select("dk", "th", "line", "leaf", mline).join(dropped, ["leaf", "mline"], "left_semi")
+    dropped = shape.join(texts, ["leaf", "template"]).select("leaf", "mline")
+    rows = found.select("dk", "th", "line", "leaf", "mline").join(dropped, ["leaf", "mline"], "left_semi")
     return texts.select("template", "texts"), rows.select("dk", "th", "line")
 
 
