@@ -23,9 +23,15 @@ No step gathers a leaf or a template in one task: everything is counted over
 distinct masked lines with map-side partial sums, and the one join against
 occurrences has a unique right side, which the adaptive skew join may split.
 
-Defined results: null and empty texts have no lines to drop; lines of fewer
-than ``MIN_TOKENS`` tokens always stay; repeated rows get equal results; a
-null ``doc_id`` is carried through; other columns are ignored.
+The registered query parses every line that is not blank.  A line of up to
+``DEPTH`` tokens has its leaf to itself, so its masked tokens are its template.
+Callers of ``drop_lines`` who want to keep short lines set ``min_tokens``,
+which is ``MIN_TOKENS`` unless given.
+
+Defined results: null and empty texts have no lines to drop; blank lines and
+lines with a digit in more than half of their tokens (a page number alone, say)
+always stay; repeated rows get equal results; a null ``doc_id`` is carried
+through; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -191,6 +197,6 @@ def drop_lines(docs: DataFrame, min_texts: int = MIN_TEXTS, min_tokens: int = MI
 
 def query(spark, sf_dir: str) -> DataFrame:
     """Per document: lines, dropped lines, and a digest of the text that is left."""
-    return (drop_lines(documents(spark, sf_dir))
+    return (drop_lines(documents(spark, sf_dir), min_tokens=1)
             .select("doc_id", "n_lines", "n_dropped", F.length("kept_text").cast("long").alias("kept_chars"),
                     F.sha2("kept_text", 256).alias("kept_sha256")))

@@ -54,3 +54,13 @@ def test_one_text_is_no_support(spark):
     got = by_id(templates.drop_lines(frame(spark, texts)))
     assert [got[i]["n_dropped"] for i in range(len(texts))] == [len(w) for w in want]
     assert not any(want)
+
+
+def test_query_drops_short_lines(spark, tmp_dir):
+    short = ["Les.", "And ornd.", "All rights reserved.", "Page {}"]
+    texts = ["\n".join([f"own{i} a b", *short, "", str(i)]).format(i) for i in range(12)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_dir}/documents.parquet")
+    for r in templates.query(spark, tmp_dir).collect():
+        left = f"own{r['doc_id']} a b\n\n{r['doc_id']}"
+        # "own1 a b" has two of its three tokens in common with the others, so it goes as well
+        assert (r["n_lines"], r["n_dropped"]) == (7, 5) and r["kept_chars"] == len(left.split("\n", 1)[1])
