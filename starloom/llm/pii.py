@@ -9,6 +9,11 @@ document and in every spelling of one format (separators are kept, not
 permuted).  Who has the key can undo it; without it a pseudonym tells only
 that two values were equal.
 
+Forms are tried at every place where one begins.  A card or an IBAN may end at
+any separator of the longest match there, and a match that is not valid hides
+none that begins inside it, so a number next to other digits or words (expiry,
+code, currency, BIC) is found.
+
 Two networks of ``ROUNDS`` rounds are used, both loops over a small state
 (``aggregate``), so the expression stays small:
 
@@ -51,6 +56,20 @@ FORMS = {
     "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])",
 }
 PATTERN = "|".join(FORMS.values())
+#: Every place where a form begins, with its longest match as group 1 (so the forms' own groups count from 2).
+STARTS = "(?=(" + PATTERN.replace("\\2", "\\3").replace("\\1", "\\2") + "))"
+#: Usual spellings of a card by issuer; then any in groups of four digits or more, or 4-3-3-3.
+_ISSUER = "(?:2[2-7]|[3-6][0-9])"
+USUAL_CARD = (_ISSUER + r"[0-9]{11,17}|(?:2[2-7]|4[0-9]|5[1-5])[0-9]{2}(?:[ -][0-9]{4}){3}"
+              r"|3[47][0-9]{2}[ -][0-9]{6}[ -][0-9]{5}|3[0689][0-9]{2}[ -][0-9]{6}[ -][0-9]{4}")
+SPELT_CARD = "(?=" + _ISSUER + r")(?:[0-9]{4,}(?:[ -][0-9]{4,})*(?:[ -][0-9]{1,3})?|[0-9]{4}(?:[ -][0-9]{3}){3})"
+#: Length of an IBAN: the countries that have it.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU", 31: "MT SC", 32: "LC"}
+EXACT_IBAN = "|".join(f"(?:{c.replace(' ', '|')})[0-9]{{2}}[A-Z0-9]{{{n - 4}}}" for n, c in IBAN_LENGTHS.items())
 _DAYS_FROM = -62091  # 1800-01-01 as days since 1970-01-01
 _DAY_A, _DAY_B = 189, 773
 _SSN_A, _SSN_B = 898 * 99, 9999
@@ -234,6 +253,58 @@ def kind_of(m: Column) -> Column:
             .when(form["secret"] & m.rlike("[0-9]") & m.rlike("[A-Fa-f]"), F.lit("secret")))
 
 
+def choice(m: Column) -> Column:
+    """(v, kind, loose) for the longest match at a place: the part from its beginning that is valid.
+
+    A card or an IBAN may end at any separator of the match, since a date, a
+    code or a word that follows looks like its tail.  A part of a match has to
+    be spelt as a card, or to have its country's length; only a whole match
+    may be any digits or any country (``loose``).
+    """
+    card, iban = (m.rlike("^(?:" + FORMS[k] + ")$") for k in ("card", "iban"))
+    ends = F.filter(F.sequence(F.length(m), F.lit(13), F.lit(-1)),
+                    lambda e: (e == F.length(m)) | F.substring(m, e + 1, F.lit(1)).isin(" ", "-"))
+    parts = F.transform(ends, lambda e: F.substring(m, F.lit(1), e))
+
+    def spelt(form: str) -> Column:
+        return F.filter(parts, lambda v: v.rlike("^(?:" + form + ")$") & v.rlike("^(?:" + FORMS["card"] + ")$")
+                        & (_luhn_sum(_digits(v)) % 10 == 0))
+
+    def chosen(v: Column, kind: Column, loose: Column | None = None) -> Column:
+        return F.struct(v.alias("v"), kind.alias("kind"), (F.lit(False) if loose is None else loose).alias("loose"))
+
+    def by_kind(kind: Column) -> Column:
+        cards = _bind(F.concat(spelt(USUAL_CARD), spelt(SPELT_CARD)), lambda c: F.when(
+            F.size(c) > 0, chosen(F.get(c, F.lit(0)), F.lit("card"))).otherwise(chosen(m, kind, kind.isNotNull())))
+        valid = F.filter(parts, lambda v: F.replace(v, F.lit(" "), F.lit("")).rlike("^(?:" + EXACT_IBAN + ")$")
+                         & (kind_of(v) == "iban") | (kind_of(v) == "secret"))
+        ibans = _bind(valid, lambda c: F.when(F.size(c) > 0, chosen(F.get(c, F.lit(0)), kind_of(F.get(c, F.lit(0)))))
+                      .otherwise(chosen(m, kind, kind.isNotNull())))
+        return (F.when(kind.isNotNull() & ~kind.isin("card", "iban"), chosen(m, kind))
+                .when(card, cards).when(iban, ibans).otherwise(chosen(m, kind)))
+    return _bind(kind_of(m), by_kind)
+
+
+def _walk(c: Column) -> Column:
+    """Per place: -1 if its choice is taken, else how many characters of its piece are taken already.
+
+    From left to right; a loose choice gives way to any other that begins
+    inside it, and is not tried inside a match that failed.
+    """
+    def step(a: Column, x: Column) -> Column:
+        rival = F.exists(c, lambda y: (y["at"] > x["at"]) & (y["at"] < x["at"] + F.length(x["v"]))
+                         & y["kind"].isNotNull() & ~y["loose"])
+        take = F.when((x["at"] < a["end"]) | x["kind"].isNull(), False) \
+            .when(x["loose"], (x["at"] >= a["failed"]) & ~rival).otherwise(True)
+        return _bind(take, lambda on: F.struct(
+            F.when(on, x["at"] + F.length(x["v"])).otherwise(a["end"]).alias("end"),
+            F.when(on | (x["at"] < a["end"]), a["failed"])
+            .otherwise(F.greatest(a["failed"], x["at"] + F.length(x["m"]))).alias("failed"),
+            F.concat(a["skip"], F.array(F.when(on, -1).otherwise(F.greatest(a["end"] - x["at"], F.lit(0))))).alias("skip")))
+    start = F.struct(F.lit(1).alias("end"), F.lit(1).alias("failed"), F.array().cast("array<int>").alias("skip"))
+    return F.aggregate(c, start, step)["skip"]
+
+
 def pseudonym(m: Column, kind: Column, key: str) -> Column:
     return (F.when(kind == "email", _email_pseudonym(m, key)).when(kind == "iban", _iban_pseudonym(m, key))
             .when(kind == "date", _date_pseudonym(m, key)).when(kind == "ssn", _ssn_pseudonym(m, key))
@@ -245,16 +316,26 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
 def pseudonymise_text(text: Column, key: str) -> Column:
     """(text, kinds): the text with its valid matches replaced, and the kinds found."""
     def rebuilt(found: Column) -> Column:
-        gaps = F.split(text, PATTERN, -1)
-        named = F.transform(found, lambda m: F.struct(m.alias("m"), kind_of(m).alias("kind")))
-        return _bind(gaps, lambda g: _bind(named, lambda x: F.struct(
-            F.concat(F.array_join(F.transform(x, lambda p, i: F.concat(F.get(g, i), pseudonym(p["m"], p["kind"], key))), ""),
-                     F.element_at(g, -1)).alias("text"),
-            F.filter(F.transform(x, lambda p: p["kind"]), lambda k: k.isNotNull()).alias("kinds"))))
+        # the text cut at every place; what lies before the first one is a piece of its own, if there is any
+        return _bind(F.split(text, STARTS, -1), lambda g: _bind(F.size(g) - F.size(found), lambda before: _bind(
+            F.aggregate(g, F.array(F.lit(1)), lambda a, p: F.concat(a, F.array(F.element_at(a, -1) + F.length(p)))),
+            lambda at: _bind(F.transform(found, lambda m, i: _bind(choice(m), lambda x: F.struct(
+                m.alias("m"), x["v"].alias("v"), x["kind"].alias("kind"), x["loose"].alias("loose"),
+                F.get(at, i + before).alias("at"), F.get(g, i + before).alias("piece")))),
+                lambda c: _bind(_walk(c), lambda skip: joined(F.when(before > 0, F.get(g, F.lit(0))).otherwise(""), c, skip))))))
+
+    def joined(before: Column, c: Column, skip: Column) -> Column:
+        def rest(x: Column, taken: Column) -> Column:
+            return F.substring(x["piece"], taken + 1, F.length(x["piece"]))
+        return F.struct(
+            F.concat(before, F.array_join(F.transform(c, lambda x, i: F.when(
+                F.get(skip, i) < 0, F.concat(pseudonym(x["v"], x["kind"], key), rest(x, F.length(x["v"]))))
+                .otherwise(rest(x, F.get(skip, i)))), "")).alias("text"),
+            F.transform(F.filter(c, lambda x, i: F.get(skip, i) < 0), lambda x: x["kind"]).alias("kinds"))
 
     none = F.array().cast("array<string>")
     plain = F.struct(text.alias("text"), none.alias("kinds"))
-    found = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
+    found = F.regexp_extract_all(text, F.lit(STARTS), F.lit(1))
     return F.when(text.rlike("[0-9@]"), _bind(found, lambda f: F.when(F.size(f) > 0, rebuilt(f)).otherwise(plain))) \
         .otherwise(plain)
 
