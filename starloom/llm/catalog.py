@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from starloom.llm import (bpe, conversations, exact, jaccard, lengths, packing, pii, quality, resampling, substrings,
-                          templates, toxicity)
+from starloom.llm import (bpe, conversations, exact, jaccard, lengths, packing, pii, quality, resampling,
+                          setsketch, substrings, templates, toxicity)
 from starloom.llm.frames import documents
 
 
@@ -19,6 +19,7 @@ def queries() -> dict:
         "op8_feistel_pseudonyms": pii.query,
         "op9_length_histogram": lengths.query,
         "op10_monoid_bpe": bpe.query,
+        "op11_setsketch": setsketch.query,
         "op12_batch_concatenation": resampling.query,
         "op13_lr_repair": conversations.query,
     }
