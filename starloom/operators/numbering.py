@@ -28,8 +28,8 @@ from starloom.session import reliable_checkpoint, scratch_path, table_bytes
 
 PID, MID = "_pid", "_mid"
 
-#: Where a row comes from, for the file order.
-FILE, BLOCK = "_file", "_block"
+#: Where a row comes from, for the file order; rows written on the way also keep their position.
+FILE, BLOCK, POS = "_file", "_block", "_pos"
 
 # Range partitions hold about this many bytes of the staged table each; never
 # fewer than it takes to occupy every core.
@@ -66,17 +66,31 @@ def file_tag(df: DataFrame) -> DataFrame:
     ``df`` is a scan ``with_file_order`` followed by narrow steps only
     (projections and filters), so a partition holds its blocks' rows in order.
     """
+    if POS in df.columns:  # rows written on the way: a block may lie in several pieces
+        df = df.sortWithinPartitions(FILE, BLOCK, POS)
     return reliable_checkpoint(df.withColumn(PID, F.spark_partition_id())
                                .withColumn(MID, F.monotonically_increasing_id()), "filed")
 
 
+def block_sizes(tagged: DataFrame) -> DataFrame:
+    """(_pid, _file, _block, _n, _base, _from, _to) per piece of a block; the positions only if rows keep them."""
+    place = F.col(POS) if POS in tagged.columns else F.col(MID)
+    return tagged.groupBy(PID, FILE, BLOCK).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(MID).alias("_base"), F.min(place).alias("_from"), F.max(place).alias("_to"))
+
+
 def block_offsets(sizes: DataFrame) -> DataFrame:
-    """(_pid, _file, _block, _n, _base) per block -> start offsets in (file, block) order.
+    """Sizes per piece of a block -> start offsets in (file, block, position) order.
 
-    One row per file block; the window runs over that table.
+    One row per piece of a file block; the windows run over that table.
+    ``_mixed`` marks a piece that begins before the piece before it ends: then
+    pieces alone do not give the order of the rows.
     """
-    before = Window.orderBy(FILE, BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.select(PID, FILE, BLOCK, "_base", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    order = Window.orderBy(FILE, BLOCK, "_from")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(FILE, BLOCK).orderBy("_from")
+    return sizes.select(PID, FILE, BLOCK, "_base", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+                        F.coalesce(F.lag("_to").over(inside) >= F.col("_from"), F.lit(False)).alias("_mixed"))
 
 
 def _order_cols(order_by: list[str | Column]) -> list[Column]:
@@ -114,7 +128,7 @@ def apply_offsets(ranged: DataFrame, offsets: DataFrame, out_col: str, start: in
     return (ranged.join(F.broadcast(offsets), keys)
                   .withColumn(out_col, (F.col("_off") + (F.col(MID) - F.col("_base"))
                                         + F.lit(start)).cast("long"))
-                  .drop(PID, MID, "_base", "_off", *keys))
+                  .drop(PID, MID, POS, "_base", "_off", "_mixed", *keys))
 
 
 def attach_index(ranged: DataFrame, out_col: str, start: int = 1) -> DataFrame:
@@ -124,6 +138,27 @@ def attach_index(ranged: DataFrame, out_col: str, start: int = 1) -> DataFrame:
     return apply_offsets(ranged, offsets, out_col, start)
 
 
+def _file_order_rows(rows: DataFrame, out_col: str, start: int) -> DataFrame:
+    """Dense index in file order: pieces of blocks where they suffice, else a range shuffle by position."""
+    tagged = file_tag(rows)
+    offsets = reliable_checkpoint(block_offsets(block_sizes(tagged)), "offsets")
+    if POS in rows.columns and not offsets.where("_mixed").isEmpty():
+        return attach_index(range_tag(rows, [FILE, BLOCK, POS]), out_col, start).drop(FILE, BLOCK)
+    return apply_offsets(tagged, offsets, out_col, start)
+
+
+def numbered_rows(rows: DataFrame, out_col: str, order_key: str | None,
+                  num_partitions: int | None = None, start: int = 1) -> DataFrame:
+    """The rows with dense ids, over a copy tagged with block and position.
+
+    Counting rows per block reads the tags alone; the offsets table has one
+    row per partition or (piece of a) file block.
+    """
+    if order_key is None:
+        return _file_order_rows(rows, out_col, start)
+    return attach_index(range_tag(rows, [order_key], num_partitions), out_col, start)
+
+
 def dense_index(df: DataFrame, order_by: list[str | Column], out_col: str,
                 start: int = 1, num_partitions: int | None = None) -> DataFrame:
     """Add ``out_col`` = start, start+1, ... in ``order_by`` order (must be unique)."""

@@ -29,9 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom import spec as S
-from starloom.operators.numbering import (BLOCK, FILE, MID, PID, apply_offsets, block_offsets,
-                                          dense_index, file_tag, has_file_order,
-                                          partition_offsets, range_tag, small_index)
+from starloom.operators.numbering import dense_index, has_file_order, numbered_rows, small_index
 from starloom.operators.skew import fits_broadcast, salted_join
 from starloom.session import local_table, reliable_checkpoint
 
@@ -120,22 +118,6 @@ def resolve_order(df: DataFrame, order_key: str | None = None) -> str | None:
     raise ValueError("rows have no order: give a key column or scan with file_order=True")
 
 
-def numbered_rows(clean: DataFrame, record_key: str, order_key: str | None,
-                  num_partitions: int | None = None) -> DataFrame:
-    """The rows with dense record ids, over a copy tagged with block and position.
-
-    Counting rows per block reads the tags alone; the offsets table has one
-    row per partition or file block.
-    """
-    if order_key is None:
-        tagged, blocks = file_tag(clean), [PID, FILE, BLOCK]
-    else:
-        tagged, blocks = range_tag(clean, [order_key], num_partitions), [PID]
-    sizes = tagged.groupBy(*blocks).agg(F.count(F.lit(1)).alias("_n"), F.min(MID).alias("_base"))
-    offsets = block_offsets(sizes) if order_key is None else partition_offsets(sizes)
-    return apply_offsets(tagged, reliable_checkpoint(offsets, "offsets"), record_key)
-
-
 def star_grouping(rows: DataFrame, layout: S.StarLayout) -> tuple[DataFrame, list[str]]:
     """The single pass over the numbered table: every dimension's tuples with
     the record that shows them first, as grouping sets.  The minimum of a number

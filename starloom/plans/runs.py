@@ -16,7 +16,7 @@ from starloom import spec as S
 from starloom.operators.clean import clean_survey
 from starloom.operators.profile import class_distribution, run_summary
 from starloom.operators import views
-from starloom.operators.numbering import BLOCK, FILE, has_file_order, with_file_order
+from starloom.operators.numbering import BLOCK, FILE, POS, has_file_order, with_file_order
 from starloom.operators.star import build_star
 from starloom.session import reliable_checkpoint, scratch_scope
 from starloom.sources import files, sinks
@@ -64,7 +64,7 @@ def run_files(spark: SparkSession, in_dir: str, out_root: str, years: int | list
 
 def with_row_order(rows: DataFrame) -> DataFrame:
     """A bounded, ordered selection keeps its order as the order of the files written from it."""
-    return with_file_order(rows.drop(FILE, BLOCK)) if has_file_order(rows) else rows
+    return with_file_order(rows.drop(FILE, BLOCK, POS)) if has_file_order(rows) else rows
 
 
 def run_alternate(spark: SparkSession, processed_csv: str, out_dir: str,

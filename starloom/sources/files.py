@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from starloom import spec as S
 from starloom.functions.recode import parse_number
-from starloom.operators.numbering import BLOCK, FILE, has_file_order, with_file_order
+from starloom.operators.numbering import BLOCK, FILE, POS, has_file_order, with_file_order
+from starloom.sources.intake import Intake, part_files, refuse_long_rows, scan_files, take_in
 
 log = logging.getLogger(__name__)
 
@@ -27,7 +28,7 @@ log = logging.getLogger(__name__)
 # ``DATA_YEAR=<year>`` partition folder of one partitioned write
 YEAR_FILE = re.compile(r"^(?:([0-9]+)\.csv|DATA_YEAR=([0-9]+))$")
 KEY_COLUMNS = ("row_key",)
-ORDER_COLUMNS = (FILE, BLOCK)
+ORDER_COLUMNS = (FILE, BLOCK, POS)
 
 
 # P1 -------------------------------------------------------------------------
@@ -50,42 +51,19 @@ def select_features(df: DataFrame, spec: S.SurveySpec = S.SURVEY,
     return df.select(*keys, *available)
 
 
-def parse_numbers(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Text columns -> double with missing-value tokens as null."""
-    columns = columns if columns is not None else [c for c, t in df.dtypes if t == "string"]
-    return df.withColumns({c: parse_number(c) for c in columns})
-
-
 # S1 -------------------------------------------------------------------------
 def csv_scan(spark: SparkSession, path: str, spec: S.SurveySpec = S.SURVEY,
-             keep: tuple[str, ...] = KEY_COLUMNS, key_type: str = "bigint",
-             file_order: bool = False) -> DataFrame:
+             keep: tuple[str, ...] = KEY_COLUMNS, file_order: bool = False) -> DataFrame:
     """Header CSV -> selected survey columns as double (+ key columns).
 
-    ``file_order`` adds each row's file and file block, the order in which
-    files without a key column are numbered.  A row with more cells than the
-    header fails the read (``malformed_rows`` finds them beforehand).
-    """
-    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
-    if file_order:
-        raw = with_file_order(raw)
-    selected = select_features(raw, spec, keep + ORDER_COLUMNS)
-    out = parse_numbers(selected, [c for c in selected.columns if c not in keep + ORDER_COLUMNS])
-    return out.withColumns({k: F.col(k).cast(key_type) for k in keep if k in out.columns})
-
-
-def malformed_rows(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(file, n): rows per file that have more cells than the header, files without any left out.
-
-    One pass over the lines of files that share a header (missing cells are
-    nulls and no fault).  A cell is appended to each line, so that a line that
-    is too long by an empty cell shows too.
+    Each part file is read under its own header.  ``file_order`` adds each
+    row's file and file block, the order in which files without a key column
+    are numbered.  A row with more cells than the header fails the read.
     """
-    n = len(spark.read.option("header", True).csv(paths).columns)
-    schema = ", ".join(f"c{i} string" for i in range(n + 2))
-    cells = F.from_csv(F.concat(F.col("value"), F.lit(",x")), schema)
-    return (spark.read.text(paths).where(cells[f"c{n + 1}"].isNotNull())
-            .groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n")))
+    files = part_files(spark, path)
+    if not files:
+        raise ValueError(f"no data in {path}")
+    return refuse_long_rows(scan_files(spark, files, spec, keep, file_order))
 
 
 # S2 -------------------------------------------------------------------------
@@ -115,52 +93,28 @@ def year_files(spark: SparkSession, data_dir: str) -> dict[int, str]:
 YEAR_IN_PATH = r"(?:^|/)(?:([0-9]+)\.csv|DATA_YEAR=([0-9]+))(?:/|$)"
 
 
-def _header(spark: SparkSession, path: str) -> tuple[str, ...] | None:
-    """Column names on the first line of a yearly CSV (file or Spark folder).
+def year_from(path: Column) -> Column:
+    """The year that a path column names."""
+    return F.coalesce(F.nullif(F.regexp_extract(path, YEAR_IN_PATH, 1), F.lit("")),
+                      F.nullif(F.regexp_extract(path, YEAR_IN_PATH, 2), F.lit(""))).cast("int")
+
 
-    Reads one line through the Hadoop FileSystem (no Spark job); returns None
-    when that is not possible (empty or compressed parts), and the caller
-    falls back to Spark's own header handling for that year.
-    """
-    import csv
-
-    p, fs = _fs(spark, path)
-    st = fs.getFileStatus(p)
-    if st.isDirectory():
-        parts = sorted((x for x in fs.listStatus(p)
-                        if x.isFile() and x.getLen() > 0
-                        and not x.getPath().getName().startswith(("_", "."))),
-                       key=lambda x: x.getPath().getName())
-        if not parts or not parts[0].getPath().getName().endswith(".csv"):
-            return None
-        p = parts[0].getPath()
-    jvm = spark.sparkContext._jvm
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
-    try:
-        line = reader.readLine()
-    finally:
-        reader.close()
-    if line is None:
-        return None
-    return tuple(c.strip() for c in next(csv.reader([line.lstrip("\ufeff")])))
+def year_of_path(path: str) -> int | None:
+    """The year that a path names (``<year>.csv`` or ``DATA_YEAR=<year>``)."""
+    m = re.search(YEAR_IN_PATH, path)
+    return int(m.group(1) or m.group(2)) if m else None
 
 
-def _year_of(path: Column) -> Column:
-    return F.coalesce(F.nullif(F.regexp_extract(path, YEAR_IN_PATH, 1), F.lit("")),
-                      F.nullif(F.regexp_extract(path, YEAR_IN_PATH, 2), F.lit(""))).cast("int")
+def take_in_years(spark: SparkSession, data_dir: str, spec: S.SurveySpec = S.SURVEY,
+                  years: list[int] | None = None, strict: bool = False) -> Intake:
+    """The yearly files of a folder, parsed once: rows, rejected lines, counts by year."""
+    files = {y: p for y, p in year_files(spark, data_dir).items() if years is None or y in set(years)}
+    return take_in(spark, {y: part_files(spark, p) for y, p in files.items()}, spec, KEY_COLUMNS,
+                   year_from(F.col("_metadata.file_path")), strict)
 
 
-def _scan_years(spark: SparkSession, paths: list[str], spec: S.SurveySpec,
-                file_order: bool = False) -> DataFrame:
-    """One scan over yearly files sharing a header; the year comes from each path."""
-    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(paths)
-    tagged = raw.withColumn(spec.year_column, _year_of(F.col("_metadata.file_path")))
-    if file_order:
-        tagged = with_file_order(tagged)
-    keep = KEY_COLUMNS + (spec.year_column,) + ORDER_COLUMNS
-    selected = select_features(tagged, spec, keep)
-    out = parse_numbers(selected, [c for c in selected.columns if c not in keep])
-    return out.withColumns({k: F.col(k).cast("bigint") for k in KEY_COLUMNS if k in out.columns})
+def _without_order(rows: DataFrame, file_order: bool) -> DataFrame:
+    return rows if file_order else rows.drop(*ORDER_COLUMNS)
 
 
 def union_years(spark: SparkSession, data_dir: str, spec: S.SurveySpec = S.SURVEY,
@@ -168,35 +122,26 @@ def union_years(spark: SparkSession, data_dir: str, spec: S.SurveySpec = S.SURVE
                 check_rows: bool = True) -> DataFrame:
     """All yearly files appended, ``DATA_YEAR`` added, missing columns null.
 
-    Years whose files share a header are read in ONE scan, with the year taken
-    from each row's file path (``_metadata.file_path``); headers are read as
-    one line per year through the file system, not by Spark jobs.  A year that
-    lacks the target or (``check_rows``, one pass over the text) has a row with
-    too many cells is skipped with a warning; when no year is left the call
-    raises.  Data never passes the driver.
+    Files that share a header are read in ONE scan, with the year taken from
+    each row's file path (``_metadata.file_path``).  A year that lacks the
+    target or has a row with too many cells is skipped with a warning; when no
+    year is left the call raises.  The rows are written once on the way
+    (``take_in``), with their rejects counted; ``check_rows=False`` gives the
+    plain scans instead, where a row with too many cells fails the read.
     """
-    files = year_files(spark, data_dir)
-    if years is not None:
-        files = {y: p for y, p in files.items() if y in set(years)}
-    groups: dict[tuple, dict[int, str]] = {}
-    for year, path in files.items():
-        header = _header(spark, path)
-        groups.setdefault(header if header is not None else ("__year__", year), {})[year] = path
+    if check_rows:
+        return _without_order(take_in_years(spark, data_dir, spec, years).rows, file_order)
+    files = {y: p for y, p in year_files(spark, data_dir).items() if years is None or y in set(years)}
     frames = []
-    for members in groups.values():
+    for y, path in files.items():
         try:
-            if check_rows:
-                bad = malformed_rows(spark, list(members.values()))
-                for r in bad.groupBy(_year_of(F.col("file")).alias("y")).agg(F.sum("n").alias("n")).collect():
-                    log.warning("year %s skipped: %s rows have too many cells", r["y"], r["n"])
-                    members.pop(r["y"])
-            if members:
-                frames.append(_scan_years(spark, list(members.values()), spec, file_order))
-        except Exception as e:  # noqa: BLE001 - a bad year is skipped, as specified
-            log.warning("failed to load %s: %s", list(members.values()), e)
+            frames.append(scan_files(spark, part_files(spark, path), spec, KEY_COLUMNS, file_order,
+                                     year_from(F.col("_metadata.file_path"))))
+        except ValueError as e:
+            log.warning("year %s skipped: %s", y, e)
     if not frames:
         raise RuntimeError("no yearly dataset could be loaded")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return refuse_long_rows(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames))
 
 
 # S3 -------------------------------------------------------------------------
@@ -207,6 +152,8 @@ def bounded_scan(df: DataFrame, n: int, order_key: str | None = None) -> DataFra
     n rows per partition; the input is never fully sorted.
     """
     if order_key is None and "row_key" not in df.columns and has_file_order(df):
+        if POS in df.columns:
+            return df.orderBy(FILE, BLOCK, POS).limit(n)
         at = "_at"  # rows of a block keep their order inside the task that reads it
         return (df.withColumn(at, F.monotonically_increasing_id())
                 .orderBy(FILE, BLOCK, at).limit(n).drop(at))
@@ -220,9 +167,10 @@ def single_year(spark: SparkSession, data_dir: str, year: int, spec: S.SurveySpe
     files = year_files(spark, data_dir)
     if year not in files:
         raise FileNotFoundError(f"{year}.csv not found in {data_dir}")
-    if check_rows and (bad := malformed_rows(spark, files[year]).agg(F.sum("n")).first()[0]):
-        raise ValueError(f"{year}.csv: {bad} rows have more cells than the header")
-    return csv_scan(spark, files[year], spec, file_order=file_order)
+    if not check_rows:
+        return csv_scan(spark, files[year], spec, file_order=file_order)
+    rows = take_in_years(spark, data_dir, spec, [year], strict=True).rows
+    return _without_order(rows.drop(spec.year_column), file_order)
 
 
 # S5 -------------------------------------------------------------------------

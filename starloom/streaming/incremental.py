@@ -1,13 +1,19 @@
 """Incremental yearly loads (E6) with Structured Streaming.
 
-``readStream`` over a folder where yearly survey files arrive -> ``foreachBatch``:
-clean the micro-batch with the DECLARED encodings (no data-dependent
-inference, so a batch's result never depends on other batches), then upsert
-the star with keys that are stable across batches:
+Two sources.  ``start_year_stream`` follows a folder of real yearly CSV files:
+the stream carries the files' names alone (their contents are not read by the source), and
+every micro-batch takes its files in as a batch run does, each part file under
+its own header, the year from its path, malformed years set aside.
+``start_incremental`` follows files of one known schema.
+
+Either way ``foreachBatch`` cleans the micro-batch with the DECLARED encodings
+(no data-dependent inference, so a batch's result never depends on other
+batches), then upserts the star with keys that are stable across batches:
 
 * a dimension tuple seen before keeps its key; new tuples get
   ``max(previous key) + rank`` in first-seen order within the batch;
-* record ids continue from the previous maximum, in key order within the batch.
+* record ids continue from the previous maximum, in the order of the files
+  (no shuffle), or of a key column, within the batch.
 
 The dimensions are small tables (bounded by their domains), kept as parquet,
 not in the state store.  Every table is partitioned by ``batch_id`` and a batch
@@ -26,9 +32,11 @@ from pyspark.sql import functions as F
 
 from starloom import spec as S
 from starloom.operators.clean import clean_survey
-from starloom.operators.numbering import dense_index
-from starloom.operators.star import FIRST, lookup_key
-from starloom.session import local_table, reliable_checkpoint, scratch_path
+from starloom.operators.numbering import dense_index, numbered_rows
+from starloom.operators.star import FIRST, lookup_key, resolve_order, star_grouping
+from starloom.session import local_table, reliable_checkpoint, scratch_path, scratch_scope
+from starloom.sources import files
+from starloom.sources.intake import take_in
 
 BATCH = "batch_id"
 
@@ -102,58 +110,58 @@ def _local_new_tuples(spark: SparkSession, prev: DataFrame | None, batch_rows, d
 
 def process_batch(batch: DataFrame, batch_id: int, out_root: str,
                   layout: S.StarLayout = S.MAIN_STAR, spec: S.SurveySpec = S.SURVEY,
-                  order_key: str = "row_key") -> None:
+                  order_key: str | None = None) -> None:
     """Clean one micro-batch and upsert it into the star under ``out_root``.
 
-    Dimensions are bounded by their closed domains (the batch is validated), so
-    one grouping-sets pass finds every dimension's tuples in the batch and the
-    new ones are ranked locally against the previous dimension rows; larger
-    dimensions take the distributed path.  Record ids continue from the ledger
-    (one row per batch), never from a scan of the growing fact.
+    Rows are numbered by ``order_key``, ``row_key`` or the order of their files
+    (``resolve_order``), after the last id of the ledger (one row per batch),
+    never from a scan of the growing fact.  One grouping-sets pass over the
+    numbered copy finds every dimension's tuples in the batch.  Dimensions
+    bounded by their closed domains (the batch is validated) are ranked locally
+    against the previous rows; larger ones take the distributed path.
     """
     spark = batch.sparkSession
     root = out_root.rstrip("/")
-    # staged once: the tuples, the numbering and its sampling read files, not the source
-    clean = reliable_checkpoint(clean_survey(batch, spec, "declared"), "batch")
+    clean = clean_survey(batch, spec, "declared")
     schemas = star_schemas(layout, clean.schema)
     dims_spec = list(layout.dims)
     bounds = [S.dimension_bound(spec, d) for d in dims_spec]
     small = all(b is not None and b <= S.BROADCAST_ROW_BOUND for b in bounds)
+    ledger = _previous(spark, f"{root}/{LEDGER}", batch_id, schemas[LEDGER])
+    start = _max_key(ledger, "last_record_id") + 1
+    # staged once, numbered: the tuples and the fact read files, not the source
+    fact = numbered_rows(clean, layout.record_key, resolve_order(clean, order_key), start=start)
+    grouped, cols = star_grouping(fact, layout)
+
+    def gid(d: S.DimSpec) -> int:
+        return sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in d.sources)
+
     dims: dict[str, DataFrame] = {}
     if small:
-        cols: list[str] = []
-        for d in dims_spec:
-            cols += [c for c in d.sources if c not in cols]
-        grouped = (clean.groupingSets([[F.col(c) for c in d.sources] for d in dims_spec],
-                                      *[F.col(c) for c in cols])
-                        .agg(F.min(order_key).alias(FIRST), F.grouping_id().alias("_gid")))
         rows = grouped.collect()                      # bounded: sum of dimension sizes
         for d in dims_spec:
-            gid = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in d.sources)
             prev = _previous(spark, f"{root}/{d.table}", batch_id, schemas[d.table])
-            new, full = _local_new_tuples(spark, prev, [r for r in rows if r["_gid"] == gid],
+            new, full = _local_new_tuples(spark, prev, [r for r in rows if r["_gid"] == gid(d)],
                                           d, clean.schema)
             _write_partition(new, f"{root}/{d.table}", batch_id)
             dims[d.table] = full
     else:
+        grouped = reliable_checkpoint(grouped, "batch-tuples")
         for d in dims_spec:
             path = f"{root}/{d.table}"
             prev = _previous(spark, path, batch_id, schemas[d.table])
-            seen = clean.groupBy(*d.sources).agg(F.min(order_key).alias(FIRST))
+            seen = grouped.where(F.col("_gid") == gid(d))
             renamed = seen.select(*[F.col(s).alias(o) for s, o in d.columns], FIRST)
             if prev is not None:
                 cond = [renamed[o].eqNullSafe(prev[o]) for o in d.outputs]
                 renamed = renamed.join(prev.select(*d.outputs),
                                        reduce(lambda a, b: a & b, cond), "left_anti")
-            start = _max_key(prev, d.key) + 1
-            new = dense_index(renamed, [FIRST], d.key, start=start).select(
+            first = _max_key(prev, d.key) + 1
+            new = dense_index(renamed, [FIRST], d.key, start=first).select(
                 F.col(d.key).cast("int").alias(d.key), *d.outputs)
             _write_partition(new, path, batch_id)
             dims[d.table] = (_read(spark, path, schemas[d.table]).filter(F.col(BATCH) <= batch_id)
                              .drop(BATCH))
-    ledger = _previous(spark, f"{root}/{LEDGER}", batch_id, schemas[LEDGER])
-    start = _max_key(ledger, "last_record_id") + 1
-    fact = dense_index(clean, [order_key], layout.record_key, start=start)
     for d, b in zip(dims_spec, bounds):
         fact = lookup_key(fact, dims[d.table], d, b if small else None,
                           layout.null_safe_lookup, layout.strict_lookup)
@@ -169,6 +177,69 @@ def process_batch(batch: DataFrame, batch_id: int, out_root: str,
     _write_partition(summary, f"{root}/{LEDGER}", batch_id)
 
 
+# --- yearly CSV files ----------------------------------------------------------------
+
+REJECTED = "_rejected"
+REJECT_SCHEMA = "file string, block long, DATA_YEAR int, line string"
+#: What the stream reads of a file.  ``content`` is never selected, so it is never read.
+_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
+
+def load_files(spark: SparkSession, paths: list[str], batch_id: int, out_root: str,
+               layout: S.StarLayout = S.MAIN_STAR, spec: S.SurveySpec = S.SURVEY) -> None:
+    """Take yearly CSV files in as batch ``batch_id`` of the star under ``out_root``.
+
+    Files whose path names no year are ignored.  A file without the target column
+    is an error: it is no file of this survey, and a stream that passed over it
+    would lose it silently.  The files of a year with a malformed row are set
+    aside, and its rejected lines are kept in ``_rejected`` (see ``read_rejected``).
+    """
+    years: dict[int, list[str]] = {}
+    for path in sorted(paths):
+        year = files.year_of_path(path)
+        if year is not None:
+            years.setdefault(year, []).append(path)
+    if not years:
+        return
+    with scratch_scope(spark):
+        taken = take_in(spark, years, spec, files.KEY_COLUMNS, files.year_from(F.col("_metadata.file_path")),
+                        strict_header=True, allow_none=True)
+        _write_partition(taken.rejected, f"{out_root.rstrip('/')}/{REJECTED}", batch_id)
+        process_batch(taken.rows, batch_id, out_root, layout, spec)
+
+
+def start_year_stream(spark: SparkSession, source_dir: str, out_root: str, checkpoint: str,
+                      files_per_trigger: int | None = None, layout: S.StarLayout = S.MAIN_STAR,
+                      spec: S.SurveySpec = S.SURVEY):
+    """Follow a folder of yearly CSV files or folders (``<year>.csv``, ``DATA_YEAR=<year>``).
+
+    The stream's rows are file names, so the driver sees one name per new file
+    of a micro-batch; ``files_per_trigger`` bounds them.
+    """
+    reader = (spark.readStream.format("binaryFile").schema(_FILE_SCHEMA)
+              .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv*"))
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        paths = [r["path"] for r in batch.where("length > 0").select("path").collect()]
+        load_files(spark, paths, batch_id, out_root, layout, spec)
+
+    return (reader.load(source_dir).select("path", "length").writeStream
+            .foreachBatch(load).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+def read_rejected(spark: SparkSession, out_root: str) -> DataFrame:
+    """(file, block, DATA_YEAR, line): the rows that set a year's files aside, of all batches."""
+    from pyspark.sql.types import StructType
+
+    path = f"{out_root.rstrip('/')}/{REJECTED}"
+    if not _exists(spark, path):
+        return spark.createDataFrame([], REJECT_SCHEMA)
+    return _read(spark, path, StructType.fromDDL(REJECT_SCHEMA)).drop(BATCH)
+
+
 def start_incremental(spark: SparkSession, source_dir: str, schema: str, out_root: str,
                       checkpoint: str, fmt: str = "parquet", files_per_trigger: int | None = None,
                       layout: S.StarLayout = S.MAIN_STAR, spec: S.SurveySpec = S.SURVEY):
@@ -234,3 +305,16 @@ def incremental_demo(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
     return read_star(spark, out)
+
+
+def year_stream_demo(spark: SparkSession, source_dir: str, years: list[int],
+                     arrive) -> tuple[dict[str, DataFrame], DataFrame]:
+    """``arrive(year)`` lays a year's file down; the stream drains it, one batch a year, on one checkpoint."""
+    out, ckpt = scratch_path(spark, "e6-year-star"), scratch_path(spark, "e6-year-checkpoint")
+    for year in years:
+        arrive(year)
+        q = start_year_stream(spark, source_dir, out, ckpt)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    return read_star(spark, out), read_rejected(spark, out)
