@@ -21,12 +21,13 @@ small bound (dimension tuples over closed domains).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from starloom.session import reliable_checkpoint, scratch_path, table_bytes
 
 PID, MID = "_pid", "_mid"
+_TIE = "_tie"
 
 #: Where a row comes from, for the file order; rows written on the way also keep their position.
 FILE, BLOCK, POS = "_file", "_block", "_pos"
@@ -98,19 +99,31 @@ def _order_cols(order_by: list[str | Column]) -> list[Column]:
 
 
 def range_tag(df: DataFrame, order_by: list[str | Column],
-              num_partitions: int | None = None) -> DataFrame:
-    """Range-partitioned, sorted, position-tagged and checkpointed copy of ``df``."""
+              num_partitions: int | None = None, unique: bool = False) -> DataFrame:
+    """Range-partitioned, sorted, position-tagged and checkpointed copy of ``df``.
+
+    ``unique`` (column names only) raises if two rows share their key.  Equal
+    keys meet in one range partition, next to each other in its sort order, so they
+    are counted in the same write, without another shuffle or sort.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, "staged")
     df.write.mode("overwrite").parquet(path)
     staged = spark.read.schema(df.schema).parquet(path)
     n = partition_count(staged, num_partitions, table_bytes(spark, path))
     order = _order_cols(order_by)
-    ranged = (staged.repartitionByRange(n, *order)
-                    .sortWithinPartitions(*order)
-                    .withColumn(PID, F.spark_partition_id())
-                    .withColumn(MID, F.monotonically_increasing_id()))
-    return reliable_checkpoint(ranged, "ranged")
+    ranged = staged.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    if unique:
+        same = Window.partitionBy(*order_by).orderBy(*order)
+        ranged = ranged.withColumn(_TIE, F.row_number().over(same) > 1)
+    ranged = ranged.withColumn(PID, F.spark_partition_id()).withColumn(MID, F.monotonically_increasing_id())
+    if not unique:
+        return reliable_checkpoint(ranged, "ranged")
+    seen = Observation("ties")
+    out = reliable_checkpoint(ranged.observe(seen, F.count_if(_TIE).alias("ties")).drop(_TIE), "ranged")
+    if seen.get["ties"]:
+        raise ValueError(f"{order_by} does not order the rows: {seen.get['ties']} rows repeat a key")
+    return out
 
 
 def partition_offsets(sizes: DataFrame) -> DataFrame:
@@ -152,11 +165,12 @@ def numbered_rows(rows: DataFrame, out_col: str, order_key: str | None,
     """The rows with dense ids, over a copy tagged with block and position.
 
     Counting rows per block reads the tags alone; the offsets table has one
-    row per partition or (piece of a) file block.
+    row per partition or (piece of a) file block.  A key that two rows share is
+    an error: their ids would depend on the run.
     """
     if order_key is None:
         return _file_order_rows(rows, out_col, start)
-    return attach_index(range_tag(rows, [order_key], num_partitions), out_col, start)
+    return attach_index(range_tag(rows, [order_key], num_partitions, unique=True), out_col, start)
 
 
 def dense_index(df: DataFrame, order_by: list[str | Column], out_col: str,

@@ -5,7 +5,8 @@ Every check returns violations as rows
 means the constraint holds.  Row-local checks of one table (NOT NULL, CHECK
 ranges, fits-the-type) run in ONE scan: each row yields an array of optional
 violation structs that is filtered and exploded.  Uniqueness is a grouped
-count (one shuffle of the key column only); foreign keys are anti-joins.
+count (one shuffle of the key column only), or for generated ids a proof by
+runs that shuffles none; foreign keys are anti-joins.
 """
 
 from __future__ import annotations
@@ -13,12 +14,13 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom import spec as S
 from starloom.functions import recode as R
 from starloom.operators.skew import fits_broadcast, salted_join
+from starloom.session import reliable_checkpoint
 
 VIOLATION_SCHEMA = ("constraint string, table_name string, column_name string, "
                     "row_key bigint, value string")
@@ -45,28 +47,36 @@ def _range_violation(c: str, lo, lo_inc: bool, hi, hi_inc: bool) -> Column:
     return x.isNotNull() & ~ok        # a null passes a CHECK
 
 
-def row_check_columns(df: DataFrame, types: dict[str, str] | None = None,
-                      ranges: dict | None = None,
-                      status_column: str | None = None) -> list[Column]:
-    """K1 not-null, K4 ranges and K5 fits-type: one optional violation per check."""
-    checks = []
+def named_row_checks(df: DataFrame, types: dict[str, str] | None = None, ranges: dict | None = None,
+                     status_column: str | None = None) -> dict[tuple[str, str], Column]:
+    """K1 not-null, K4 ranges and K5 fits-type: (constraint, column) -> optional violation."""
+    checks: dict[tuple[str, str], Column] = {}
     have = df.columns
+
+    def add(constraint: str, c: str, bad: Column) -> None:
+        checks[constraint, c] = F.when(bad, _violation(constraint, c, F.col(c)))
+
     for c in have:
-        checks.append(F.when(F.col(c).isNull(), _violation("not_null", c, F.col(c))))
+        add("not_null", c, F.col(c).isNull())
         fit = _fits_type(c, (types or {}).get(c, "")) if types else None
         if fit is not None:
-            checks.append(F.when(fit, _violation("fits_type", c, F.col(c))))
+            add("fits_type", c, fit)
     for c, (lo, lo_inc, hi, hi_inc) in (ranges or {}).items():
         if c in have:
-            checks.append(F.when(_range_violation(c, lo, lo_inc, hi, hi_inc),
-                                 _violation("check_range", c, F.col(c))))
+            add("check_range", c, _range_violation(c, lo, lo_inc, hi, hi_inc))
     if status_column and status_column in have:
         code = R.encode_status(status_column)
-        bad = code.isNotNull() & ~code.isin(S.STATUS_CHECK_VALUES)
-        checks.append(F.when(bad, _violation("check_range", status_column, F.col(status_column))))
+        add("check_range", status_column, code.isNotNull() & ~code.isin(S.STATUS_CHECK_VALUES))
     return checks
 
 
+def row_check_columns(df: DataFrame, types: dict[str, str] | None = None,
+                      ranges: dict | None = None,
+                      status_column: str | None = None) -> list[Column]:
+    """K1 not-null, K4 ranges and K5 fits-type: one optional violation per check."""
+    return list(named_row_checks(df, types, ranges, status_column).values())
+
+
 def _violations(df: DataFrame, table: str, key: str, checks: list[Column]) -> DataFrame:
     """The non-null violations of each row, one output row each."""
     found = F.filter(F.array(*checks), lambda v: v.isNotNull())
@@ -89,6 +99,37 @@ def unique_key(df: DataFrame, table: str, key: str) -> DataFrame:
                       F.col("_n").cast("string").alias("value")))
 
 
+#: Runs of ids beyond which ``unique_in_runs`` gives up (generated ids have one per piece of a file block).
+MOST_RUNS = 2_000_000
+
+
+def id_runs(df: DataFrame, key: str) -> DataFrame:
+    """(lo, hi, n): runs of consecutive ids in the rows of a task.
+
+    Rows of a task are numbered as they come; ids that keep their distance from that
+    number are distinct, so a run holds no id twice.  Grouped in the
+    task, a run leaves it as one row: no id is shuffled.
+    """
+    placed = df.select(F.col(key).cast("long").alias("k"), F.spark_partition_id().alias("p"),
+                       F.monotonically_increasing_id().alias("m"))
+    return (placed.where("k IS NOT NULL").groupBy("p", (F.col("k") - F.col("m")).alias("d"))
+            .agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.count(F.lit(1)).alias("n")).select("lo", "hi", "n"))
+
+
+def unique_in_runs(df: DataFrame, key: str) -> bool:
+    """K2 for generated ids: True if runs of ids prove that none occurs twice.
+
+    Inside a run ids are distinct; two runs share none if their intervals do
+    not overlap.  False proves nothing (foreign ids, or an interleaved order):
+    ``unique_key`` then decides by a grouped count.
+    """
+    runs = reliable_checkpoint(id_runs(df, key), "id-runs")
+    if runs.count() > MOST_RUNS:
+        return False
+    before = Window.orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1)
+    return runs.select("lo", F.max("hi").over(before).alias("b")).where("b >= lo").isEmpty()
+
+
 def foreign_key(fact: DataFrame, fact_table: str, fact_key: str, fk: str, dim: DataFrame,
                 dim_key: str, dim_bounded: bool | None = None) -> DataFrame:
     """Non-null foreign keys with no matching dimension row.
@@ -135,6 +176,21 @@ def _probe_keys(fact: DataFrame, refs: list[tuple[str, DataFrame, str]],
     return probed, checks
 
 
+def probed_foreign_keys(fact: DataFrame, refs: list[tuple[str, DataFrame, str]]) \
+        -> tuple[DataFrame, dict[tuple[str, str], Column], list[tuple[str, DataFrame, str]]]:
+    """(fact with each key probed, the checks, keys left out): K3 as part of another pass over the fact.
+
+    Only dimensions whose keys are checked to be small are probed; the others
+    are left to ``foreign_keys``.
+    """
+    sets = [(ref, ref[1].select(ref[2]).distinct()) for ref in refs]
+    small = [ref for ref, keys in sets if fits_broadcast(keys)]
+    keysets = [dim.select(F.col(k).alias(f"_k{i}")).distinct() for i, (_, dim, k) in enumerate(small)]
+    probed, checks = _probe_keys(fact, small, keysets)
+    return probed, {("foreign_key", fk): c for (fk, _, _), c in zip(small, checks)}, \
+        [ref for ref in refs if ref not in small]
+
+
 def foreign_keys(fact: DataFrame, fact_table: str, fact_key: str,
                  refs: list[tuple[str, DataFrame, str]],
                  dims_bounded: bool | None = None) -> DataFrame:

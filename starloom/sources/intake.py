@@ -102,7 +102,8 @@ def scan_group(spark: SparkSession, paths: list[str], header: tuple[str, ...], s
            .csv(paths))
     first = {name: i for i, name in reversed(list(enumerate(header)))}
     wanted = [c for c in (*keep, *spec.selected) if c in first]
-    corrupt = F.col(_CORRUPT)
+    # always true; Spark refuses a scan that reads its corrupt-record column alone
+    corrupt = F.when(F.col("c0").isNull() | (F.col("c0") >= ""), F.col(_CORRUPT))
     named = raw.select(
         *[F.col(f"c{first[c]}").alias(c) for c in wanted],
         F.when(corrupt.isNotNull() & _too_long(corrupt, len(header)), corrupt).alias(LINE),

@@ -2,11 +2,12 @@
 publish (S9) and load verification (S11); load-time casts (P7, P8).
 
 Spark has no multi-table transaction.  ``publish_star`` gives the next best
-thing: all tables are written under a new version directory, what was written
-is checked, and only then does a small pointer file make that version current.
-Pointers are numbered and never replaced: each is written aside and renamed
-to the next free number, and readers take the highest.  A failure before the
-rename leaves the previous version current, and at no time is none.
+thing: all tables are written once, under a new version directory, with their
+constraints counted during that write, and only then does a small pointer file
+make that version current.  Pointers are numbered and never replaced: each is
+created exclusively under the next free number, and readers take the highest
+complete one.  A failure before that leaves the previous version current, and at
+no time is none.
 """
 
 from __future__ import annotations
@@ -16,11 +17,11 @@ import re
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starloom import spec as S
-from starloom.session import reliable_checkpoint
 
 log = logging.getLogger(__name__)
 
@@ -58,10 +59,14 @@ def spark_type(sql_type: str) -> str:
     return "string" if sql_type.startswith("varchar") else sql_type
 
 
-def load_casts(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    """Cast to the stored types (decimal overflow -> error under ANSI mode)."""
-    return df.select(*[(F.col(c).cast(spark_type(types[c])) if c in types else F.col(c)).alias(c)
-                       for c in df.columns])
+def load_casts(df: DataFrame, types: dict[str, str], strict: bool = True) -> DataFrame:
+    """Cast to the stored types; what does not fit is an error (decimal overflow
+    under ANSI mode), or null without ``strict``."""
+    def stored(c: str):
+        if c not in types:
+            return F.col(c)
+        return F.col(c).cast(spark_type(types[c])) if strict else F.col(c).try_cast(spark_type(types[c]))
+    return df.select(*[stored(c).alias(c) for c in df.columns])
 
 
 def cast_star(star: dict[str, DataFrame], types: dict = S.LOAD_TYPES) -> dict[str, DataFrame]:
@@ -211,17 +216,19 @@ def _pointers(spark: SparkSession, root: str) -> list[int]:
 
 
 def _point_to(spark: SparkSession, root: str, version: str, attempts: int = 100) -> None:
-    """Make ``version`` current: one rename to the next free pointer number."""
-    tmp, fs = _files(spark, f"{root}/.{POINTER}.{uuid.uuid4().hex}")
-    out = fs.create(tmp, False)
-    out.write(bytearray(version.encode("utf-8")))
-    out.close()
+    """Make ``version`` current: the next free pointer number, created exclusively."""
     for _ in range(attempts):
         n = max(_pointers(spark, root), default=0) + 1
-        target, _ = _files(spark, f"{root}/{POINTER}-{n:012d}")
-        if not fs.exists(target) and fs.rename(tmp, target):
-            return
-    fs.delete(tmp, False)
+        target, fs = _files(spark, f"{root}/{POINTER}-{n:012d}")
+        try:
+            out = fs.create(target, False)
+        except Py4JJavaError:
+            if not fs.exists(target):
+                raise
+            continue  # another publisher took this number
+        out.write(bytearray((version + "\n").encode("utf-8")))
+        out.close()
+        return
     raise RuntimeError(f"version {version} could not be made current under {root}")
 
 
@@ -234,42 +241,73 @@ def _read_text(spark: SparkSession, path: str) -> str:
     return line
 
 
+def _write_checked(df: DataFrame, columns: list[str], path: str, table: str, checks: dict[tuple[str, str], Column],
+                   types: dict[str, str], created_at: bool) -> dict[tuple[str, str, str], int]:
+    """Write a table in its stored types, once; violations of each check counted in that write."""
+    seen = Observation(f"checks of {table}")
+    counted = [F.count(c).alias(f"v{i}") for i, c in enumerate(checks.values())] or [F.count(F.lit(1)).alias("n")]
+    stored = load_casts(df.observe(seen, *counted).select(*columns), types, strict=not checks)
+    _stamped(stored, created_at).write.mode("overwrite").parquet(path)
+    return {(k[0], table, k[1]): seen.get[f"v{i}"] for i, k in enumerate(checks) if seen.get[f"v{i}"]}
+
+
 def publish_star(star: dict[str, DataFrame], root: str, layout: S.StarLayout = S.MAIN_STAR,
                  check: bool = True, types: dict = S.LOAD_TYPES,
                  version: str | None = None, created_at: bool = False) -> dict[str, str]:
-    """Write dims then fact under a new version, check what was written, switch the pointer.
-
-    The tables are first written as built, so a value that does not fit its
-    stored type is reported by the checks and not by a failed cast half-way;
-    stored types are applied on the way into the version.  Every check reads
-    written files: the plan that built the star runs once.  Raises, leaving
-    the previous version current, if any constraint fails.
+    """Write dims then fact under a new version, checking them on the way, and switch the pointer.
+
+    Every table is written once.  NOT NULL, ranges and fits-the-type are
+    counted on the rows as built, foreign keys by probing the written
+    dimensions' keys, all in the write itself; what does not fit its stored type
+    is written as null in a version that is then refused.  Key uniqueness is
+    proved from the written keys alone (``quality.unique_in_runs``).  Raises,
+    leaving the previous version current and this one removed, if any
+    constraint fails.
     """
-    from starloom.operators.quality import check_star
+    from starloom.operators import quality as Q
 
     spark = next(iter(star.values())).sparkSession
     root = root.rstrip("/")
     version = version or uuid.uuid4().hex[:12]
     if not re.fullmatch(r"[0-9A-Za-z_-]+", version):
         raise ValueError("bad version name")
-    built = {name: reliable_checkpoint(star[name], name) for name in layout.tables}
-    if check and not check_star(built, layout, types).isEmpty():
-        raise ValueError(f"star failed its constraints; version {version} not published")
-    paths = {}
-    for name in layout.tables:
-        paths[name] = f"{root}/v={version}/{name}"
-        _stamped(load_casts(built[name], types.get(name, {})), created_at) \
-            .write.mode("overwrite").parquet(paths[name])
+    paths = {name: f"{root}/v={version}/{name}" for name in layout.tables}
+    found: dict[tuple[str, str, str], int] = {}
+    keys = {d.table: d.key for d in layout.dims} | {layout.fact_table: layout.record_key}
+    written: dict[str, DataFrame] = {}
+    for name in layout.tables:  # dims first
+        df, checks = star[name], {}
+        if check:
+            checks = Q.named_row_checks(df, types.get(name, {}), *(
+                (S.RANGE_CHECKS, "diabetes_status") if name == layout.fact_table else ()))
+        columns = df.columns
+        if check and name == layout.fact_table:
+            df, more, late = Q.probed_foreign_keys(df, [(d.key, written[d.table], d.key) for d in layout.dims])
+            checks |= more
+        found |= _write_checked(df, columns, paths[name], name, checks, types.get(name, {}), created_at)
+        written[name] = spark.read.parquet(paths[name])
+        if check and not Q.unique_in_runs(written[name].select(keys[name]), keys[name]):
+            found["unique_key", name, keys[name]] = Q.unique_key(written[name], name, keys[name]).count()
+        if check and name == layout.fact_table and late:
+            for r in Q.foreign_keys(written[name], name, layout.record_key, late, False) \
+                    .groupBy("column_name").count().collect():
+                found["foreign_key", name, r["column_name"]] = r["count"]
+    if found:
+        p, fs = _files(spark, f"{root}/v={version}")
+        fs.delete(p, True)
+        raise ValueError(f"star failed its constraints; version {version} not published: "
+                         + ", ".join(f"{c} {t}.{col}: {n}" for (c, t, col), n in sorted(found.items())))
     _point_to(spark, root, version)
     return paths
 
 
 def published_paths(spark: SparkSession, root: str, layout: S.StarLayout = S.MAIN_STAR) -> dict[str, str]:
-    numbers = _pointers(spark, root.rstrip("/"))
-    if not numbers:
-        raise FileNotFoundError(f"nothing published under {root}")
-    version = _read_text(spark, f"{root.rstrip('/')}/{POINTER}-{numbers[-1]:012d}")
-    return {n: f"{root.rstrip('/')}/v={version}/{n}" for n in layout.tables}
+    root = root.rstrip("/")
+    for n in reversed(_pointers(spark, root)):
+        version = _read_text(spark, f"{root}/{POINTER}-{n:012d}")
+        if version:  # a pointer whose publisher died before writing it names none
+            return {t: f"{root}/v={version}/{t}" for t in layout.tables}
+    raise FileNotFoundError(f"nothing published under {root}")
 
 
 def read_published(spark: SparkSession, root: str, layout: S.StarLayout = S.MAIN_STAR) -> dict[str, DataFrame]:

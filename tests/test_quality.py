@@ -107,3 +107,49 @@ def test_check_star_scans_the_fact_twice(spark, tmp_dir):
     star["fact_health_records"] = spark.read.parquet(path)
     plan = Q.check_star(star, dims_bounded=True)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("fact_parquet") == 2, plan
+
+
+def test_publish_writes_the_fact_once_and_names_what_failed(spark, tmp_dir, monkeypatch):
+    from conftest import SF0001
+    from starloom.operators import clean as C
+    from starloom.operators import star as ST
+    from starloom.sources.survey import derived_survey
+
+    good = ST.build_star(C.clean_survey(derived_survey(spark, SF0001)))
+    writes = []
+    monkeypatch.setattr(SK, "load_casts", lambda df, types, strict=True, real=SK.load_casts: (
+        writes.append(df.columns[0]), real(df, types, strict))[1])
+    SK.publish_star(good, tmp_dir, version="v1")
+    assert writes == [d.key for d in S.MAIN_STAR.dims] + ["record_id"]
+    with pytest.raises(ValueError) as e:
+        SK.publish_star(broken_star(spark), tmp_dir, version="v2")
+    want = {}
+    for r in Q.check_star(broken_star(spark)).collect():
+        k = (r["constraint"], r["table_name"], r["column_name"])
+        want[k] = want.get(k, 0) + 1
+    assert str(e.value).split(": ", 1)[1] == ", ".join(f"{c} {t}.{col}: {n}" for (c, t, col), n in sorted(want.items()))
+    assert SK.published_paths(spark, tmp_dir)["dim_lifestyle"].endswith("v=v1/dim_lifestyle")
+    import os
+    assert not os.path.exists(f"{tmp_dir}/v=v2")
+
+
+def test_unique_in_runs(spark, tmp_dir):
+    ids = spark.range(1, 20_001).repartitionByRange(6, "id").sortWithinPartitions("id")
+    assert Q.unique_in_runs(ids, "id")
+    plan = Q.id_runs(ids, "id")
+    assert plan.count() == 6 and plan.agg({"n": "sum"}).first()[0] == 20_000
+    # a gap with a repeat that counts, minima and maxima would not show
+    assert not Q.unique_in_runs(spark.createDataFrame([(1,), (1,), (3,)], "id long").coalesce(1), "id")
+    assert not Q.unique_in_runs(ids.union(spark.range(500, 501)), "id")
+    assert Q.unique_in_runs(spark.createDataFrame([], "id long"), "id")
+    assert Q.unique_in_runs(spark.createDataFrame([(None,), (7,), (None,)], "id long"), "id")
+
+
+def test_pointers_are_exclusive(spark, tmp_dir):
+    SK._point_to(spark, tmp_dir, "a")
+    p, fs = SK._files(spark, f"{tmp_dir}/{SK.POINTER}-000000000002")
+    fs.create(p, False).close()             # a publisher that died
+    assert SK.published_paths(spark, tmp_dir)["dim_lifestyle"].endswith("v=a/dim_lifestyle")
+    SK._point_to(spark, tmp_dir, "b")
+    assert SK._pointers(spark, tmp_dir) == [1, 2, 3]
+    assert SK.published_paths(spark, tmp_dir)["dim_lifestyle"].endswith("v=b/dim_lifestyle")

@@ -239,3 +239,52 @@ def test_multi_year_survey_asks_for_few_partitions(spark):
     raw = derived_survey(spark, "/root/testdata/sf0.1", with_year=True)
     tagged = range_tag(raw, ["row_key"])
     assert tagged.select("_pid").distinct().count() <= 16
+
+
+def test_part_files_with_their_own_headers(spark, tmp_dir):
+    """Two parts of one year in opposite column order, one with more columns."""
+    cols = list(S.SELECTED_COLUMNS)
+    row = _full_row(SEX="1", INCOME2="8", _BMI5="3100")
+    _write_csv(f"{tmp_dir}/2015.csv/part-0.csv", cols, [[row[c] for c in cols]])
+    _write_csv(f"{tmp_dir}/2015.csv/part-1.csv", ["EXTRA", *cols[::-1], "sex"], [["5", *(row[c] for c in cols[::-1]), "9"]])
+    for df in (FS.union_years(spark, tmp_dir), FS.single_year(spark, tmp_dir, 2015),
+               FS.union_years(spark, tmp_dir, check_rows=False), FS.csv_scan(spark, f"{tmp_dir}/2015.csv")):
+        got = [tuple(r[c] for c in cols) for r in df.collect()]
+        assert got == [tuple(float(row[c]) for c in cols)] * 2
+
+
+def test_text_is_parsed_once_and_rejects_are_kept(spark, tmp_dir):
+    from starloom.sources import intake
+
+    cols = list(S.SELECTED_COLUMNS)
+    good = [_full_row()[c] for c in cols]
+    _write_csv(f"{tmp_dir}/2014.csv", cols, [good] * 3)
+    _write_csv(f"{tmp_dir}/2015.csv", cols, [good, good + ["7"], good + [""], good[:-2]])
+    taken = FS.take_in_years(spark, tmp_dir)
+    assert taken.years == {2014: (3, 0), 2015: (4, 2)}
+    assert [r["DATA_YEAR"] for r in taken.rows.collect()] == [2014] * 3
+    assert sorted((r["DATA_YEAR"], r["line"]) for r in taken.rejected.collect()) == \
+        sorted([(2015, ",".join(good + ["7"])), (2015, ",".join(good + [""]))])
+    files = [p for y in (2014, 2015) for p in intake.part_files(spark, f"{tmp_dir}/{y}.csv")]
+    scan = intake.scan_files(spark, files, S.SURVEY, (), True)
+    assert scan._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+    assert "FileScan csv" not in taken.rows._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(Exception, match="more cells than the header"):
+        FS.csv_scan(spark, f"{tmp_dir}/2015.csv").count()
+    with pytest.raises(Exception, match="more cells than the header"):
+        FS.union_years(spark, tmp_dir, check_rows=False).collect()
+
+
+def test_compressed_and_empty_parts(spark, tmp_dir):
+    import gzip
+
+    cols = list(S.SELECTED_COLUMNS)
+    row = [_full_row()[c] for c in cols]
+    os.makedirs(f"{tmp_dir}/2015.csv")
+    with gzip.open(f"{tmp_dir}/2015.csv/part-0.csv.gz", "wt") as f:
+        f.write("\ufeff" + ",".join(cols) + "\n" + ",".join(row) + "\n")
+    open(f"{tmp_dir}/2015.csv/part-1.csv", "w").close()
+    open(f"{tmp_dir}/2016.csv", "w").close()
+    assert FS.union_years(spark, tmp_dir).count() == 1
+    with pytest.raises(ValueError):
+        FS.single_year(spark, tmp_dir, 2016)

@@ -140,3 +140,26 @@ def test_range_partition_count_small_input(spark):
         assert partition_count(df, 37) == 37
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_a_repeated_order_key_is_refused(spark):
+    from starloom.operators.numbering import numbered_rows
+
+    rows = spark.range(1000).select((F.col("id") % 997).alias("k"), "id").repartition(5)
+    with pytest.raises(ValueError, match="3 rows repeat"):
+        numbered_rows(rows, "n", "k", 4)
+    got = numbered_rows(rows.where("id < 997"), "n", "k", 4).collect()
+    assert sorted((r["k"], r["n"]) for r in got) == [(i, i + 1) for i in range(997)]
+
+
+def test_staged_rows_keep_the_file_order_however_they_are_read(spark):
+    """Pieces of a block in several tasks, and rows dealt anew (pieces that overlap)."""
+    from starloom.operators.numbering import BLOCK, FILE, POS, numbered_rows
+
+    rows = spark.range(3000).select(
+        F.concat(F.lit("f"), (F.col("id") / 1000).cast("int").cast("string")).alias(FILE),
+        (F.col("id") % 1000 / 500).cast("int").cast("long").alias(BLOCK), F.col("id").alias(POS), "id")
+    for dealt in (rows.repartitionByRange(7, "id"), rows.repartition(7)):
+        got = numbered_rows(dealt.where("id % 3 > 0"), "n", None).orderBy("n").collect()
+        assert [r["id"] for r in got] == [i for i in range(3000) if i % 3]
+        assert [r["n"] for r in got] == list(range(1, 2001)) and set(got[0].asDict()) == {"id", "n"}
