@@ -169,6 +169,25 @@ def clean_survey(df: DataFrame, spec: S.SurveySpec = S.SURVEY, binary_mode: str
     return df
 
 
+def recoded(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> DataFrame:
+    """The recodes of the cleaning chain alone, for rows that pass all its filters."""
+    have = set(df.columns)
+    if is_final_format(df, spec):
+        return df
+    cols = {}
+    if spec.target and spec.target in have:
+        cols[spec.target] = R.recode_target(spec.target, spec.target_labels)
+    for c in spec.binaries:
+        if c in have:
+            mode = spec.binary_encoding[c]
+            cols[c] = R.recode_binary(c, mode) if mode is not None else F.col(c).cast("string")
+    if spec.bmi_column and spec.bmi_column in have:
+        cols[spec.bmi_column] = R.scale_bmi(spec.bmi_column)
+    if spec.sex_column and spec.sex_column in have:
+        cols[spec.sex_column] = R.recode_sex(spec.sex_column, spec.sex_labels)
+    return rename_clean(df.withColumns(cols), spec)
+
+
 def lenient_recode(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> DataFrame:
     """Raw codes -> final-format labels without filtering anything.
 

@@ -11,13 +11,14 @@ from __future__ import annotations
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from starloom import spec as S
 from starloom.functions import recode as R
 from starloom.operators import clean as C
 from starloom.operators.binary import infer_binary_modes
+from starloom.session import local_table
 
 
 # A2 -------------------------------------------------------------------------
@@ -119,6 +120,31 @@ def step_deltas(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> DataFrame:
     return counts.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
 
 
+def stage_with_deltas(df: DataFrame, path: str, spec: S.SurveySpec = S.SURVEY) -> tuple[DataFrame, DataFrame]:
+    """The clean stage written to ``path``, and its ``step_deltas`` counted during that write.
+
+    Each row is charged to the first step that removes it while it passes
+    (``observe``); those that no step removes are recoded and written.  No
+    scan is made for the report.  For an inferred run pass ``inferred_spec``.
+    """
+    steps = _all_steps(df, spec)
+    seen = Observation("steps")
+    at = "_step"
+    tagged = df.withColumn(at, removing_step(df, spec, steps)).observe(
+        seen, F.count(F.lit(1)).alias("total"),
+        *[F.count_if(F.col(at) == i).alias(f"r{i}") for i in range(1, len(steps) + 1)])
+    clean = C.recoded(tagged.where(F.col(at).isNull()).drop(at), spec)
+    clean.write.mode("overwrite").parquet(path)
+    rows, before = [], seen.get["total"]
+    for i, (name, _) in enumerate(steps, start=1):
+        removed = seen.get[f"r{i}"]
+        rows.append((i, name, before, before - removed, removed))
+        before -= removed
+    schema = "step_no int, step string, rows_before long, rows_after long, removed long"
+    spark = df.sparkSession
+    return spark.read.schema(clean.schema).parquet(path), local_table(spark, rows, schema)
+
+
 def value_profile_by_step(df: DataFrame, spec: S.SurveySpec = S.SURVEY,
                           columns: list[str] | None = None) -> DataFrame:
     """(column_name, value, removed_at_step, n): each raw value's count, split by
@@ -249,3 +275,70 @@ def run_summary(raw: DataFrame, clean: DataFrame, tables: dict[str, DataFrame] |
     # an empty clean table has no class row, and still 0 clean rows
     none = raw.sparkSession.sql("SELECT 'clean_rows' AS metric, '' AS item, CAST(0 AS BIGINT) AS value")
     return out.unionByName(none).groupBy("metric", "item").agg(F.sum("value").alias("value"))
+
+
+# X2 -------------------------------------------------------------------------
+def encoded_columns(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> dict[str, Column]:
+    """Every clean column as a number: status and flag codes, Male 0 / Female 1, numbers as they are."""
+    sexes = list(spec.sex_labels.values())
+    sex = spec.clean_name(spec.sex_column) if spec.sex_column else None
+    flags = {spec.clean_name(c) for c in spec.binaries}
+    status = spec.clean_name(spec.target) if spec.target else None
+    out = {}
+    for c in (spec.clean_name(x) for x in spec.selected):
+        if c not in df.columns:
+            continue
+        if c == status:
+            out[c] = R.encode_status(c)
+        elif c == sex:
+            out[c] = F.when(F.col(c) == sexes[0], 0).when(F.col(c) == sexes[1], 1)
+        else:
+            out[c] = R.encode_flag(c) if c in flags else F.col(c)
+    return {c: x.cast("double") for c, x in out.items()}
+
+
+def correlations(df: DataFrame, spec: S.SurveySpec = S.SURVEY) -> DataFrame:
+    """(column_a, column_b, n, r): Pearson correlation of every pair of encoded columns (a before b).
+
+    One aggregate of co-moments: the sums of the columns, their squares and
+    their products, each taken from the middle of the column's domain, so
+    little is lost where they cancel.  Partial sums leave a task as one row.  Rows
+    with a null are left out of every pair; ``r`` is null where a column has
+    one value only.
+    """
+    columns = encoded_columns(df, spec)
+    names = list(columns)
+    middle = {c: sum(v) / len(v) for c, v in spec.validation.items() if v and not isinstance(next(iter(v)), str)}
+    ready = df.select(*[(x - F.lit(float(middle.get(c, 0.0)))).alias(c) for c, x in columns.items()])
+    ready = ready.where(C.not_null_predicate(ready))
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    sums = ready.agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(f"s_{c}") for c in names],
+                     *[F.sum(F.col(a) * F.col(b)).alias(f"p_{a}_{b}") for a, b in pairs])
+
+    def moment(a: str, b: str) -> Column:
+        return F.col(f"p_{a}_{b}") - F.col(f"s_{a}") * F.col(f"s_{b}") / F.col("n")
+    rows = [F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col("n").alias("n"),
+                     F.when((moment(a, a) > 0) & (moment(b, b) > 0),
+                            moment(a, b) / F.sqrt(moment(a, a) * moment(b, b))).alias("r"))
+            for a, b in pairs if a != b]
+    return sums.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
+
+
+# A6, approximate ---------------------------------------------------------------
+def distinct_sketches(df: DataFrame, columns: list[str], load: Column, bits: int = 14) -> DataFrame:
+    """(load_id, column_name, sketch): one mergeable distinct-count sketch per load and column."""
+    kinds = dict(df.dtypes)
+    value = {c: F.col(c) if kinds[c] in ("int", "bigint", "string", "binary") else F.col(c).cast("string") for c in columns}
+    each = df.groupBy(load.alias("load_id")).agg(*[F.hll_sketch_agg(value[c], bits).alias(c) for c in columns])
+    return each.unpivot(["load_id"], columns, "column_name", "sketch")
+
+
+def sketched_counts(sketches: DataFrame, loads: list | None = None) -> DataFrame:
+    """(column_name, n_distinct): approximate distinct counts of all or some loads, from their stored sketches.
+
+    No row of the loads themselves is read; with 14 bits the relative
+    standard error is below 1 %.
+    """
+    some = sketches if loads is None else sketches.where(F.col("load_id").isin(loads))
+    return some.groupBy("column_name").agg(
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_distinct"))

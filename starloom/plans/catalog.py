@@ -359,6 +359,95 @@ def q_e1_clean_mixed(spark, d):
     return C.clean_survey(_mixed_codes(spark, d), binary_mode="inferred", validate=False)
 
 
+#: Fixture of malformed rows: every so-manieth row of this year has a cell too many.
+RAGGED_YEAR, RAGGED_EVERY = 1998, 50
+
+
+def _lines(df, columns, path, longer=None):
+    """Rows as plain text lines under a header, written as they stand (a line may have a cell too many)."""
+    line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    if longer is not None:
+        line = F.when(longer, F.concat(line, F.lit(","))).otherwise(line)
+    (df.select(line.alias(",".join(columns))).write.mode("append")
+        .option("header", True).option("sep", "\u0001").csv(path))
+
+
+def _ragged_year_dir(spark, d):
+    """Yearly folders whose part files have different headers: columns turned round, one more in front."""
+    root = scratch_path(spark, "ragged-years")
+    raw = SK.write_stage(_raw(spark, d, year=True).withColumn("STATE", F.lit(7)),
+                         scratch_path(spark, "by-year"), partition_by=["DATA_YEAR"])
+    cols = ["row_key", *S.SELECTED_COLUMNS]
+    for year in sorted(r[0] for r in raw.select("DATA_YEAR").distinct().collect()):  # calendar years
+        rows = raw.where(F.col("DATA_YEAR") == year)
+        long = (F.col("row_key") % RAGGED_EVERY == 0) if year == RAGGED_YEAR else None
+        half = F.col("row_key") % 2 == 0
+        _lines(rows.where(half), cols, f"{root}/{year}.csv", long)
+        _lines(rows.where(~half), ["STATE", *cols[::-1]], f"{root}/{year}.csv", long)
+    return root
+
+
+def q_u1_ragged_years(spark, d):
+    return FS.union_years(spark, _ragged_year_dir(spark, d))
+
+
+def q_s1_rejected_rows(spark, d):
+    taken = FS.take_in_years(spark, _ragged_year_dir(spark, d))
+    cells = F.split("line", ",")
+    key = F.when(F.size(cells) == len(S.SELECTED_COLUMNS) + 2, cells[0]).otherwise(F.element_at(cells, -2))
+    return taken.rejected.select("DATA_YEAR", key.cast("long").alias("row_key"))
+
+
+def _year_stream(spark, d):
+    """Plain keyless yearly CSVs, odd years with other columns and another order, arriving a year at a time."""
+    from starloom.streaming.incremental import year_stream_demo
+
+    src = scratch_path(spark, "e6-year-files")
+    raw = SK.write_stage(_raw(spark, d, year=True).withColumn("STATE", F.lit(7)),
+                         scratch_path(spark, "by-year"), partition_by=["DATA_YEAR"])
+    years = sorted(r[0] for r in raw.select("DATA_YEAR").distinct().collect())  # calendar years
+
+    def arrive(year):
+        cols = list(S.SELECTED_COLUMNS)
+        rows = raw.where(F.col("DATA_YEAR") == year).repartitionByRange(3, "row_key").sortWithinPartitions("row_key")
+        rows.select(*(["STATE", *cols[::-1]] if year % 2 else cols)).write.option("header", True).csv(f"{src}/{year}.csv")
+    return year_stream_demo(spark, src, years, arrive)
+
+
+def q_e6_year_files(spark, d):
+    return _year_stream(spark, d)[0]["fact_health_records"]
+
+
+def q_e6_year_files_dim_lifestyle(spark, d):
+    return _year_stream(spark, d)[0]["dim_lifestyle"]
+
+
+def q_a4_observed_deltas(spark, d):
+    return P.stage_with_deltas(_raw(spark, d), scratch_path(spark, "observed-clean"))[1]
+
+
+def q_e1_observed_clean(spark, d):
+    return P.stage_with_deltas(_raw(spark, d), scratch_path(spark, "observed-clean"))[0]
+
+
+def q_x2_correlations(spark, d):
+    return P.correlations(_clean(spark, d)).withColumn("r", F.round("r", 7))
+
+
+#: Columns of the approximate distinct counts, and how far an estimate may be off (as a share).
+SKETCHED, SKETCH_BOUND = ("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate"), 0.04
+
+
+def q_a6_sketched_counts(spark, d):
+    lines = read_table(spark, d, "lineitem", list(SKETCHED))
+    path = scratch_path(spark, "sketches")
+    P.distinct_sketches(lines, list(SKETCHED), F.year("l_shipdate")).write.parquet(path)
+    merged = P.sketched_counts(spark.read.parquet(path))
+    exact = lines.agg(*[F.count_distinct(c).alias(c) for c in SKETCHED]).unpivot([], list(SKETCHED), "column_name", "n_exact")
+    off = F.abs(F.col("n_distinct") - F.col("n_exact")) <= SKETCH_BOUND * F.col("n_exact")
+    return merged.join(F.broadcast(exact), "column_name").select("column_name", "n_exact", off.alias("within_bound"))
+
+
 QUERIES: dict[str, Query] = {
     "e1_clean": q_e1_clean,
     "e1_clean_inferred": q_e1_clean_inferred,
@@ -412,6 +501,14 @@ QUERIES: dict[str, Query] = {
     "k_broken_star": q_k_broken_star,
     "a4_step_deltas_inferred": q_a4_step_deltas_inferred,
     "e1_clean_mixed": q_e1_clean_mixed,
+    "u1_ragged_years": q_u1_ragged_years,
+    "s1_rejected_rows": q_s1_rejected_rows,
+    "e6_year_files": q_e6_year_files,
+    "e6_year_files_dim_lifestyle": q_e6_year_files_dim_lifestyle,
+    "a4_observed_deltas": q_a4_observed_deltas,
+    "e1_observed_clean": q_e1_observed_clean,
+    "x2_correlations": q_x2_correlations,
+    "a6_sketched_counts": q_a6_sketched_counts,
 }
 
 
@@ -541,6 +638,16 @@ def _oracle() -> dict[str, str]:
             for c, t in S.LOAD_TYPES[table].items()) + f" FROM {table}"
     sql["e4_run_files"] = O.with_ctes(by_year(""), stored("fact_health_records"))
     sql["e4_run_one_year"] = O.with_ctes(by_year("WHERE DATA_YEAR = 1998"), stored("dim_demographics"))
+    sql["e6_year_files"] = O.with_ctes(by_year(""), "SELECT * FROM fact_health_records")
+    sql["e6_year_files_dim_lifestyle"] = O.with_ctes(by_year(""), "SELECT * FROM dim_lifestyle")
+    sql["u1_ragged_years"] = f"SELECT * FROM ({O.RAW_YEAR}) y WHERE DATA_YEAR <> {RAGGED_YEAR}"
+    sql["s1_rejected_rows"] = (f"SELECT DATA_YEAR, row_key FROM ({O.RAW_YEAR}) y "
+                               f"WHERE DATA_YEAR = {RAGGED_YEAR} AND row_key % {RAGGED_EVERY} = 0")
+    sql["a4_observed_deltas"] = sql["a4_step_deltas"]
+    sql["e1_observed_clean"] = sql["e1_clean"]
+    sql["x2_correlations"] = O.with_ctes(base, O.correlation_select())
+    sql["a6_sketched_counts"] = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_exact, TRUE AS within_bound FROM lineitem" for c in SKETCHED)
     alt_dims = [d for d in S.ALT_STAR.dims]
     sql["e3_alternate_run"] = O.with_ctes(alt, " UNION ALL ".join(
         f"SELECT * FROM (SELECT '{d.table}' AS table_name, CAST({d.key} AS BIGINT) AS key_id, "

@@ -279,6 +279,23 @@ def incremental_star_ctes(layout: S.StarLayout = S.MAIN_STAR) -> list[tuple[str,
     return ctes
 
 
+def correlation_select() -> str:
+    """Pearson correlation of every pair of encoded clean columns, by the engine's own aggregate."""
+    def code(c: str) -> str:
+        name = S.RENAME[c]
+        if c == "DIABETE3":
+            return f"CASE {name} WHEN 'Healthy' THEN 0 WHEN 'Prediabetic' THEN 1 WHEN 'Diabetic' THEN 2 END"
+        if c == "SEX":
+            return f"CASE {name} WHEN 'Male' THEN 0 WHEN 'Female' THEN 1 END"
+        return f"CASE {name} WHEN 'Yes' THEN 1 ELSE 0 END" if c in S.BINARY_COLUMNS else name
+    coded = ", ".join(f"CAST({code(c)} AS DOUBLE) AS {S.RENAME[c]}" for c in SURVEY_COLS)
+    names = [S.RENAME[c] for c in SURVEY_COLS]
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1:]]
+    return " UNION ALL ".join(
+        f"SELECT '{a}' AS column_a, '{b}' AS column_b, count(*) AS n, round(corr({a}, {b}), 7) AS r "
+        f"FROM (SELECT {coded} FROM clean) e" for a, b in pairs)
+
+
 def value_profile_by_step_sql() -> str:
     """Each raw value's count by the first cleaning step removing its row."""
     steps = step_predicates()
