@@ -8,6 +8,10 @@ prefix and suffix sums give, for each context limit L:
 
 the totals kept and lost at that limit, and exact quantiles.
 
+The query gives every occurring length and the usual limits, each with the
+share of documents up to it (``quantile``): a quantile is the least length whose
+share reaches it.
+
 The histogram has at most one row per distinct length.  Its sums run in two
 levels (within blocks of ``BLOCK`` lengths, then over the blocks), so no task
 holds more than a block, or one row per block.
@@ -27,8 +31,11 @@ from pyspark.sql import functions as F
 
 from starloom.llm.frames import documents, whole_text
 from starloom.llm.tokens import Cache, Encoder
+from starloom.session import reliable_checkpoint
 
 BLOCK = 1024
+#: Context limits that the query answers whether or not a document has that length.
+LIMITS = (512, 1024, 2048, 4096, 8192, 16384, 32768, 65536, 131072)
 
 
 @lru_cache(maxsize=2)
@@ -47,14 +54,20 @@ def encoded_lengths(docs: DataFrame, path: str) -> DataFrame:
     return docs.select(whole_text().alias("text")).mapInArrow(count, "length long")
 
 
-def histogram(lengths: DataFrame) -> DataFrame:
+def histogram(lengths: DataFrame, limits: tuple[int, ...] = ()) -> DataFrame:
     """(length, docs, docs_upto, docs_from, tokens_upto, truncated), one row per length.
 
     ``docs_upto`` counts documents of at most that length, ``docs_from`` of at
     least it; ``truncated`` is the corpus' total cut to that context limit.
+    ``limits`` have a row each, also where no document has that length.  The
+    grouped lengths are written once, so the two levels of sums read those
+    and the texts are encoded once.
     """
-    h = lengths.groupBy("length").agg(F.count(F.lit(1)).alias("docs")) \
-        .withColumn("block", F.floor(F.col("length") / BLOCK))
+    h = reliable_checkpoint(lengths.groupBy("length").agg(F.count(F.lit(1)).alias("docs")), "lengths")
+    if limits and not h.isEmpty():
+        more = h.sparkSession.createDataFrame([(n, 0) for n in limits], "length long, docs long")
+        h = h.unionByName(more).groupBy("length").agg(F.sum("docs").alias("docs"))
+    h = h.withColumn("block", F.floor(F.col("length") / BLOCK))
     tokens = (F.col("length") * F.col("docs")).alias("tokens")
     blocks = h.groupBy("block").agg(F.sum("docs").alias("b_docs"), F.sum(tokens).alias("b_tokens"))
     upto = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
@@ -92,4 +105,5 @@ def quantile(h: DataFrame, share: float) -> Column:
 def query(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return histogram(encoded_lengths(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json")))
+    h = histogram(encoded_lengths(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json")), LIMITS)
+    return h.withColumn("quantile", F.col("docs_upto") / (F.col("docs_upto") + F.col("docs_from") - F.col("docs")))

@@ -35,14 +35,18 @@ unchanged; an empty table stays empty.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.frames import documents
 
 ROUNDS = 8
-#: For tests and registered queries; a real run passes a secret.
+#: For tests and registered queries without a secret; anyone can undo its pseudonyms.
 DEMO_KEY = "demo key, replace me"
+#: Session setting that holds the secret.
+KEY_SETTING = "spark.starloom.pseudonym.key"
 
 #: Fixed forms, tried in this order at each place of a text.
 FORMS = {
@@ -110,7 +114,10 @@ def permute_characters(s: Column, kind: str, key: str, hexadecimal: bool = False
 
     def shift(half: Column, other: Column, i: Column) -> Column:
         seed = F.concat_ws("|", F.lit(key), F.lit(kind), i, other)
-        stream = F.concat(F.sha2(F.concat(seed, F.lit("|0")), 512), F.sha2(F.concat(seed, F.lit("|1")), 512))
+        # one key block per 32 characters, so a value of any length has its stream
+        blocks = F.sequence(F.lit(0), F.greatest(F.ceil(F.length(half) / 32).cast("int"), F.lit(1)) - 1)
+        stream = _bind(seed, lambda x: F.array_join(
+            F.transform(blocks, lambda k: F.sha2(F.concat(x, F.lit("|"), k.cast("string")), 512)), ""))
 
         def move(c: Column, at: Column, keys: Column) -> Column:
             letters = alphabet(c)
@@ -340,14 +347,26 @@ def pseudonymise_text(text: Column, key: str) -> Column:
         .otherwise(plain)
 
 
-def pseudonymise(docs: DataFrame, key: str = DEMO_KEY) -> DataFrame:
-    """All rows and columns, with pseudonyms in ``text`` (its length does not change)."""
+def session_key(spark) -> str:
+    """The secret of the session (``KEY_SETTING``); the public demonstration key, with a warning, if it has none."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        logging.getLogger(__name__).warning("%s is not set: pseudonyms are made with a public key", KEY_SETTING)
+    return key or DEMO_KEY
+
+
+def pseudonymise(docs: DataFrame, key: str | None = None) -> DataFrame:
+    """All rows and columns, with pseudonyms in ``text`` (its length does not change).
+
+    Without a ``key`` the session's is used.
+    """
+    key = key or session_key(docs.sparkSession)
     return docs.withColumn("text", pseudonymise_text(F.col("text"), key)["text"])
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     """Per document: what was replaced, by kind, and the new text."""
-    rows = documents(spark, sf_dir).select("doc_id", pseudonymise_text(F.col("text"), DEMO_KEY).alias("p"))
+    rows = documents(spark, sf_dir).select("doc_id", pseudonymise_text(F.col("text"), session_key(spark)).alias("p"))
     def count(kind):
         return F.size(F.filter("p.kinds", lambda k: k == kind)).cast("long").alias(f"n_{kind}")
     return rows.select("doc_id", F.coalesce(F.size("p.kinds"), F.lit(0)).cast("long").alias("n_replaced"),

@@ -9,6 +9,7 @@ which makes a bounded cache of them worth its memory.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Iterable, Iterator
 
@@ -35,6 +36,49 @@ def cut(text: str) -> tuple[str, list[str]]:
     return head, rest
 
 
+#: The public pattern that a byte-level tokenizer splits text by unless told otherwise.
+_PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Characters below this one have had their classes in every version of Unicode since 2.0.
+_SETTLED = "\u0180"
+
+
+def _byte_letters() -> dict[str, int]:
+    """The letter by which a byte-level tokenizer file writes each byte."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(own)]
+    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def _same_by_rank(path: str):
+    """An encoder by ranks with the ids of the tokenizer file, or None if the file is of another kind.
+
+    The ids are the same if a merge's place is its token's id, and nothing but
+    the usual byte-level splitting comes before the merges.
+    """
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, split = spec["model"], spec.get("pre_tokenizer") or {}
+    plain = (spec.get("normalizer") is None and split.get("type") == "ByteLevel" and not split.get("add_prefix_space")
+             and split.get("use_regex", True) and model.get("type") in (None, "BPE") and not model.get("dropout")
+             and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix")
+             and not model.get("ignore_merges"))
+    if not plain:
+        return None
+    merges = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    vocabulary = model["vocab"]
+    letters = _byte_letters()
+    first = len(letters)
+    if any(vocabulary.get(m) != first + i for i, m in enumerate(merges)):
+        return None
+    merged = [t for t in vocabulary if vocabulary[t] < first + len(merges)]
+    if len(merged) != first + len(merges):
+        return None
+    return tiktoken.Encoding("file", pat_str=_PATTERN, special_tokens={}, mergeable_ranks={
+        bytes(letters[c] for c in t): vocabulary[t] for t in merged})
+
+
 class Encoder:
     """Ids of chunks by a byte-level tokenizer file, many chunks a call.
 
@@ -53,6 +97,7 @@ class Encoder:
         vocabulary = self.own.get_vocab()
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
         self.bytes_of[list(vocabulary.values())] = [len(t) for t in vocabulary]
+        self.by_rank = _same_by_rank(path)
 
     def __call__(self, chunks: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each chunk."""
@@ -63,7 +108,7 @@ class Encoder:
         for i, e in zip(alone, self._encode([chunks[i] for i in alone])):
             out[i] = np.array(e, "<u4").tobytes()
         groups = [plain[k:k + self.JOINED] for k in range(0, len(plain), self.JOINED)]
-        for group, e in zip(groups, self._encode(["".join([chunks[i] for i in g]) for g in groups])):
+        for group, e in zip(groups, self._encode_joined(["".join([chunks[i] for i in g]) for g in groups])):
             ids = np.array(e, "<u4")
             ends = np.cumsum([len(chunks[i].encode()) for i in group])
             stops = (4 * (np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1)).tolist()
@@ -72,6 +117,14 @@ class Encoder:
                 out[i] = raw[a:b]
         return out
 
+    def _encode_joined(self, texts: list[str]) -> list[list[int]]:
+        """The same ids; texts of settled characters by rank, in a fraction of the time."""
+        if self.by_rank is None:
+            return self._encode(texts)
+        simple = [max(t) < _SETTLED for t in texts]
+        rest = iter(self._encode([t for t, s in zip(texts, simple) if not s]))
+        return [self.by_rank.encode_ordinary(t) if s else next(rest) for t, s in zip(texts, simple)]
+
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.own.encode_batch_fast(texts, add_special_tokens=False)]
 
