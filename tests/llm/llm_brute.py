@@ -20,10 +20,11 @@ def quality(text):
     lines = [x for x in text.split("\n") if WORD.search(x)]
     m = {"n_words": len(ws), "word_chars": sum(map(len, ws)), "n_symbols": len(re.findall(r"[#*$%&|<>]", text)),
          "n_lines": len(lines), "n_dup_lines": len(lines) - len(set(lines)),
+         "line_chars": sum(map(len, lines)), "dup_line_chars": sum(map(len, lines)) - sum(map(len, set(lines))),
          "n_stutter": sum(a == b for a, b in zip(ws, ws[1:])), "n_repeat_words": len(covered)}
     m["base_failed"] = m["n_words"] < 10 or 100 * m["n_repeat_words"] > 20 * m["n_words"]
     m["kept"] = not (m["base_failed"] or 10 * m["n_symbols"] > m["n_words"] or m["word_chars"] < 2 * m["n_words"]
-                     or m["word_chars"] > 14 * m["n_words"] or 10 * m["n_dup_lines"] > 3 * m["n_lines"]
+                     or m["word_chars"] > 14 * m["n_words"] or 10 * m["dup_line_chars"] > 3 * m["line_chars"]
                      or 100 * m["n_stutter"] > 30 * m["n_words"])
     return m
 
@@ -67,37 +68,36 @@ def near(rows, threshold=0.8):
 
 
 def dropped_lines(texts, min_texts, min_tokens, depth=3):
-    """Numbers of the lines to drop of each text, by the template rule."""
-    def mask(tokens):
-        return tuple("<*>" if re.search(r"\d", t) else t for t in tokens)
+    """Numbers of the lines to drop of each text, by the template rule.
+
+    A token is a fixed word if at least the line's bar of distinct texts agree on it
+    in its leaf and place; the bar is ``min_texts``, doubled while half of the
+    line's tokens still reach it.  A template goes if enough distinct texts have it.
+    """
     found = []
     for k, t in enumerate(texts):
         for i, line in enumerate((t or "").split("\n")):
             if len(line.split()) >= min_tokens:
-                m = mask(line.split())
+                m = tuple("<*>" if re.search(r"\d", x) else x for x in line.split())
                 found.append((k, i, (len(m), m[:depth]), m))
-    by_leaf = defaultdict(set)
-    for k, _, leaf, _ in found:
-        by_leaf[leaf].add(texts[k])
-    found = [f for f in found if len(by_leaf[f[2]]) >= min_texts]
-    carriers = defaultdict(set)
+    support = defaultdict(set)
     for k, _, leaf, m in found:
-        carriers[leaf, m].add(texts[k])
-    support = Counter()
-    for (leaf, m), texts_of in carriers.items():
         for p, tok in enumerate(m):
-            support[leaf, p, tok] += len(texts_of)
+            support[leaf, p, tok].add(texts[k])
 
     def template(leaf, m):
-        t = tuple(tok if tok != "<*>" and support[leaf, p, tok] >= min_texts else "<*>" for p, tok in enumerate(m))
-        return t if 2 * sum(x != "<*>" for x in t) >= len(t) else None
-    by_template = defaultdict(set)
-    for (leaf, m), texts_of in carriers.items():
-        if template(leaf, m):
-            by_template[leaf, template(leaf, m)] |= texts_of
+        n = [0 if tok == "<*>" else len(support[leaf, p, tok]) for p, tok in enumerate(m)]
+        bar = None
+        for j in range(40):
+            if 2 * sum(x >= min_texts << j for x in n) >= len(m):
+                bar = min_texts << j
+        return bar and tuple(tok if x >= bar else "<*>" for x, tok in zip(n, m))
+    carriers = defaultdict(set)
+    for k, _, leaf, m in found:
+        carriers[leaf, template(leaf, m)].add(texts[k])
     out = [set() for _ in texts]
     for k, i, leaf, m in found:
         t = template(leaf, m)
-        if t and len(by_template[leaf, t]) >= min_texts:
+        if t and len(carriers[leaf, t]) >= min_texts:
             out[k].add(i)
     return out

@@ -71,6 +71,15 @@ def test_quality_ledger(docs):
         assert {k: got[i][k] for k in want} == want, (i, t)
 
 
+def test_header_that_is_the_footer_is_no_repeated_text(spark):
+    body = " ".join(f"word{i}" for i in range(60))
+    texts = [f"A heading\n{body}\nA heading", "\n".join([body[:200]] * 3 + [f"tail {i} of it" for i in range(3)])]
+    got = by_id(Q.verdicts(frame(spark, texts)))
+    assert [got[i]["kept"] for i in range(2)] == [True, False]
+    assert all(got[i]["fail_bits"] & Q.bit("repeated_lines") for i in range(2))  # the older policy rejects both
+    assert [got[i]["fail_bits"] & Q.FULL_1.mask != 0 for i in range(2)] == [True, True]
+
+
 def test_quality_policies_and_ablation(docs):
     rows = Q.ledger(docs).cache()
     bits = [r["fail_bits"] for r in rows.collect()]

@@ -1,6 +1,7 @@
 """Line templates whose fields have common values."""
 
 import pytest
+from llm_brute import dropped_lines
 from test_llm_operators import by_id, frame
 
 from starloom.llm import templates
@@ -11,35 +12,10 @@ def filed(values):
             for i in range(values) for j in range(values)]
 
 
-def bars(texts, min_texts, depth=3):
-    """Numbers of the lines to drop of each text, by the bar of each line."""
-    found = [(t, k, i, tuple(templates.mask(x.split()))) for k, t in enumerate(texts)
-             for i, x in enumerate(t.split("\n")) if len(x.split()) >= 4]
-    support, carriers = {}, {}
-    for t, _, _, m in found:
-        for p, tok in enumerate(m):
-            support.setdefault((len(m), m[:depth], p, tok), set()).add(t)
-
-    def template(m):
-        n = [0 if tok == "<*>" else len(support[len(m), m[:depth], p, tok]) for p, tok in enumerate(m)]
-        bar = None
-        for j in range(40):
-            if 2 * sum(x >= min_texts << j for x in n) >= len(m):
-                bar = min_texts << j
-        return bar and tuple(tok if x >= bar else "<*>" for x, tok in zip(n, m))
-    for t, _, _, m in found:
-        carriers.setdefault((m[:depth], template(m)), set()).add(t)
-    out = [set() for _ in texts]
-    for _, k, i, m in found:
-        if template(m) and len(carriers[m[:depth], template(m)]) >= min_texts:
-            out[k].add(i)
-    return out
-
-
 @pytest.mark.parametrize("values", [4, 20, 24])
 def test_common_field_values_stay_fields(spark, values):
     texts = filed(values)
-    want = bars(texts, 10)
+    want = dropped_lines(texts, 10, 4)
     assert all(w == {1} for w in want)
     got = by_id(templates.drop_lines(frame(spark, texts)))
     assert [got[i]["n_dropped"] for i in range(len(texts))] == [1] * len(texts)
@@ -50,7 +26,7 @@ def test_one_text_is_no_support(spark):
     texts = ["\n".join(f"We saw it {x} same words {x} here {x} end" for x in "abcdefghijkl")]
     texts += [f"t{i}\nWe saw it {x}p {x}q {x}r {x}s {x}t {x}u {x}v" for i, x in enumerate("abcdefghijkl")]
     texts += [f"u{i}\nWe saw it m same words {x}m here n end" for i, x in enumerate("abcdefgh")]
-    want = bars(texts, 10)
+    want = dropped_lines(texts, 10, 4)
     got = by_id(templates.drop_lines(frame(spark, texts)))
     assert [got[i]["n_dropped"] for i in range(len(texts))] == [len(w) for w in want]
     assert not any(want)
