@@ -71,10 +71,14 @@ def scratch_scope(spark: SparkSession):
     try:
         yield
     finally:
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
         for path in _scopes.pop():
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(conf).delete(p, True)
+            remove_table(spark, path)
+
+
+def remove_table(spark: SparkSession, path: str) -> None:
+    """Deletes a written table; none there is no error."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def table_bytes(spark: SparkSession, path: str, suffix: str = "") -> int:
