@@ -4,6 +4,11 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; what one
 writes as Parquet is what the next one reads.  The filtering stages keep the
 rows they accept with all their columns; the last stage returns the packed
 pieces.  An empty table passes through every stage.
+
+Null texts count as empty and fail the first stage; a row with a null
+``doc_id`` is kept like any other; of repeated rows one stays from the second
+stage on; columns beyond those of ``documents`` pass through all stages but the
+last, whatever their names.
 """
 
 from __future__ import annotations
@@ -12,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starloom.llm import exact, jaccard, packing, pii, quality
 from starloom.llm.frames import documents
-from starloom.session import reliable_checkpoint
+from starloom.session import remove_table, scratch_path, scratch_scope
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +60,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    """All stages; what a stage wrote on the way, and the table it read, is removed once it is done."""
+    docs, last = documents(spark, sf_dir), None
     for name, stage in STAGES:
-        docs = reliable_checkpoint(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        with scratch_scope(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        if last is not None:
+            remove_table(spark, last)
+        docs, last = spark.read.schema(out.schema).parquet(path), path
     return docs
