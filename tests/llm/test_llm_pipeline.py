@@ -42,3 +42,38 @@ def test_empty_table_passes_through(spark):
     for _, f in corpus_pipeline.STAGES:
         docs = f(spark, docs, SF)
     assert docs.count() == 0
+
+
+def test_odd_rows_and_clashing_columns(spark):
+    import random
+
+    rng = random.Random(3)
+    def prose(n):
+        return ". ".join(" ".join(rng.choice("abcdefgh") + str(rng.randrange(10)) + "word" for _ in range(8)) for _ in range(n))
+    a, b, c = prose(6), prose(7), prose(200)
+    rows = [(1, a), (1, a), (2, a), (None, b), (None, b), (3, None), (4, ""), (5, c), (None, None), (6, prose(5))]
+    extra = "lang string, source string, n_chars long, node string, label int, dk string, th string, kept string, rest int, part string"
+    docs = spark.createDataFrame([(*r, "x", "y", 1, "n", 2, "d", "t", "k", 3, "p") for r in rows],
+                                 "doc_id long, text string, " + extra).repartition(3)
+    columns, stage = docs.columns, docs
+    left = []
+    for _, f in corpus_pipeline.STAGES[:4]:
+        stage = f(spark, stage, SF)
+        assert stage.columns == columns
+        left.append(sorted((r["doc_id"] or 0) for r in stage.collect()))
+    assert left == [[0, 0, 1, 1, 2, 5, 6], [0, 2, 5, 6], [0, 2, 5, 6], [0, 2, 5, 6]]
+    pieces = corpus_pipeline.STAGES[4][1](spark, stage, SF).collect()
+    assert sorted({(r["doc_id"] or 0) for r in pieces}) == [0, 2, 5, 6]
+
+
+def test_run_leaves_only_its_last_table(spark):
+    import os
+
+    from starloom.session import checkpoint_root
+
+    root = checkpoint_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    rows = corpus_pipeline.run(spark, SF)
+    assert rows.count() > 0
+    assert [x for x in os.listdir(root) if x not in before and x.startswith("starloom-packing")] == \
+        [x for x in os.listdir(root) if x not in before]
