@@ -348,5 +348,56 @@ def _repair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows_out()
 
 
+SQL = r"""
+WITH RECURSIVE poly AS (SELECT list_transform(range(256), lambda i: list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+base AS (SELECT row_number() OVER () AS id, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+hit AS (SELECT base.*, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(key, ''),
+    lambda x: ascii(x)::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind FROM base, poly),
+dam AS (SELECT id, conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS again FROM hit WHERE kind <> 0),
+lined AS (SELECT *, row_number() OVER c AS n, coalesce(left(role, 1), '') AS letter, lag(left(role, 1)) OVER c AS prev,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, id, again) > 1 AS seen,
+    right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS fin FROM dam
+    WINDOW c AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, id, again)),
+faults AS (SELECT *, fin = '' AS blank, fin <> '' AND seen AS dup, fin <> '' AND NOT seen AND fin NOT IN ('.', '!', '?') AS cut FROM lined),
+-- from a letter ('0': none yet), by a letter, after these insertions, to that letter
+moves(f, x, ins, k) AS (VALUES ('0', 's', '', 0), ('0', 'u', '', 0), ('s', 'u', '', 0), ('a', 'u', '', 0), ('u', 'u', 'assistant:', 1),
+    ('u', 'a', '', 0), ('0', 'a', 'user:', 1), ('s', 'a', 'user:', 1), ('a', 'a', 'user:', 1)),
+step AS (
+    SELECT conv_id, 0::BIGINT AS n, '0' AS state, 0 AS cost, '' AS audit, '' AS out FROM (SELECT DISTINCT conv_id FROM dam)
+    UNION ALL
+    SELECT conv_id, n, state, cost, audit, out FROM (
+        SELECT *, row_number() OVER (PARTITION BY conv_id, state ORDER BY cost, audit) AS best FROM (
+            SELECT s.conv_id, r.n, s.state, s.cost + 3 AS cost, s.audit || 'D' AS audit, s.out
+            FROM step s JOIN faults r ON r.conv_id IS NOT DISTINCT FROM s.conv_id AND r.n = s.n + 1
+            UNION ALL
+            SELECT s.conv_id, r.n, m.x, s.cost + 2 * m.k + r.cut::INT + e.c, s.audit || repeat('I', m.k) || e.a,
+                s.out || CASE WHEN s.out = '' OR m.ins = '' THEN '' ELSE chr(10) END || m.ins
+                || CASE WHEN s.out = '' AND m.ins = '' THEN '' ELSE chr(10) END
+                || CASE e.a WHEN 'K' THEN r.role WHEN 'R' THEN CASE m.x WHEN 'u' THEN 'user' ELSE 'assistant' END END || ':' || r.text
+            FROM step s JOIN faults r ON r.conv_id IS NOT DISTINCT FROM s.conv_id AND r.n = s.n + 1
+            JOIN moves m ON m.f = s.state JOIN (VALUES ('K', 0), ('R', 2)) e(a, c)
+                ON NOT (r.blank OR r.dup) AND CASE e.a WHEN 'K' THEN m.x = r.letter ELSE m.x <> 's' END) q) q
+    WHERE best = 1),
+size AS (SELECT conv_id, max(n) AS n, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE dup) AS duplicate,
+    count(*) FILTER (WHERE cut) AS truncated,
+    count(*) FILTER (WHERE prev IS NOT NULL AND prev || letter NOT IN ('su', 'ua', 'au')) AS illegal,
+    coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps FROM faults GROUP BY conv_id),
+ends AS (SELECT s.conv_id, s.cost + e.k * 2 AS cost, s.audit || repeat('I', e.k) AS audit,
+    s.out || CASE WHEN e.t = '' OR s.out = '' THEN '' ELSE chr(10) END || e.t AS out
+    FROM step s JOIN size z ON z.conv_id IS NOT DISTINCT FROM s.conv_id AND z.n = s.n
+    JOIN (VALUES ('0', 0, ''), ('a', 0, ''), ('u', 1, 'assistant:'), ('s', 2, 'user:' || chr(10) || 'assistant:')) e(f, k, t) ON e.f = s.state),
+won AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY cost, audit) AS best FROM ends) WHERE best = 1)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+    coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+    coalesce(audit, '') AS audit, sha256(coalesce(out, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN size z ON z.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN won w ON w.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     return repaired(damaged(spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")))

@@ -435,5 +435,20 @@ def near_components(docs: DataFrame) -> DataFrame:
         "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "node")
 
 
+SQL = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT r, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS g FROM d),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+shared AS (SELECT a.r AS x, b.r AS y, count(*) AS n FROM s a JOIN s b ON a.g = b.g AND a.r < b.r GROUP BY a.r, b.r),
+link AS (SELECT x, y FROM shared JOIN n u ON u.r = x JOIN n v ON v.r = y WHERE 100 * shared.n >= 80 * (u.n + v.n - shared.n)),
+edge AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach AS (SELECT r AS x, r AS y FROM d UNION SELECT reach.x, edge.y FROM reach JOIN edge ON edge.x = reach.y)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(o.doc_id) AS component_id, d.doc_id IS NOT DISTINCT FROM min(o.doc_id) AS kept
+FROM d JOIN reach ON reach.x = d.r JOIN d o ON o.r = reach.y LEFT JOIN n ON n.r = d.r GROUP BY d.r, d.doc_id, n.n
+"""
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     return near_components(documents(spark, sf_dir)).drop("node")
