@@ -22,9 +22,10 @@ from starloom.operators import star as ST
 from starloom.operators import views as V
 from starloom.plans import oracle as O
 from starloom.plans import runs
-from starloom.session import scratch_path
+from starloom.session import reliable_checkpoint, scratch_path
 from starloom.sources import files as FS
 from starloom.sources import sinks as SK
+from starloom.sources import warehouse as WH
 from starloom.sources.survey import derived_survey, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -216,6 +217,47 @@ def q_s11_verify_counts(spark, d):
     return SK.verify_counts(SK.read_published(spark, root))
 
 
+def _database(spark):
+    """A database of its own for each run, in the shared checkpoint folder."""
+    location = scratch_path(spark, "warehouse")
+    return "starloom_" + location[-12:], location
+
+
+def q_s10_recreate_tables(spark, d):
+    """Tables that hold the alternate layout's rows are re-created for the main one and loaded."""
+    db, location = _database(spark)
+    alt = _star(spark, d, S.ALT_STAR)
+    types = WH.types_of(alt)
+    WH.recreate_tables(spark, db, S.ALT_STAR, types, location)
+    WH.load_star(alt, db, "old", S.ALT_STAR, types)
+    WH.recreate_tables(spark, db)
+    WH.load_star(_star(spark, d), db, "survey")
+    tables = S.MAIN_STAR.tables
+    counts = SK.verify_counts({t: WH.loaded(spark, db, t) for t in tables})
+    return WH.table_columns(spark, db, tables).join(counts, "table_name")
+
+
+def _loads(spark, d):
+    """The main star in four loads: its dimensions, then the fact by class, one of the loads run twice."""
+    db, location = _database(spark)
+    star = {t: reliable_checkpoint(df, t) for t, df in _star(spark, d).items()}
+    fact = star.pop("fact_health_records")
+    WH.recreate_tables(spark, db, location=location)
+    WH.load_star(star, db, "dimensions")
+    classes = list(S.TARGET_LABELS.values())
+    for label in [*classes, classes[0]]:
+        WH.load_star({"fact_health_records": fact.where(F.col("diabetes_status") == label)}, db, label.lower())
+    return db
+
+
+def q_s8_append_loads(spark, d):
+    return WH.loaded(spark, _loads(spark, d), "fact_health_records", with_load=True)
+
+
+def q_s11_verify_loads(spark, d):
+    return WH.verify_loads(spark, _loads(spark, d))
+
+
 def q_k6_created_at(spark, d):
     root = scratch_path(spark, "k6-published")
     SK.publish_star(_star(spark, d), root, created_at=True)
@@ -486,6 +528,9 @@ QUERIES: dict[str, Query] = {
     "p8_load_casts": q_p8_load_casts,
     "a1_lineitem_dimension": q_a1_lineitem_dimension,
     "s11_verify_counts": q_s11_verify_counts,
+    "s10_recreate_tables": q_s10_recreate_tables,
+    "s8_append_loads": q_s8_append_loads,
+    "s11_verify_loads": q_s11_verify_loads,
     "k6_created_at": q_k6_created_at,
     "e4_end_to_end": q_e4_end_to_end,
     "e5_staged_run": q_e5_staged_run,
@@ -606,6 +651,21 @@ def _oracle() -> dict[str, str]:
     sql["k6_created_at"] = O.with_ctes(star, (
         "SELECT table_name, row_count, CAST(0 AS BIGINT) AS unstamped_rows, "
         f"CAST(1 AS BIGINT) AS load_stamps FROM ({counts}) t"))
+    dim_of = {x.key: x.table for x in S.MAIN_STAR.dims}
+    keys = dim_of | {S.MAIN_STAR.record_key: S.MAIN_STAR.fact_table}
+    sql["s10_recreate_tables"] = O.with_ctes(star + [("sizes", counts)], " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, {i} AS position, '{c}' AS column_name, '{kind}' AS data_type, "
+        + ("'primary key'" if keys.get(c) == t else f"'references {dim_of[c]}.{c}'" if c in dim_of else "''")
+        + f" AS key_role, (SELECT row_count FROM sizes WHERE table_name = '{t}') AS row_count"
+        for t in S.MAIN_STAR.tables for i, (c, kind) in enumerate(S.LOAD_TYPES[t].items(), 1)))
+    sql["s8_append_loads"] = f"SELECT *, lower(diabetes_status) AS load_id FROM ({sql['p8_load_casts']}) f"
+    per_class = " UNION ALL ".join(
+        f"SELECT 'fact_health_records' AS table_name, '{label.lower()}' AS load_id, count(*) AS row_count "
+        f"FROM fact_health_records WHERE diabetes_status = '{label}'" for label in S.TARGET_LABELS.values())
+    sql["s11_verify_loads"] = O.with_ctes(star, (
+        "SELECT table_name, load_id, row_count, row_count AS ledger_count FROM ("
+        f"SELECT table_name, 'dimensions' AS load_id, row_count FROM ({counts}) t WHERE table_name LIKE 'dim%' "
+        f"UNION ALL {per_class}) a"))
     sql["e4_end_to_end"] = sql["p8_load_casts"]
     summary = (
         "SELECT 'raw_rows' AS metric, '' AS item, (SELECT count(*) FROM raw) AS value "

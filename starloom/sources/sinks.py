@@ -241,7 +241,7 @@ def _read_text(spark: SparkSession, path: str) -> str:
     return line
 
 
-def _write_checked(df: DataFrame, columns: list[str], path: str, table: str, checks: dict[tuple[str, str], Column],
+def write_checked(df: DataFrame, columns: list[str], path: str, table: str, checks: dict[tuple[str, str], Column],
                    types: dict[str, str], created_at: bool) -> dict[tuple[str, str, str], int]:
     """Write a table in its stored types, once; violations of each check counted in that write."""
     seen = Observation(f"checks of {table}")
@@ -284,7 +284,7 @@ def publish_star(star: dict[str, DataFrame], root: str, layout: S.StarLayout = S
         if check and name == layout.fact_table:
             df, more, late = Q.probed_foreign_keys(df, [(d.key, written[d.table], d.key) for d in layout.dims])
             checks |= more
-        found |= _write_checked(df, columns, paths[name], name, checks, types.get(name, {}), created_at)
+        found |= write_checked(df, columns, paths[name], name, checks, types.get(name, {}), created_at)
         written[name] = spark.read.parquet(paths[name])
         if check and not Q.unique_in_runs(written[name].select(keys[name]), keys[name]):
             found["unique_key", name, keys[name]] = Q.unique_key(written[name], name, keys[name]).count()
