@@ -105,7 +105,9 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows that stay, with their own columns; one of equal texts.
 
     Copies of a heavy digest are dropped map-side but for the winner's own
-    rows, which one more, small window reduces to one.
+    rows, which one more, small window reduces to one.  The window's limit of
+    one row is applied before its shuffle as well, so where many copies tie on
+    the winner's doc_id (all null, say) one row per digest leaves each task.
     """
     rows = reliable_checkpoint(digests(docs), "digests")
     winners, names = _split(rows)
