@@ -27,4 +27,5 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_quality_ledger": quality.SQL, "op3_recompression": substrings.SQL, "op7_heavy_hitters": exact.SQL,
-            "op11_setsketch": setsketch.SQL, "op13_lr_repair": conversations.SQL}
+            "op11_setsketch": setsketch.SQL, "op12_batch_concatenation": resampling.SQL,
+            "op13_lr_repair": conversations.SQL}

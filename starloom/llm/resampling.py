@@ -215,6 +215,46 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = PERCENT, min_wor
         F.when(F.col("place") <= drawn, F.col("place")).alias("rank"), "n_words")
 
 
+def _half_byte_steps() -> str:
+    """What CRC-32 (reflected polynomial 0xEDB88320) makes of each half byte, as a SQL list."""
+    steps = list(range(16))
+    for _ in range(4):
+        steps = [c >> 1 ^ (0xEDB88320 if c & 1 else 0) for c in steps]
+    return "[" + ", ".join(f"{c}::BIGINT" for c in steps) + "]"
+
+
+SQL = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS id, doc_id, text, true AS corpus FROM documents
+    UNION ALL SELECT -row_number() OVER (), NULL, text, false FROM benchmark),
+lists AS (SELECT id, doc_id, corpus, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM texts),
+spots AS (SELECT id, unnest(words) AS word, unnest(range(len(words))) AS place FROM lists),
+runs AS (SELECT id, word, lead(word) OVER w AS second, lead(word, 2) OVER w AS third FROM spots
+    WINDOW w AS (PARTITION BY id ORDER BY place)),
+features AS (SELECT id, unnest([word, word || ' ' || second, word || ' ' || second || ' ' || third]) AS feature FROM runs),
+counted AS (SELECT id, feature, count(*) AS n FROM features WHERE feature IS NOT NULL GROUP BY ALL),
+-- CRC-32 by half bytes, the low one first
+hashed AS (SELECT feature, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(h)),
+        lambda k: strpos('123456789ABCDEF', substr(h, xor(k, 1) + 1, 1))::BIGINT)),
+    lambda c, x: xor(c >> 4, %s[(xor(c, x) & 15) + 1])), 4294967295) %% 10000 AS bucket
+    FROM (SELECT feature, hex(encode(feature)) AS h FROM (SELECT DISTINCT feature FROM counted))),
+bucketed AS (SELECT id, bucket, sum(n)::BIGINT AS n FROM counted JOIN hashed USING (feature) GROUP BY ALL),
+shares AS (SELECT bucket, coalesce(sum(n) FILTER (WHERE id > 0), 0) AS s, coalesce(sum(n) FILTER (WHERE id < 0), 0) AS t
+    FROM bucketed GROUP BY bucket),
+gain AS (SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000) / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000))))::BIGINT
+    AS g FROM shares),
+weighed AS (SELECT id, sum(n)::BIGINT AS n_features, sum(n * g)::BIGINT AS weight FROM bucketed JOIN gain USING (bucket) GROUP BY id),
+scored AS (SELECT id, doc_id, len(words) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+    / 4294967296)))::BIGINT AS score FROM lists LEFT JOIN weighed USING (id) WHERE corpus),
+placed AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS place,
+    count(*) FILTER (WHERE n_words >= 20) OVER () * 5 // 100 AS drawn FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= drawn THEN place END AS rank, n_words FROM placed
+""" % _half_byte_steps()
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     return resample(documents(spark, sf_dir), benchmark)

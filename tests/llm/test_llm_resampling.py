@@ -84,6 +84,20 @@ def test_given_tables(spark):
     assert sorted(map(tuple, got), key=repr) == sorted(brute(rows, target), key=repr)
 
 
+def test_sql_equals_brute_force():
+    import duckdb
+    import pyarrow as pa
+
+    rows, target = corpus(200, seed=9)
+    documents = pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": pa.array([r[1] for r in rows])})
+    benchmark = pa.table({"item_id": list(range(len(target))), "text": pa.array(target)})
+    with duckdb.connect() as db:
+        db.register("documents", documents)
+        db.register("benchmark", benchmark)
+        got = [r[:5] for r in db.sql(R.SQL).fetchall()]
+    assert sorted(got, key=repr) == sorted(brute(rows, target), key=repr)
+
+
 def test_features_do_not_cross_documents():
     doc, bucket, n = R.features([b"one two", b"three", b"", b"four five six"], 10000)
     want = [Counter(grams(t)) for t in ("one two", "three", "", "four five six")]
