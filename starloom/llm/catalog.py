@@ -26,6 +26,7 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_ledger": quality.SQL, "op3_recompression": substrings.SQL, "op7_heavy_hitters": exact.SQL,
+    return {"op1_quality_ledger": quality.SQL, "op3_recompression": substrings.SQL,
+            "op4_line_templates": templates.SQL, "op5_jaccard_join": jaccard.SQL, "op7_heavy_hitters": exact.SQL,
             "op11_setsketch": setsketch.SQL, "op12_batch_concatenation": resampling.SQL,
             "op13_lr_repair": conversations.SQL}

@@ -355,5 +355,22 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     return keep_rows(docs, reliable_checkpoint(rows, "kept"))
 
 
+SQL = r"""
+WITH RECURSIVE t AS (SELECT row_number() OVER () AS r, text, copies, doc, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws
+    FROM (SELECT coalesce(text, '') AS text, count(*) AS copies, min(doc_id) AS doc FROM documents GROUP BY ALL)),
+s AS (SELECT DISTINCT r, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g FROM t),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+shared AS (SELECT a.r AS x, b.r AS y, count(*) AS n FROM s a JOIN s b ON a.g = b.g AND a.r < b.r GROUP BY a.r, b.r),
+link AS (SELECT x, y FROM shared JOIN n u ON u.r = x JOIN n v ON v.r = y WHERE 10 * shared.n >= 8 * (u.n + v.n - shared.n)),
+edge AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+met AS (SELECT edge.x AS r, sum(t.copies) AS others FROM edge JOIN t ON t.r = edge.y GROUP BY edge.x),
+reach AS (SELECT r AS x, r AS y FROM t UNION SELECT reach.x, edge.y FROM reach JOIN edge ON edge.x = reach.y),
+classes AS (SELECT reach.x AS r, min(t.doc) AS class_id, sum(t.copies)::BIGINT AS class_size FROM reach JOIN t ON t.r = reach.y GROUP BY reach.x)
+SELECT d.doc_id, class_id, class_size, (copies - 1 + coalesce(others, 0))::BIGINT AS n_links
+FROM documents d JOIN t ON t.text = coalesce(d.text, '') JOIN classes USING (r) LEFT JOIN met USING (r)
+"""
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     return similarity_classes(documents(spark, sf_dir)).select("doc_id", "class_id", "class_size", "n_links")

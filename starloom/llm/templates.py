@@ -195,6 +195,35 @@ def drop_lines(docs: DataFrame, min_texts: int = MIN_TEXTS, min_tokens: int = MI
             .mapInArrow(cut, f"doc_id {kind}, n_lines long, n_dropped long, kept_text string"))
 
 
+SQL = r"""
+WITH t AS (SELECT row_number() OVER () AS k, text, string_split(text, chr(10)) AS split
+    FROM (SELECT DISTINCT coalesce(text, '') AS text FROM documents)),
+lines AS (SELECT k, unnest(split) AS line, unnest(range(len(split))) AS place FROM t WHERE text <> ''),
+-- white space and digits as Unicode has them
+parsed AS (SELECT k, place, list_transform(regexp_extract_all(line,
+    '[^\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+'),
+    lambda x: CASE WHEN regexp_matches(x, '\p{Nd}') THEN '<*>' ELSE x END) AS masked FROM lines),
+found AS (SELECT k, place, masked FROM parsed WHERE len(masked) > 0),
+carried AS (SELECT DISTINCT k, masked FROM found),
+support AS (SELECT size, lead, pos, token, count(DISTINCT k) AS n FROM (SELECT k, len(masked) AS size, masked[1:%(depth)d] AS lead,
+    unnest(range(len(masked))) AS pos, unnest(masked) AS token FROM carried) WHERE token <> '<*>' GROUP BY ALL HAVING count(DISTINCT k) >= %(texts)d),
+tokens AS (SELECT masked, len(masked) AS size, masked[1:%(depth)d] AS lead, unnest(range(len(masked))) AS pos, unnest(masked) AS token
+    FROM (SELECT DISTINCT masked FROM carried)),
+rated AS (SELECT masked, size, lead, list({'token': token, 'n': coalesce(n, 0)} ORDER BY pos) AS ts,
+    list_reverse_sort(list(coalesce(n, 0)))[(size + 1) // 2] AS half
+    FROM tokens LEFT JOIN support USING (size, lead, pos, token) GROUP BY masked, size, lead),
+shape AS (SELECT masked, size, lead, list_transform(ts, lambda x: CASE WHEN x.n >= bar THEN x.token ELSE '<*>' END) AS template
+    FROM (SELECT *, %(texts)d * (1 << (length(bin(half // %(texts)d)) - 1)) AS bar FROM rated WHERE half >= %(texts)d)),
+recurring AS (SELECT size, lead, template FROM carried JOIN shape USING (masked) GROUP BY ALL HAVING count(DISTINCT k) >= %(texts)d),
+gone AS (SELECT k, place FROM found JOIN shape USING (masked) JOIN recurring USING (size, lead, template)),
+kept AS (SELECT k, count(gone.k) AS n_dropped, coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE gone.k IS NULL), '') AS kept_text
+    FROM lines LEFT JOIN gone USING (k, place) GROUP BY k)
+SELECT d.doc_id, CASE WHEN t.text = '' THEN 0 ELSE len(split) END::BIGINT AS n_lines, coalesce(n_dropped, 0)::BIGINT AS n_dropped,
+    length(coalesce(kept_text, ''))::BIGINT AS kept_chars, sha256(coalesce(kept_text, '')) AS kept_sha256
+FROM documents d JOIN t ON t.text = coalesce(d.text, '') LEFT JOIN kept USING (k)
+""" % {"texts": MIN_TEXTS, "depth": DEPTH}
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     """Per document: lines, dropped lines, and a digest of the text that is left."""
     return (drop_lines(documents(spark, sf_dir), min_tokens=1)
