@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from starloom import spec as S
 from starloom.operators import clean as C
@@ -168,6 +170,19 @@ def q_s7_csv_sink(spark, d):
     return spark.read.schema(schema).option("header", True).csv(paths["fact_health_records"])
 
 
+def q_s7_csv_dimensions(spark, d):
+    """The four dimension files, read back as they stand (every cell as text)."""
+    star = _star(spark, d, S.ALT_STAR)
+    paths = SK.write_csv_tables({x.table: star[x.table] for x in S.ALT_STAR.dims}, scratch_path(spark, "alt-dims-csv"))
+    parts = []
+    for dim in S.ALT_STAR.dims:
+        text = StructType([StructField(c, StringType()) for c in [dim.key, *dim.outputs]])
+        rows = spark.read.schema(text).option("header", True).option("enforceSchema", False).csv(paths[dim.table])
+        parts.append(rows.select(F.lit(dim.table).alias("table_name"), F.col(dim.key).cast("int").alias("key_id"),
+                                 F.concat_ws("|", *[F.coalesce(c, F.lit("NULL")) for c in dim.outputs]).alias("row_text")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _stored_star(spark, d):
     """The main star, published and read back: its readers scan files, not its plan."""
     root = scratch_path(spark, "published")
@@ -287,13 +302,24 @@ def q_v3_db_stats(spark, d):
     return V.db_stats_report(paths, spark)
 
 
-def _e6(table):
+def _e6(table, layout=S.MAIN_STAR):
     def q(spark, d):
         from starloom.streaming.incremental import incremental_demo
-        return incremental_demo(spark, d)[table]
+        return incremental_demo(spark, d, layout)[table]
     return q
 
 
+#: A layout with a dimension that no closed domain bounds (body mass has none).
+OPEN_STAR = S.StarLayout(
+    name="open",
+    dims=(S.DimSpec("dim_condition", "condition_id", (("BMI", "bmi_value"), ("GenHlth", "general_health_score"))),
+          S.MAIN_STAR.dims[1]),
+    fact_table="fact_health_records",
+    record_key="record_id",
+    measures=(("diabetes_status", "diabetes_status", "string"), ("MentHlth", "mental_health_days", "double")),
+)
+
+
 def _keyless_csv(spark, d):
     """The raw survey as several CSV files without a key, ordered by customer and order."""
     path = scratch_path(spark, "keyless-csv")
@@ -520,6 +546,7 @@ QUERIES: dict[str, Query] = {
     "e3_alt_dim_healthcare_access": _star_table("dim_healthcare_access", S.ALT_STAR),
     "e3_alt_fact_health_records": _star_table("fact_health_records", S.ALT_STAR),
     "s7_csv_sink": q_s7_csv_sink,
+    "s7_csv_dimensions": q_s7_csv_dimensions,
     "v1_analysis_view": q_v1_analysis_view,
     "a6_table_counts": q_a6_table_counts,
     "a7_compression_ratio": q_a7_compression_ratio,
@@ -538,6 +565,8 @@ QUERIES: dict[str, Query] = {
     "v3_db_stats": q_v3_db_stats,
     "e6_incremental": _e6("fact_health_records"),
     "e6_dim_demographics": _e6("dim_demographics"),
+    "e6_open_fact": _e6("fact_health_records", OPEN_STAR),
+    "e6_open_dimension": _e6("dim_condition", OPEN_STAR),
     "w2_file_order_fact": _file_order_star("fact_health_records"),
     "w1_file_order_dim_medical_conditions": _file_order_star("dim_medical_conditions"),
     "e4_run_files": q_e4_run_files,
@@ -621,6 +650,10 @@ def _oracle() -> dict[str, str]:
     for t in ("dim_medical_conditions", "dim_healthcare_access", "fact_health_records"):
         sql[f"e3_alt_{t}"] = O.with_ctes(alt, f"SELECT * FROM alt_{t}")
     sql["s7_csv_sink"] = sql["e3_alt_fact_health_records"]
+    sql["s7_csv_dimensions"] = O.with_ctes(alt, " UNION ALL ".join(
+        f"SELECT '{d.table}' AS table_name, {d.key} AS key_id, concat_ws('|', "
+        + ", ".join(f"COALESCE(CAST({o} AS VARCHAR), 'NULL')" for o in d.outputs)
+        + f") AS row_text FROM alt_{d.table}" for d in S.ALT_STAR.dims))
     view = star + O.encoded_ctes()
     sql["v1_analysis_view"] = O.with_ctes(view, O.view_select())
     sql["a6_table_counts"] = O.with_ctes(star, O.table_counts_select())
@@ -677,6 +710,9 @@ def _oracle() -> dict[str, str]:
     sql["a10_run_summary"] = sql["e5_staged_run"]
     sql["e6_incremental"] = O.with_ctes(O.incremental_star_ctes(), "SELECT * FROM fact_health_records")
     sql["e6_dim_demographics"] = O.with_ctes(O.incremental_star_ctes(), "SELECT * FROM dim_demographics")
+    open_star = O.incremental_star_ctes(OPEN_STAR)
+    sql["e6_open_fact"] = O.with_ctes(open_star, "SELECT * FROM fact_health_records")
+    sql["e6_open_dimension"] = O.with_ctes(open_star, "SELECT * FROM dim_condition")
     sql["v3_db_stats"] = O.with_ctes(star, (
         "SELECT table_name, row_count, CAST(row_number() OVER (ORDER BY row_count DESC, table_name) AS INTEGER) "
         f"AS position, TRUE AS size_as_listed FROM ({counts}) t"))

@@ -281,7 +281,8 @@ def arrive_year(staged_by_year: DataFrame, source_dir: str, year: int) -> None:
         .write.mode("append").parquet(source_dir))
 
 
-def incremental_demo(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def incremental_demo(spark: SparkSession, sf_dir: str,
+                     layout: S.StarLayout = S.MAIN_STAR) -> dict[str, DataFrame]:
     """Yearly files arrive one year at a time; each arrival is drained by a run
     of the stream (``availableNow``) on the same checkpoint, as a weekly job
     would do.  Each run is one micro-batch, however many files the year has.
@@ -300,11 +301,11 @@ def incremental_demo(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     years = sorted(r[0] for r in raw.select(S.YEAR_COLUMN).distinct().collect())  # calendar years
     for year in years:
         arrive_year(raw, src, year)
-        q = start_incremental(spark, src, SURVEY_STREAM_SCHEMA, out, ckpt, files_per_trigger=None)
+        q = start_incremental(spark, src, SURVEY_STREAM_SCHEMA, out, ckpt, files_per_trigger=None, layout=layout)
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
-    return read_star(spark, out)
+    return read_star(spark, out, layout)
 
 
 def year_stream_demo(spark: SparkSession, source_dir: str, years: list[int],
